@@ -138,8 +138,6 @@ class TreeFit:
 
 def score(model: Model, df: DataFrame, *keep: str) -> DataFrame:
     """Columns ``(*keep, predict, probability)``: the class and the probability of that class."""
-    if hasattr(model, "score"):
-        return model.score(df, *keep)
     shares = vector_to_array("probability")
     return model.transform(df).select(
         *keep,
