@@ -15,9 +15,10 @@ import pandas as pd
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from docket import constants as C
+from docket.operators.contingency import class_counts, long_values
 from docket.session import scratch_path
 
 
@@ -131,6 +132,23 @@ def base_value(leaves: Sequence[Leaf]) -> float:
     return sum(leaf.value * math.prod(c.cover for c in leaf.conditions) for leaf in leaves)
 
 
+def log_odds_attributions(df: DataFrame, columns: Sequence[str], key: str = C.KEY) -> DataFrame:
+    """Rows ``(key, feature, value, contribution)`` from add-one class shares of each value.
+
+    A model-free attribution for columns of few values: the contribution of a value
+    is the log of its share in class 1 over its share in class 0. ``df`` carries ``label``.
+    """
+    feature = Window.partitionBy("feature")
+    share = lambda n: F.log((F.col(n) + 1.0) / (F.sum(n).over(feature) + F.count("*").over(feature)))
+    odds = class_counts(df, columns).select("feature", "value", (share("n1") - share("n0")).alias("contribution"))
+    found = F.broadcast(odds.withColumnRenamed("feature", "f").withColumnRenamed("value", "v"))
+    return (
+        long_values(df, columns, [key])
+        .join(found, (F.col("feature") == F.col("f")) & F.col("value").eqNullSafe(F.col("v")))
+        .select(key, "feature", "value", "contribution")
+    )
+
+
 def attribute(
     df: DataFrame, model: PipelineModel, leaves: Sequence[Leaf], features: Sequence[str], key: str = C.KEY
 ) -> DataFrame:

@@ -18,6 +18,7 @@ from docket.operators.folds import stratified_folds
 from docket.operators.order_stats import exact_quantiles
 from docket.operators.screen import high_card_columns
 from docket.schema import Roles
+from docket.session import staged
 
 
 @dataclass(frozen=True)
@@ -110,17 +111,11 @@ def encoded_features(
 def selection_frame(
     df: DataFrame, roles: Roles = Roles(), max_bins: int = 16, folds: int = C.SELECTOR_FOLDS
 ) -> tuple[DataFrame, Bins]:
-    """Columns ``(key, label, fold, b0, b1, ...)``: the one input of all selectors.
-
-    The frame comes back persisted; the caller unpersists it.
-    """
-    labelled = label_of(df, roles.target).filter("label is not null").persist()
+    """Columns ``(key, label, fold, b0, b1, ...)``: the one input of all selectors."""
+    labelled = staged(label_of(df, roles.target).filter("label is not null"), "labelled")
     ready, nominal, numeric = encoded_features(labelled, roles)
-    ready = ready.persist()
+    if ready is not labelled:
+        ready = staged(ready, "encoded")
     bins = fit_bins(ready, nominal, numeric, max_bins)
     codes = bins.apply(ready, [roles.key, "label"])
-    frame = stratified_folds(codes, roles.key, "label", folds).persist()
-    frame.count()
-    ready.unpersist()
-    labelled.unpersist()
-    return frame, bins
+    return staged(stratified_folds(codes, roles.key, "label", folds), "codes"), bins

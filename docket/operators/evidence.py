@@ -97,6 +97,8 @@ def evidence_texts(evidence: DataFrame) -> DataFrame:
     """One row of three printed maps by place, for callers that want evidence as text."""
     from docket.functions.text import map_text
 
+    # A map's text would lose a null entry, so a missing verdict travels as empty text.
+    evidence = evidence.fillna({"impacto": ""})
     entry = lambda c: F.collect_list(F.struct((F.col("place") - 1).alias("k"), F.col(c).alias("v")))
     return evidence.agg(
         map_text(entry("provas")).alias("provas"),
@@ -129,5 +131,5 @@ def evidence_from_texts(texts: DataFrame) -> DataFrame:
         (F.col("pos") + 1).alias("place"),
         "col.provas",
         F.col("col.value_importance").cast("double").alias("value_importance"),
-        "col.impacto",
+        F.nullif(F.col("col.impacto"), F.lit("")).alias("impacto"),
     )

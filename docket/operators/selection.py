@@ -16,6 +16,7 @@ from docket.operators.contingency import class_counts
 from docket.operators.metrics import confusion, macro_f1
 from docket.operators.resample import add_class_weight
 from docket.operators.subset_scores import compact, fold_log_odds, odds_arrays, subset_scores
+from docket.session import staged
 
 Scorer = Callable[[Sequence[Sequence[int]]], list[float]]
 
@@ -58,7 +59,7 @@ class CellScorer:
     """Macro-F1 of feature subsets from cells; one job per call, any number of subsets."""
 
     def __init__(self, codes: DataFrame, bins: Bins, folds: int = C.SELECTOR_FOLDS):
-        self.cells = compact(codes, bins).persist()
+        self.cells = staged(compact(codes, bins), "cells")
         self.bins = bins
         self.odds = odds_arrays(fold_log_odds(self.cells, bins, folds), bins, folds)
 
@@ -67,15 +68,12 @@ class CellScorer:
         found = {r["mask"]: r["macro_f1"] for r in rows}
         return [found.get(m, 0.0) for m in range(len(masks))]
 
-    def close(self) -> None:
-        self.cells.unpersist()
-
 
 class ForestScorer:
     """Macro-F1 of feature subsets by fitting a small balanced forest per subset and fold."""
 
     def __init__(self, codes: DataFrame, bins: Bins, folds: int = C.SELECTOR_FOLDS, trees: int = 20):
-        self.codes = add_class_weight(codes, "label").persist()
+        self.codes = staged(add_class_weight(codes, "label"), "weighted")
         self.bins, self.folds, self.trees = bins, folds, trees
 
     def __call__(self, masks: Sequence[Sequence[int]]) -> list[float]:
@@ -96,9 +94,6 @@ class ForestScorer:
             parts = part if parts is None else parts.unionByName(part)
         return macro_f1(confusion(parts, by=("fold",)), average="fold").first()["macro_f1"]
 
-    def close(self) -> None:
-        self.codes.unpersist()
-
 
 def forward_selection(
     spark: SparkSession, names: Sequence[str], scorer: Scorer, k: int = C.KEEP_FEATURES
@@ -233,7 +228,7 @@ def shadow_selection(
     spark = codes.sparkSession
     weighted = add_class_weight(codes, "label")
     blocks = max(1, math.ceil(weighted.count() / block_rows))
-    blocked = shadow_blocks(weighted, key, bins.columns, blocks).persist()
+    blocked = staged(shadow_blocks(weighted, key, bins.columns, blocks), "blocks")
     name_of = dict(zip(bins.columns, bins.names))
     active = list(bins.columns)
     hits, seen, importance, verdict = ({c: 0 for c in active} for _ in range(4))
@@ -243,11 +238,10 @@ def shadow_selection(
         flat = with_shadows(blocked, active, round_no)
         # A fit reads its input several times; the permutations are drawn once.
         rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(flat)
-        rows = rows.select("label", "weight", "features").persist()
+        rows = staged(rows.select("label", "weight", "features"), "shadows")
         forest = RandomForestClassifier(
             numTrees=trees, maxDepth=C.SELECTOR_DEPTH, weightCol="weight", seed=C.SEED + round_no
         ).fit(rows)
-        rows.unpersist()
         weights = dict(zip(inputs, forest.featureImportances.toArray()))
         best_shadow = max(weights[f"s_{c}"] for c in active)
         for c in active:
@@ -265,7 +259,6 @@ def shadow_selection(
         active = [c for c in active if verdict[c] != "rejected"]
         if not active or all(verdict[c] == "confirmed" for c in active):
             break
-    blocked.unpersist()
     standing = {"confirmed": 0, "tentative": 1, "rejected": 2}
     order = sorted(name_of, key=lambda c: (standing[verdict[c]], -importance[c] / max(seen[c], 1), name_of[c]))
     return spark.createDataFrame(

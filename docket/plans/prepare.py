@@ -60,7 +60,6 @@ def selector_drops(codes: DataFrame, bins: Bins, key: str, settings: SelectorSet
     )
     best = history.agg(F.max_by("features", "generation").alias("f")).select(F.explode("f").alias("feature"))
     genetic = everything.join(best, "feature", "left_anti")
-    scorer.close()
     drops = None
     for name, part in (("shadow", shadow), ("forward", forward), ("information", information), ("genetic", genetic)):
         part = part.select(F.lit(name).alias("selector"), "feature")
@@ -80,7 +79,6 @@ def prepare(
     codes, bins = selection_frame(screened, roles, settings.max_bins, settings.folds)
     votes = vote(selector_drops(codes, bins, roles.key, settings)).persist()
     removed = [r["feature"] for r in votes.filter("removed").collect()]
-    codes.unpersist()
     prepared = screened.drop(*removed)
     if path:
         write_prepared(prepared, path, form)

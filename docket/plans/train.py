@@ -18,6 +18,7 @@ from docket.operators.metrics import confusion, metrics
 from docket.operators.models import TreeFit, out_of_fold
 from docket.operators.search import best_trial, search
 from docket.schema import Roles, conform_types
+from docket.session import staged
 from docket.sources.ledger import record_run, save_model
 
 
@@ -36,12 +37,12 @@ class TrainSettings:
 
 
 def training_frame(raw: DataFrame, roles: Roles, folds: int, text_fills: Mapping[str, str] | None = None) -> DataFrame:
-    """The prepared table with ``label`` and ``fold``."""
+    """The prepared table with ``label`` and ``fold``, written once for all fits."""
     df = conform_types(raw)
     if text_fills:
         df = df.fillna({c: v for c, v in text_fills.items() if c in df.columns})
     labelled = label_of(df, roles.target).filter("label is not null")
-    return stratified_folds(labelled, roles.key, "label", folds)
+    return staged(stratified_folds(labelled, roles.key, "label", folds), "training")
 
 
 def fitter(kind: str, df: DataFrame, roles: Roles, settings: TrainSettings):
@@ -70,7 +71,7 @@ def train(
 ) -> dict:
     """Fit one kind of model and record it; returns run id, path, results and evidence."""
     spark = prepared.sparkSession
-    frame = training_frame(prepared, roles, settings.folds, settings.text_fills).persist()
+    frame = training_frame(prepared, roles, settings.folds, settings.text_fills)
     fit = fitter(kind, frame, roles, settings)
     results = search(
         frame, fit, kind, settings.trials, settings.folds, roles.key, threads=settings.threads, overrides=settings.overrides
@@ -88,7 +89,6 @@ def train(
     inputs = frame.drop("label", "fold", roles.target).schema
     run_id, path = save_model(spark, root, model, inputs, evidence)
     record_run(spark, root, experiment, kind, run_id, path, params, measured)
-    frame.unpersist()
     return {
         "run_id": run_id,
         "path": path,

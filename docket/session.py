@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "docket", cpus: str | int = 8, partitions: int = 8) -> SparkSession:
@@ -49,3 +49,14 @@ def working_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{working_dir(spark).rstrip('/')}/docket-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Iterative jobs read such a table many times. Its plan is one scan, with column
+    pruning, and a lost executor costs a re-read and not a recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
