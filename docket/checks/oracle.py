@@ -232,6 +232,28 @@ def _round_one() -> str:
     return q(f"select feature, code, round(score, 6) as score from ({union})", FOLDS, CODES, *parts)
 
 
+def _forward(steps: int) -> str:
+    """Greedy additions: every step adds each candidate's terms to the rows' running sum."""
+    names = ", ".join(f"'{n}'" for n in (*NOMINAL, *BINNED))
+    parts = ["b0 as (select distinct codigo_processo, fold, label, 0.0::double as s from terms)"]
+    for i in range(1, steps + 1):
+        taken = "".join(f" and feature <> (select feature from c{j})" for j in range(1, i))
+        parts += [
+            f"d{i} as (select feature, b.fold, b.label, case when round(s + odds, 9) > 0 then 1 else 0 end as prediction "
+            f"from b{i - 1} b join terms t using (codigo_processo) where true{taken})",
+            f"m{i} as (select feature, fold, "
+            "2.0::double * count(*) filter (label = 0 and prediction = 0) / nullif(count(*) filter (label = 0) + count(*) filter (prediction = 0), 0) as f0, "
+            "2.0::double * count(*) filter (label = 1 and prediction = 1) / nullif(count(*) filter (label = 1) + count(*) filter (prediction = 1), 0) as f1 "
+            f"from d{i} group by feature, fold)",
+            f"c{i} as (select feature, avg((coalesce(f0, 0) + coalesce(f1, 0)) / 2) as m from m{i} group by feature "
+            f"order by round(m, 9) desc, list_position([{names}], feature) limit 1)",
+            f"b{i} as (select b.codigo_processo, b.fold, b.label, s + odds as s from b{i - 1} b "
+            f"join terms t using (codigo_processo) where feature = (select feature from c{i}))",
+        ]
+    union = " union all ".join(f"select {i} as step, feature, round(m, 6) as macro_f1 from c{i}" for i in range(1, steps + 1))
+    return q(union, FOLDS, CODES, ODDS, *parts)
+
+
 def _draws() -> str:
     rows = []
     for kind, space in C.SPACES.items():
@@ -443,6 +465,7 @@ ORACLE: dict[str, str] = {
         "select 1 as step, subset as feature, round(m, 6) as macro_f1 from (select subset, avg((f0 + f1) / 2) as m from scores where subset <> 'all' group by subset) order by m desc limit 1",
         FOLDS, CODES, ODDS, sums("said", "subset, fold"),
     ),
+    "forward_selection": _forward(KEEP),
     "trial_tables": _draws(),
     "best_trial": """
         select brand, trial, macro_f1 from (

@@ -458,7 +458,7 @@ def forward_step(spark, folder):
 
 def forward_selection(spark, folder):
     s = scorer(spark, folder)
-    return selection.forward_selection(spark, s.bins.names, s, KEEP)
+    return rounded(selection.forward_selection(spark, s.bins.names, s, KEEP), "macro_f1")
 
 
 def genetic_selection(spark, folder):

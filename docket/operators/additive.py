@@ -24,8 +24,10 @@ from docket import constants as C
 from docket.functions.draws import poisson_one
 from docket.operators.binning import Bins, fit_bins
 from docket.operators.encode import FrequencyEncoder, NumericFill
+from docket.operators.models import Prepared
 from docket.operators.screen import high_card_columns
 from docket.schema import Roles
+from docket.session import staged
 
 
 @dataclass(frozen=True)
@@ -371,23 +373,29 @@ class AdditiveFit:
         self.high = high_card_columns(df, categorical)
         self.nominal = [c for c in categorical if c not in self.high]
         self.numeric = roles.numeric(df)
+        self.freq, self.fill = [f"__freq_{c}" for c in self.high], [f"__num_{c}" for c in self.numeric]
         self.losses: list[float] = []
 
-    def __call__(self, train: DataFrame, params: Mapping[str, float]) -> PipelineModel:
-        p = {**DEFAULTS, **params}
-        if self.max_rounds is not None:
-            p["max_rounds"] = min(p["max_rounds"], self.max_rounds)
-        freq, fill = [f"__freq_{c}" for c in self.high], [f"__num_{c}" for c in self.numeric]
+    def prepare(self, train: DataFrame) -> Prepared:
+        """Fit frequencies and means and write the encoded rows; bins depend on the parameters."""
         stages: list = []
         if self.high:
-            stages.append(FrequencyEncoder(inputCols=self.high, outputCols=freq, spreadCol=self.roles.key))
+            stages.append(FrequencyEncoder(inputCols=self.high, outputCols=self.freq, spreadCol=self.roles.key))
         if self.numeric:
-            stages.append(NumericFill(inputCols=self.numeric, outputCols=fill, strategy="mean"))
+            stages.append(NumericFill(inputCols=self.numeric, outputCols=self.fill, strategy="mean"))
         encoder = Pipeline(stages=stages).fit(train)
-        ready = encoder.transform(train).persist()
-        bins = fit_bins(ready, self.nominal, [*freq, *fill], int(p["max_bins"]))
+        columns = [self.roles.key, "label", *self.nominal, *self.freq, *self.fill]
+        return Prepared(encoder, staged(encoder.transform(train).select(*columns), "encoded"))
+
+    def learn(self, prepared: Prepared, params: Mapping[str, float]) -> AdditiveModel:
+        """Bin, compact and boost prepared rows."""
+        p = {**DEFAULTS, **params}
+        if self.max_rounds is not None:
+            p["max_rounds"] = min(p["max_rounds"], self.max_rounds)
+        ready = prepared.rows
+        bins = fit_bins(ready, self.nominal, [*self.freq, *self.fill], int(p["max_bins"]))
         cells = compact(bins.apply(ready, [self.roles.key, "label"]), bins, self.roles.key, int(p["outer_bags"]))
-        cells = cells.persist()
+        cells = staged(cells, "cells").persist()
         boosting = Boosting(cells, bins, p, self.sweep)
         mains = boosting.add([Term((i,), (bins.size(n),)) for i, n in enumerate(bins.names)])
         boosting.run(mains, int(p["max_rounds"]))
@@ -396,7 +404,6 @@ class AdditiveFit:
             boosting.run(pairs, int(p["max_rounds"]))
         self.losses = [*boosting.losses, boosting.final_loss()]
         cells.unpersist()
-        ready.unpersist()
         scores, intercept = [], float(boosting.intercept.mean())
         for table, counts in zip(boosting.scores, boosting.counts):
             # Centre every term, so the intercept is the mean margin.
@@ -404,14 +411,18 @@ class AdditiveFit:
             shift = float((mean * weight).sum() / weight.sum()) if weight.sum() else 0.0
             scores.append(mean - shift)
             intercept += shift
-        source = dict(zip([*freq, *fill], [*self.high, *self.numeric]))
-        return PipelineModel([*encoder.stages, AdditiveModel(bins, boosting.terms, scores, intercept, source)])
+        source = dict(zip([*self.freq, *self.fill], [*self.high, *self.numeric]))
+        return AdditiveModel(bins, boosting.terms, scores, intercept, source)
+
+    def __call__(self, train: DataFrame, params: Mapping[str, float]) -> PipelineModel:
+        prepared = self.prepare(train)
+        return PipelineModel([*prepared.encoder.stages, self.learn(prepared, params)])
 
 
 def first_round(codes: DataFrame, bins: Bins, learning_rate: float = 0.1) -> DataFrame:
     """Rows ``(feature, code, score)`` after one cyclic round without merging or bags."""
     params = {**DEFAULTS, "learning_rate": learning_rate, "outer_bags": 1, "max_leaves": 10**6, "min_samples_leaf": 1}
-    cells = compact(codes, bins, C.KEY).persist()
+    cells = staged(compact(codes, bins, C.KEY), "cells").persist()
     boosting = Boosting(cells, bins, params)
     mains = boosting.add([Term((i,), (bins.size(n),)) for i, n in enumerate(bins.names)])
     boosting.run(mains, 1)

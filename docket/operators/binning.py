@@ -112,10 +112,9 @@ def selection_frame(
     df: DataFrame, roles: Roles = Roles(), max_bins: int = 16, folds: int = C.SELECTOR_FOLDS
 ) -> tuple[DataFrame, Bins]:
     """Columns ``(key, label, fold, b0, b1, ...)``: the one input of all selectors."""
-    labelled = staged(label_of(df, roles.target).filter("label is not null"), "labelled")
-    ready, nominal, numeric = encoded_features(labelled, roles)
-    if ready is not labelled:
-        ready = staged(ready, "encoded")
+    labelled = label_of(df, roles.target).filter("label is not null")
+    encoded, nominal, numeric = encoded_features(labelled, roles)
+    ready = staged(encoded.select(roles.key, "label", *nominal, *numeric), "encoded")
     bins = fit_bins(ready, nominal, numeric, max_bins)
     codes = bins.apply(ready, [roles.key, "label"])
     return staged(stratified_folds(codes, roles.key, "label", folds), "codes"), bins

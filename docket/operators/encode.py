@@ -18,7 +18,7 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from docket import constants as C
 from docket.operators.contingency import contingency, long_values
@@ -47,27 +47,15 @@ def code_table(df: DataFrame, columns: Sequence[str], missing: str | None = C.MI
 
 
 def label_of(df: DataFrame, target: str, name: str = "label") -> DataFrame:
-    """Add the two-class target as 0/1 by the sorted order of its values.
-
-    The lowest value is found by a combining aggregate and carried as one row.
-    """
-    lowest = df.agg(F.min(target).alias("__low")).withColumn("__one", F.lit(1))
-    return (
-        df.withColumn("__one", F.lit(1))
-        .join(F.broadcast(lowest), "__one")
-        .select(*df.columns, F.when(F.col(target) == F.col("__low"), 0).when(F.col(target).isNotNull(), 1).alias(name))
-    )
+    """Add the two-class target as 0/1 by the sorted order of its values."""
+    lowest = df.agg(F.min(target)).first()[0]
+    return df.withColumn(name, F.when(F.col(target) == F.lit(lowest), 0).when(F.col(target).isNotNull(), 1))
 
 
 def fill_numeric_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill nulls with each column's mean over the whole table (one-row side)."""
-    means = df.agg(*[F.avg(c).alias(f"__{c}") for c in columns]).withColumn("__one", F.lit(1))
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"__{c}")).alias(c) for c in columns}
-    return (
-        df.withColumn("__one", F.lit(1))
-        .join(F.broadcast(means), "__one")
-        .select(*[filled.get(c, F.col(c)) for c in df.columns])
-    )
+    """Fill nulls with each column's mean over the whole table."""
+    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in columns})
 
 
 class _Columns(HasInputCols, HasOutputCols):

@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,6 +20,7 @@ from docket.operators.encode import FrequencyEncoder, NumericFill
 from docket.operators.resample import oversample, oversample_copies
 from docket.operators.screen import high_card_columns
 from docket.schema import Roles
+from docket.session import staged
 
 MAX_NOMINAL = 1000
 
@@ -69,8 +72,8 @@ def classifier(kind: str, params: Mapping[str, float], max_trees: int | None, ma
     )
 
 
-def feature_stages(df: DataFrame, roles: Roles = Roles()) -> tuple[list, list[str], int]:
-    """Encoder stages, the feature names in vector order, and the bins nominal features need."""
+def feature_stages(df: DataFrame, roles: Roles = Roles()) -> tuple[list, list[str]]:
+    """Encoder stages and the feature names in vector order."""
     categorical, numeric = roles.categorical(df), roles.numeric(df)
     high = high_card_columns(df, categorical, max_nominal=MAX_NOMINAL)
     nominal = [c for c in categorical if c not in high]
@@ -97,10 +100,15 @@ def feature_stages(df: DataFrame, roles: Roles = Roles()) -> tuple[list, list[st
         )
         vector += [f"__num_{c}" for c in numeric]
     stages.append(VectorAssembler(inputCols=vector, outputCol="features"))
-    # One bin per value, one for missing and unseen; 32 is Spark's default floor.
-    largest = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in nominal]).first() if nominal else ()
-    max_bins = max(32, *[math.ceil(n * 1.1) + 2 for n in largest]) if nominal else 32
-    return stages, [*high, *nominal, *numeric], max_bins
+    return stages, [*high, *nominal, *numeric]
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """A fitted encoder and the encoded, balanced training rows, written once."""
+
+    encoder: PipelineModel
+    rows: DataFrame
 
 
 class TreeFit:
@@ -119,9 +127,10 @@ class TreeFit:
         max_trees: int | None = None,
     ):
         self.kind, self.roles, self.balance, self.max_trees = kind, roles, balance, max_trees
-        self.stages, self.features, self.max_bins = feature_stages(df, roles)
+        self.stages, self.features = feature_stages(df, roles)
 
-    def __call__(self, train: DataFrame, params: Mapping[str, float]) -> PipelineModel:
+    def prepare(self, train: DataFrame) -> Prepared:
+        """Fit the encoder and balance the classes; none of it depends on the parameters."""
         encoder = Pipeline(stages=self.stages).fit(train)
         if self.balance == "copies":
             rows = oversample_copies(train, self.roles.key, "label", name="weight")
@@ -130,10 +139,21 @@ class TreeFit:
         else:
             rows = train.withColumn("weight", F.lit(1.0))
         ready = encoder.transform(rows).select("label", F.col("weight").cast("double").alias("weight"), "features")
-        ready = ready.persist()
-        learner = classifier(self.kind, params, self.max_trees, self.max_bins).fit(ready)
-        ready.unpersist()
-        return PipelineModel([*encoder.stages, learner])
+        return Prepared(encoder, staged(ready, "encoded"))
+
+    def learn(self, prepared: Prepared, params: Mapping[str, float]) -> Model:
+        """Fit the learner on prepared rows."""
+        widest = max(
+            [len(v) for s in prepared.encoder.stages if isinstance(s, StringIndexerModel) for v in s.labelsArray],
+            default=0,
+        )
+        # One bin per value and one for missing or unseen ones; 32 is Spark's default.
+        learner = classifier(self.kind, params, self.max_trees, max(32, widest + 1))
+        return learner.fit(prepared.rows)
+
+    def __call__(self, train: DataFrame, params: Mapping[str, float]) -> PipelineModel:
+        prepared = self.prepare(train)
+        return PipelineModel([*prepared.encoder.stages, self.learn(prepared, params)])
 
 
 def score(model: Model, df: DataFrame, *keep: str) -> DataFrame:
@@ -146,6 +166,16 @@ def score(model: Model, df: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def each_fold(df: DataFrame, folds: int, threads: int, work: Callable) -> list:
+    """Call ``work(fold, rows outside, rows inside)`` for every fold; folds are independent Spark jobs."""
+    fold = F.col("fold")
+    run = inheritable_thread_target(df.sparkSession)(
+        lambda i: work(i, df.filter(fold != i), df.filter(fold == i))
+    )
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return list(pool.map(run, range(1, folds + 1)))
+
+
 def out_of_fold(
     df: DataFrame,
     fit: Callable[[DataFrame, Mapping[str, float]], Model],
@@ -157,17 +187,11 @@ def out_of_fold(
     """Every row scored once by a model that has not seen its fold.
 
     ``df`` carries ``label`` and ``fold``. The whole fit, encoder and balance
-    included, is done anew per fold; the folds are independent Spark jobs.
+    included, is done anew per fold.
     """
 
-    def one(fold: int) -> DataFrame:
-        model = fit(df.filter(F.col("fold") != fold), params)
-        scored = score(model, df.filter(F.col("fold") == fold), key, "fold", "label")
+    def work(_, train: DataFrame, valid: DataFrame) -> DataFrame:
+        scored = score(fit(train, params), valid, key, "fold", "label")
         return scored.withColumnRenamed("predict", "prediction")
 
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(1, folds + 1)))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return reduce(DataFrame.unionByName, each_fold(df, folds, threads, work))

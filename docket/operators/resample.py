@@ -9,13 +9,6 @@ from docket.functions.draws import hash_order, uniform
 from docket.operators.order_stats import hash_statistics
 
 
-def class_sizes(df: DataFrame, label: str) -> DataFrame:
-    """Rows per class with the largest class beside them; one row per class."""
-    return df.groupBy(label).agg(F.count("*").alias("n")).withColumn(
-        "largest", F.max("n").over(Window.partitionBy(F.lit(1)))
-    )
-
-
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight n / (k * n_c) of each class."""
     everything = Window.partitionBy(F.lit(1))
@@ -34,28 +27,25 @@ def oversample_copies(df: DataFrame, key: str, label: str, seed=C.SEED, name: st
     """Add how often each row occurs once every class has the largest class's size.
 
     Every row of a class of n rows gets floor(T/n) copies, and the first T mod n
-    rows in hash order one more. Only the cut-off hash of each class is looked up.
+    rows in hash order one more. The class sizes and the hash of each class's last
+    extra row are looked up first; adding the copies is then a projection.
     """
+    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    largest = max(sizes.values(), default=0)
+    extra = {c: largest % n for c, n in sizes.items() if largest % n}
     order = hash_order(key, seed)
-    sizes = class_sizes(df, label).select(
-        label,
-        F.floor(F.col("largest") / F.col("n")).alias("__whole"),
-        (F.col("largest") % F.col("n")).alias("__extra"),
-    )
-    tagged = df.join(F.broadcast(sizes), label)
-    cut = (
-        hash_statistics(
-            tagged.filter("__extra > 0"),
-            F.struct(label, "__extra"),
-            order,
-            lambda total: F.array(F.col("g.__extra")),
-        )
-        .select(F.col(f"g.{label}").alias(label), F.col("v").alias("__cut"))
-    )
-    extra = F.coalesce(order <= F.col("__cut"), F.lit(False)).cast("int")
-    return tagged.join(F.broadcast(cut), label, "left").select(
-        *df.columns, (F.col("__whole") + extra).cast("int").alias(name)
-    )
+    cuts = {}
+    if extra:
+        rank = F.lit(None).cast("bigint")
+        for value, n in extra.items():
+            rank = F.when(F.col("g") == value, n).otherwise(rank)
+        short = df.filter(F.col(label).isin(list(extra)))
+        cuts = {r["g"]: r["v"] for r in hash_statistics(short, F.col(label), order, lambda _: F.array(rank)).collect()}
+    copies = F.lit(None).cast("int")
+    for value, n in sizes.items():
+        more = (order <= cuts[value]).cast("int") if value in cuts else F.lit(0)
+        copies = F.when(F.col(label) == value, F.lit(largest // n) + more).otherwise(copies)
+    return df.select(*df.columns, copies.alias(name))
 
 
 def oversample(df: DataFrame, key: str, label: str, seed=C.SEED) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Model
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docket import constants as C
 from docket.functions.draws import loguniform, quniform, uniform
 from docket.operators.metrics import confusion, metrics
-from docket.operators.models import out_of_fold
+from docket.operators.models import each_fold
+from docket.session import staged
 
 
 def draw_parameters(trials: DataFrame, space, trial: str = "trial", seed=C.SEED) -> DataFrame:
@@ -41,7 +43,7 @@ def best_trial(results: DataFrame, score: str = "macro_f1", trial: str = "trial"
 
 def search(
     df: DataFrame,
-    fit: Callable[[DataFrame, Mapping[str, float]], Model],
+    fit,
     kind: str,
     trials: int = C.TRIALS,
     folds: int = C.TRAIN_FOLDS,
@@ -50,17 +52,39 @@ def search(
     threads: int = 4,
     overrides: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """Rows ``(trial, <parameters>, macro_f1)``: macro-F1 of the pooled out-of-fold rows.
+    """Rows ``(trial, <parameters>, <metrics>, macro_f1)`` of the pooled out-of-fold rows.
 
-    ``overrides`` fixes parameters, for instance fewer trees in a trial run.
+    Encoding and balance do not depend on the parameters, so each fold is prepared
+    and written once and serves all trials. Every (trial, fold) pair is then an
+    independent Spark job that hands four counts to the driver. ``overrides`` fixes
+    parameters, for instance fewer trees in a trial run.
     """
     spark = df.sparkSession
-    rows = []
     names = [p[0] for p in C.SPACES[kind]]
-    for drawn in trial_table(spark, kind, trials, seed).collect():
-        params = {**{n: float(drawn[n]) for n in names}, **(overrides or {})}
-        scored = out_of_fold(df, fit, params, key, folds, threads)
-        value = metrics(confusion(scored)).first()["macro_f1"]
-        rows.append((drawn["trial"], *[float(params[n]) for n in names], value))
+    fixed = dict(overrides or {})
+    drawn = {
+        r["trial"]: {**{n: float(r[n]) for n in names}, **fixed}
+        for r in trial_table(spark, kind, trials, seed).collect()
+    }
+
+    def prepare(fold, train, valid):
+        prepared = fit.prepare(train)
+        return prepared, staged(prepared.encoder.transform(valid), f"valid-{fold}")
+
+    prepared = each_fold(df, folds, threads, prepare)
+
+    def judge(task):
+        trial, fold = task
+        ready, valid = prepared[fold]
+        scored = fit.learn(ready, drawn[trial]).transform(valid)
+        return [(trial, r["label"], r["prediction"], r["n"]) for r in confusion(scored).collect()]
+
+    tasks = [(trial, fold) for trial in drawn for fold in range(folds)]
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        counted = list(pool.map(inheritable_thread_target(spark)(judge), tasks))
+    counts = spark.createDataFrame(
+        [row for part in counted for row in part], "trial bigint, label int, prediction int, n bigint"
+    )
     fields = ", ".join(f"{n} double" for n in names)
-    return spark.createDataFrame(rows, f"trial bigint, {fields}, macro_f1 double")
+    table = spark.createDataFrame([(t, *[float(p[n]) for n in names]) for t, p in drawn.items()], f"trial bigint, {fields}")
+    return table.join(F.broadcast(metrics(counts, ("trial",))), "trial")
