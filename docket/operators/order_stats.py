@@ -28,21 +28,16 @@ def order_statistics(
     an array of ranks. Rows with a null value are left out.
     """
     keyed = df.select(group.alias("g"), value.alias("v"), bucket.alias("b")).filter("g is not null and v is not null")
-    in_group = Window.partitionBy("g")
+    hist = keyed.groupBy("g", "b").agg(F.count("*").alias("n"))
+    totals = hist.groupBy("g").agg(F.sum("n").alias("total"))
+    wanted = totals.select("g", "total", F.explode(F.array_distinct(ranks(F.col("total")))).alias("rank"))
+    upto = F.sum("n").over(Window.partitionBy("g").orderBy("b"))
     spots = (
-        keyed.groupBy("g", "b")
-        .agg(F.count("*").alias("n"))
-        .select(
-            "g",
-            "b",
-            "n",
-            (F.sum("n").over(in_group.orderBy("b")) - F.col("n")).alias("before"),
-            F.sum("n").over(in_group).alias("total"),
-        )
-        .withColumn("ranks", F.array_distinct(ranks(F.col("total"))))
-        .withColumn("ranks", F.expr("filter(ranks, r -> r > before and r <= before + n)"))
-        .filter(F.size("ranks") > 0)
-        .drop("n")
+        hist.select("g", "b", (upto - F.col("n")).alias("before"), upto.alias("upto"))
+        .join(F.broadcast(wanted), "g")
+        .filter("rank > before and rank <= upto")
+        .groupBy("g", "b")
+        .agg(F.first("before").alias("before"), F.first("total").alias("total"), F.collect_list("rank").alias("ranks"))
     )
     # One row per wanted rank at most, so the broadcast side has a known bound.
     inside = (

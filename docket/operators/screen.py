@@ -83,16 +83,16 @@ def high_card_columns(
     columns = list(columns)
     if not columns:
         return []
-    sketch = df.agg(
-        F.count("*").alias("__rows"), *[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]
-    ).first()
+    # A sketch of 4096 registers errs by 1.6 percent; the margin is twelve times that.
+    distinct = lambda c: F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(12)))
+    sketch = df.agg(F.count("*").alias("__rows"), *[distinct(c).alias(c) for c in columns]).first()
     rows = max(sketch["__rows"], 1)
     high = lambda n: n / rows > ratio or n > max_nominal
-    near = [c for c in columns if high(sketch[c] * 1.2) != high(sketch[c] * 0.8)]
+    near = [c for c in columns if high((sketch[c] or 0) * 1.2) != high((sketch[c] or 0) * 0.8)]
     exact = {}
     if near:
         exact = {r["feature"]: r["n_distinct"] for r in distinct_counts(contingency(df, near)).collect()}
-    return [c for c in columns if high(exact.get(c, sketch[c]))]
+    return [c for c in columns if high(exact.get(c, sketch[c] or 0))]
 
 
 def columns_with_value(df: DataFrame, columns: Sequence[str], value: str = C.INVALID) -> DataFrame:

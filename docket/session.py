@@ -16,6 +16,7 @@ def local_session(app: str = "docket", cpus: str | int = 8, partitions: int = 8)
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("DOCKET_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
