@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from docket import constants as C
 from docket.operators.contingency import class_counts, long_values
-from docket.session import scratch_path
+from docket.operators.lookup import BROADCAST_ROWS
+from docket.session import scratch_path, staged
 
 
 @dataclass(frozen=True)
@@ -135,13 +136,17 @@ def base_value(leaves: Sequence[Leaf]) -> float:
 def log_odds_attributions(df: DataFrame, columns: Sequence[str], key: str = C.KEY) -> DataFrame:
     """Rows ``(key, feature, value, contribution)`` from add-one class shares of each value.
 
-    A model-free attribution for columns of few values: the contribution of a value
-    is the log of its share in class 1 over its share in class 0. ``df`` carries ``label``.
+    A model-free attribution: the contribution of a value is the log of its share in
+    class 1 over its share in class 0. ``df`` carries ``label``. The table of values is
+    broadcast once its rows have been counted and are few; otherwise it is shuffled, and
+    adaptive execution splits the partitions of frequent values.
     """
     feature = Window.partitionBy("feature")
     share = lambda n: F.log((F.col(n) + 1.0) / (F.sum(n).over(feature) + F.count("*").over(feature)))
     odds = class_counts(df, columns).select("feature", "value", (share("n1") - share("n0")).alias("contribution"))
-    found = F.broadcast(odds.withColumnRenamed("feature", "f").withColumnRenamed("value", "v"))
+    found = staged(odds.withColumnRenamed("feature", "f").withColumnRenamed("value", "v"), "odds")
+    if found.count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
     return (
         long_values(df, columns, [key])
         .join(found, (F.col("feature") == F.col("f")) & F.col("value").eqNullSafe(F.col("v")))

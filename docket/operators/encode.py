@@ -24,7 +24,7 @@ from docket import constants as C
 from docket.operators.contingency import contingency, long_values
 from docket.operators.lookup import BROADCAST_ROWS, lookup_number
 from docket.operators.order_stats import global_index
-from docket.session import working_dir
+from docket.session import staged
 
 
 def code_table(df: DataFrame, columns: Sequence[str], missing: str | None = C.MISSING) -> DataFrame:
@@ -76,10 +76,9 @@ class FrequencyEncoder(Estimator, _Columns, DefaultParamsReadable, DefaultParams
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> FrequencyEncoderModel:
-        # Written once to the shared folder: every transform reads the counts, none recomputes them.
-        working_dir(dataset.sparkSession)
-        counts = contingency(dataset, self.getInputCols()).filter(F.col("value").isNotNull()).checkpoint()
-        return self._copyValues(FrequencyEncoderModel(counts))
+        # Written once to the shared folder: a transform reads one column's counts, none recomputes them.
+        counts = contingency(dataset, self.getInputCols()).filter(F.col("value").isNotNull())
+        return self._copyValues(FrequencyEncoderModel(staged(counts, "counts", partition_by="feature")))
 
 
 class _CountsWriter(MLWriter):
@@ -89,7 +88,7 @@ class _CountsWriter(MLWriter):
 
     def saveImpl(self, path: str) -> None:
         DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession)
-        self.stage.counts.write.mode("overwrite").parquet(f"{path}/counts")
+        self.stage.counts.write.mode("overwrite").partitionBy("feature").parquet(f"{path}/counts")
 
 
 class _CountsReader(MLReader):
@@ -99,7 +98,8 @@ class _CountsReader(MLReader):
 
     def load(self, path: str):
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        stage = self.kind(self.sparkSession.read.parquet(f"{path}/counts"))
+        counts = self.sparkSession.read.schema("feature string, value string, n bigint").parquet(f"{path}/counts")
+        stage = self.kind(counts)
         stage._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(stage, metadata)
         return stage

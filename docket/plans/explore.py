@@ -8,6 +8,7 @@ from docket.operators.contingency import value_counts
 from docket.operators.profile import categorical_profile, duplicate_rows, frequent_values, histogram, numeric_profile
 from docket.operators.screen import flagged, low_variance
 from docket.schema import Roles, conform_types
+from docket.session import staged
 
 
 def explore(raw: DataFrame, roles: Roles = Roles()) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -15,7 +16,7 @@ def explore(raw: DataFrame, roles: Roles = Roles()) -> tuple[dict[str, DataFrame
 
     Here every column is tested, key, numerics and target included.
     """
-    df = conform_types(raw).persist()
+    df = staged(conform_types(raw), "raw")
     numeric, categorical = roles.numeric(df), [*roles.categorical(df), roles.target]
     screen = low_variance(df, df.columns)
     reports = {

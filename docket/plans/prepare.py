@@ -20,6 +20,7 @@ from docket.operators.selection import (
     vote,
 )
 from docket.schema import Roles, conform_types
+from docket.session import staged
 from docket.sources.tables import write_prepared
 
 
@@ -74,10 +75,13 @@ def prepare(
     settings: SelectorSettings = SelectorSettings(),
     form: str = "parquet",
 ) -> tuple[DataFrame, DataFrame]:
-    """The prepared table, raw values and nulls kept, and the vote that shaped it."""
-    screened, _ = drop_low_variance(conform_types(raw), roles)
+    """The prepared table, raw values and nulls kept, and the vote that shaped it.
+
+    Raw cases come as text files. They are parsed once; the job's passes read columns.
+    """
+    screened, _ = drop_low_variance(staged(conform_types(raw), "raw"), roles)
     codes, bins = selection_frame(screened, roles, settings.max_bins, settings.folds)
-    votes = vote(selector_drops(codes, bins, roles.key, settings)).persist()
+    votes = staged(vote(selector_drops(codes, bins, roles.key, settings)), "votes")
     removed = [r["feature"] for r in votes.filter("removed").collect()]
     prepared = screened.drop(*removed)
     if path:

@@ -52,12 +52,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{working_dir(spark).rstrip('/')}/docket-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Iterative jobs read such a table many times. Its plan is one scan, with column
     pruning, and a lost executor costs a re-read and not a recomputation.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
