@@ -154,6 +154,25 @@ def log_odds_attributions(df: DataFrame, columns: Sequence[str], key: str = C.KE
     )
 
 
+def _explained(wide: DataFrame, leaves: Sequence[Leaf], schema: str, keep: Sequence[int] | None = None) -> DataFrame:
+    """Replace the vector ``x`` of every row by the attributions ``parts``, of all features or of a few."""
+    shared = wide.sparkSession.sparkContext.broadcast(list(leaves))
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                parts = leaf_attributions(shared.value, np.stack(batch["x"].to_numpy()))
+                yield batch.drop(columns="x").assign(parts=list(parts if keep is None else parts[:, keep]))
+
+    return wide.mapInPandas(explain, schema)
+
+
+def _long(features: Sequence[str]):
+    names = F.array(*[F.lit(c) for c in features])
+    entries = F.arrays_zip(names.alias("feature"), F.col("values").alias("value"), F.col("parts").alias("contribution"))
+    return F.inline(entries)
+
+
 def attribute(
     df: DataFrame, model: PipelineModel, leaves: Sequence[Leaf], features: Sequence[str], key: str = C.KEY
 ) -> DataFrame:
@@ -162,24 +181,51 @@ def attribute(
     Values are the original ones as text. Rows stay in their partitions; only the
     vectors pass through Python, in Arrow batches.
     """
-    encoded = PipelineModel(model.stages[:-1]).transform(df)
-    wide = encoded.select(
+    wide = PipelineModel(model.stages[:-1]).transform(df).select(
         F.col(key).alias("key"),
         F.array(*[F.col(c).cast("string") for c in features]).alias("values"),
         vector_to_array("features").alias("x"),
     )
-    shared = df.sparkSession.sparkContext.broadcast(list(leaves))
+    kind = df.schema[key].dataType.simpleString()
+    explained = _explained(wide, leaves, f"key {kind}, values array<string>, parts array<double>")
+    return explained.select(F.col("key").alias(key), _long(features)).toDF(key, "feature", "value", "contribution")
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                parts = leaf_attributions(shared.value, np.stack(batch["x"].to_numpy()))
-                yield pd.DataFrame({"key": batch["key"], "values": batch["values"], "parts": list(parts)})
 
-    kind = df.schema[key].dataType.simpleString()
-    explained = wide.mapInPandas(explain, f"key {kind}, values array<string>, parts array<double>")
-    names = F.array(*[F.lit(c) for c in features])
-    return explained.select(
-        F.col("key").alias(key),
-        F.inline(F.arrays_zip(names.alias("feature"), F.col("values").alias("value"), F.col("parts").alias("contribution"))),
-    ).toDF(key, "feature", "value", "contribution")
+def cell_attributions(
+    df: DataFrame, model: PipelineModel, leaves: Sequence[Leaf], features: Sequence[str], wanted: Sequence[str]
+) -> DataFrame:
+    """Rows ``(feature, value, contribution, n)`` of the wanted features, each for n like cases.
+
+    A tree tells two numbers apart only if a threshold lies between them. Numbers
+    are moved up to the next threshold, rows that then look alike are counted, and
+    one attribution serves them all.
+    """
+    cuts: dict[int, set[float]] = {}
+    for leaf in leaves:
+        for c in leaf.conditions:
+            cuts.setdefault(c.feature, set()).update(t for t in (c.low, c.high) if math.isfinite(t))
+
+    def settled(i: int):
+        x, thresholds = F.get(F.col("x"), i), sorted(cuts.get(i, ()))
+        if not thresholds:
+            return x
+        moved = F.when(x <= thresholds[0], thresholds[0])
+        for t in thresholds[1:]:
+            moved = moved.when(x <= t, t)
+        return moved.otherwise(thresholds[-1] + 1.0)
+
+    used = {c.feature for leaf in leaves for c in leaf.conditions}
+    vector = F.array(*[settled(i) if i in used else F.lit(0.0) for i in range(len(features))])
+    cells = (
+        PipelineModel(model.stages[:-1])
+        .transform(df)
+        .select(
+            F.array(*[F.col(c).cast("string") for c in wanted]).alias("values"), vector_to_array("features").alias("x")
+        )
+        .select("values", vector.alias("x"))
+        .groupBy("values", "x")
+        .agg(F.count("*").alias("n"))
+    )
+    keep = [list(features).index(c) for c in wanted]
+    explained = _explained(cells, leaves, "values array<string>, n bigint, parts array<double>", keep)
+    return explained.select("n", _long(wanted)).toDF("n", "feature", "value", "contribution")

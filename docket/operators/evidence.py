@@ -17,13 +17,16 @@ def value_totals(attributions: DataFrame) -> DataFrame:
     """Rows ``(feature, value, n, n_pos, n_neg, sum_abs)``: the one pass over the attributions.
 
     Everything below works on these few rows, so no feature's rows meet in one task.
+    A column ``n`` in the input says for how many cases a row stands.
     """
     contribution = F.col("contribution")
+    cases = F.col("n") if "n" in attributions.columns else F.lit(1)
+    counted = lambda condition: F.sum(F.when(condition, cases).otherwise(0))
     return attributions.groupBy("feature", "value").agg(
-        F.count("*").alias("n"),
-        F.count_if(contribution > 0).alias("n_pos"),
-        F.count_if(contribution < 0).alias("n_neg"),
-        F.sum(F.abs(contribution)).alias("sum_abs"),
+        F.sum(cases).alias("n"),
+        counted(contribution > 0).alias("n_pos"),
+        counted(contribution < 0).alias("n_neg"),
+        F.sum(F.abs(contribution) * cases).alias("sum_abs"),
     )
 
 

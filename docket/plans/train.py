@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docket import constants as C
 from docket.operators.additive import AdditiveFit, AdditiveModel
-from docket.operators.attribution import attribute, tree_leaves
+from docket.operators.attribution import attribute, cell_attributions, tree_leaves
 from docket.operators.encode import label_of
 from docket.operators.evidence import evidence_table, value_totals
 from docket.operators.folds import stratified_folds
@@ -60,6 +60,17 @@ def attributions(df: DataFrame, model: PipelineModel, features: list[str], key:
     return attribute(df, model, leaves, features, key)
 
 
+def evidence_of(df: DataFrame, model: PipelineModel, features: list[str], roles: Roles) -> DataFrame:
+    """The evidence table of any fitted kind; tree attributions are made once per like cases."""
+    flags, last = roles.evidence(df), model.stages[-1]
+    if isinstance(last, AdditiveModel):
+        parts = attributions(df, model, features, roles.key).filter(F.col("feature").isin(flags))
+    else:
+        leaves, _ = tree_leaves(df.sparkSession, last)
+        parts = cell_attributions(df, model, leaves, features, flags)
+    return evidence_table(value_totals(parts), flags)
+
+
 def train(
     prepared: DataFrame,
     root: str,
@@ -81,10 +92,8 @@ def train(
     model = fit(frame, params)
     # Folds and seeds are fixed, so the winner's out-of-fold rows have been scored already.
     measured = best_trial(results).select(*C.METRICS, "macro_f1")
-    flags = roles.evidence(frame)
     features = fit.features if isinstance(fit, TreeFit) else []
-    parts = attributions(frame, model, features, roles.key).filter(F.col("feature").isin(flags))
-    evidence = evidence_table(value_totals(parts), flags)
+    evidence = evidence_of(frame, model, features, roles)
     inputs = frame.drop("label", "fold", roles.target).schema
     run_id, path = save_model(spark, root, model, inputs, evidence)
     record_run(spark, root, experiment, kind, run_id, path, params, measured)

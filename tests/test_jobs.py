@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from docket import constants as C
 from docket.operators import metrics, models, resample
 from docket.operators.additive import AdditiveFit
-from docket.operators.attribution import attribute, base_value, tree_leaves
+from docket.operators.attribution import attribute, base_value, cell_attributions, tree_leaves
+from docket.operators.evidence import value_totals
 from docket.plans.explore import explore
 from docket.plans.prepare import SelectorSettings, prepare
 from docket.plans.score import score_future
@@ -53,6 +54,11 @@ def test_tree_models(spark, frame, kind):
     raw = 2 * F.get(vector_to_array("rawPrediction"), 1) if scale == "log_odds" else F.get(vector_to_array("probability"), 1)
     gap = F.abs(raw - F.col("c") - base_value(leaves))
     assert again.transform(frame).join(sums, C.KEY).agg(F.max(gap)).first()[0] < 1e-9
+    flags = ROLES.evidence(frame)
+    by_row = value_totals(parts.filter(F.col("feature").isin(flags))).orderBy("feature", "value").collect()
+    by_cell = value_totals(cell_attributions(frame, again, leaves, fit.features, flags)).orderBy("feature", "value").collect()
+    assert [r[:5] for r in by_row] == [r[:5] for r in by_cell]
+    assert [r["sum_abs"] for r in by_row] == pytest.approx([r["sum_abs"] for r in by_cell])
     scored = models.out_of_fold(frame, fit, params, folds=3)
     assert scored.select(C.KEY).distinct().count() == scored.count() == frame.count()
     assert macro(scored) > macro(resample.dummy_predictions(frame, C.KEY, "label")) + 0.2
