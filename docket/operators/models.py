@@ -20,7 +20,7 @@ from docket.operators.encode import FrequencyEncoder, NumericFill
 from docket.operators.resample import oversample, oversample_copies
 from docket.operators.screen import high_card_columns
 from docket.schema import Roles
-from docket.session import staged
+from docket.session import spread, staged
 
 MAX_NOMINAL = 1000
 
@@ -139,7 +139,7 @@ class TreeFit:
         else:
             rows = train.withColumn("weight", F.lit(1.0))
         ready = encoder.transform(rows).select("label", F.col("weight").cast("double").alias("weight"), "features")
-        return Prepared(encoder, staged(ready, "encoded"))
+        return Prepared(encoder, staged(spread(ready, train.count()), "encoded"))
 
     def learn(self, prepared: Prepared, params: Mapping[str, float]) -> Model:
         """Fit the learner on prepared rows."""

@@ -16,7 +16,7 @@ from docket.operators.contingency import class_counts
 from docket.operators.metrics import confusion, macro_f1
 from docket.operators.resample import add_class_weight
 from docket.operators.subset_scores import compact, fold_log_odds, odds_arrays, subset_scores
-from docket.session import staged
+from docket.session import spread, staged
 
 Scorer = Callable[[Sequence[Sequence[int]]], list[float]]
 
@@ -227,8 +227,9 @@ def shadow_selection(
     """
     spark = codes.sparkSession
     weighted = add_class_weight(codes, "label")
-    blocks = max(1, math.ceil(weighted.count() / block_rows))
-    blocked = staged(shadow_blocks(weighted, key, bins.columns, blocks), "blocks")
+    rows = weighted.count()
+    blocks = max(1, math.ceil(rows / block_rows))
+    blocked = staged(spread(shadow_blocks(weighted, key, bins.columns, blocks), rows), "blocks")
     name_of = dict(zip(bins.columns, bins.names))
     active = list(bins.columns)
     hits, seen, importance, verdict = ({c: 0 for c in active} for _ in range(4))
@@ -237,11 +238,11 @@ def shadow_selection(
         inputs = [*active, *[f"s_{c}" for c in active]]
         flat = with_shadows(blocked, active, round_no)
         # A fit reads its input several times; the permutations are drawn once.
-        rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(flat)
-        rows = staged(rows.select("label", "weight", "features"), "shadows")
+        vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(flat)
+        vectors = staged(vectors.select("label", "weight", "features"), "shadows")
         forest = RandomForestClassifier(
             numTrees=trees, maxDepth=C.SELECTOR_DEPTH, weightCol="weight", seed=C.SEED + round_no
-        ).fit(rows)
+        ).fit(vectors)
         weights = dict(zip(inputs, forest.featureImportances.toArray()))
         best_shadow = max(weights[f"s_{c}"] for c in active)
         for c in active:

@@ -61,3 +61,13 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def spread(df: DataFrame, rows: int, rows_per_core: int = 1_000_000) -> DataFrame:
+    """Use every core for a small table that a learner will read many times.
+
+    A few megabytes would otherwise sit in one partition. Larger tables have enough
+    partitions of their own and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if rows < cores * rows_per_core else df
