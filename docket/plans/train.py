@@ -14,7 +14,7 @@ from docket.operators.attribution import attribute, cell_attributions, tree_leav
 from docket.operators.encode import label_of
 from docket.operators.evidence import evidence_table, value_totals
 from docket.operators.folds import stratified_folds
-from docket.operators.models import TreeFit
+from docket.operators.models import TreeFit, score
 from docket.operators.search import best_trial, search
 from docket.schema import Roles, conform_types
 from docket.session import staged
@@ -95,7 +95,8 @@ def train(
     features = fit.features if isinstance(fit, TreeFit) else []
     evidence = evidence_of(frame, model, features, roles)
     inputs = frame.drop("label", "fold", roles.target).schema
-    run_id, path = save_model(spark, root, model, inputs, evidence)
+    outputs = score(model, frame, roles.key, roles.job).schema
+    run_id, path = save_model(spark, root, model, inputs, outputs, evidence)
     record_run(spark, root, experiment, kind, run_id, path, params, measured)
     return {
         "run_id": run_id,

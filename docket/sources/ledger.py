@@ -21,6 +21,7 @@ class SavedModel:
 
     model: PipelineModel
     schema: T.StructType
+    outputs: T.StructType
     evidence: DataFrame
 
 
@@ -29,12 +30,20 @@ def run_name(kind, at=None):
     return F.concat_ws("_", kind, F.date_format(at if at is not None else F.current_timestamp(), RUN_FORMAT))
 
 
-def save_model(spark: SparkSession, root: str, model: PipelineModel, schema: T.StructType, evidence: DataFrame) -> tuple[str, str]:
-    """Write model, training schema and evidence to a directory of their own."""
+def save_model(
+    spark: SparkSession,
+    root: str,
+    model: PipelineModel,
+    schema: T.StructType,
+    outputs: T.StructType,
+    evidence: DataFrame,
+) -> tuple[str, str]:
+    """Write model, signature (input and output schema) and evidence to a directory of their own."""
     run_id = uuid.uuid4().hex
     path = f"{root.rstrip('/')}/models/{run_id}"
     model.write().overwrite().save(f"{path}/model")
     save_schema(spark, schema, f"{path}/schema")
+    save_schema(spark, outputs, f"{path}/outputs")
     evidence.coalesce(1).write.mode("overwrite").parquet(f"{path}/evidence")
     return run_id, path
 
@@ -42,7 +51,10 @@ def save_model(spark: SparkSession, root: str, model: PipelineModel, schema: T.S
 def load_saved(spark: SparkSession, path: str) -> SavedModel:
     """Read a model directory back."""
     return SavedModel(
-        PipelineModel.load(f"{path}/model"), load_schema(spark, f"{path}/schema"), spark.read.parquet(f"{path}/evidence")
+        PipelineModel.load(f"{path}/model"),
+        load_schema(spark, f"{path}/schema"),
+        load_schema(spark, f"{path}/outputs"),
+        spark.read.parquet(f"{path}/evidence"),
     )
 
 

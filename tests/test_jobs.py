@@ -111,6 +111,8 @@ def test_prepare_train_and_score(spark, folder):
         ledger.promote(spark, root, run["run_id"], "outcome", "Staging")
         ledger.find_model(spark, root, "outcome", "Production")
     ledger.promote(spark, root, run["run_id"], "outcome", "Production")
+    saved = ledger.load_saved(spark, run["path"])
+    assert C.TARGET not in saved.schema.names and saved.outputs.names == [C.KEY, "cargo", "predict", "probability"]
     out = f"{root}/out"
     scored, proof = score_future(spark, raw, root, "outcome", "Production", out)
     assert scored.columns == [C.KEY, "cargo", "predict", "probability"]
