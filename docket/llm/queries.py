@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docket.llm import packing, token_store
+from docket.llm import html_text, licenses, packing, token_store, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACK_TOKENIZER, STORE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -22,6 +22,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    return licenses.summary(licenses.scan(table(spark, folder, "documents")))
+
+
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best candidates of every vector whose id is divisible by 50."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    return topk.exact_top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in windows of 2048 ids, end id 1."""
     packed = packing.pack(table(spark, folder, "documents"), tokenizer_path(PACK_TOKENIZER), end_id=1)
@@ -39,7 +55,20 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op4_packing": op4_packing,
+    "op8_topk": op8_topk,
+    "op9_html_text": op9_html_text,
     "op10_token_store": op10_token_store,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_license_scan": licenses.oracle(),
+    "op8_topk": """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as query_id, b.vec_id, cast(list_dot_product(a.q, b.q) as bigint) as score
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+""",
+}
