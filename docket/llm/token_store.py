@@ -253,5 +253,5 @@ def read_ids(spark: SparkSession, root: str, manifest: list, keys: DataFrame) ->
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary")
     routed = keys.select("doc_id").distinct().mapInArrow(route, "doc_id long, at int")
     return (
-        routed.repartition("at").sortWithinPartitions("at", "doc_id").mapInArrow(look_up, "doc_id long, start long, n_tokens long, ids binary")
+        routed.repartition(len(manifest), "at").sortWithinPartitions("at", "doc_id").mapInArrow(look_up, "doc_id long, start long, n_tokens long, ids binary")
     )
