@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docket.llm import html_text, licenses, packing, token_store, topk
+from docket.llm import html_text, licenses, packing, phrases, token_store, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACK_TOKENIZER, STORE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -27,6 +27,12 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, folder, "documents")))
 
 
+def op5_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without words that windows of 13 repeat from earlier ones."""
+    kept = phrases.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The five best candidates of every vector whose id is divisible by 50."""
     vectors = table(spark, folder, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
@@ -57,12 +63,25 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op4_packing": op4_packing,
+    "op5_repeated_phrases": op5_repeated_phrases,
     "op8_topk": op8_topk,
     "op9_html_text": op9_html_text,
     "op10_token_store": op10_token_store,
 }
 ORACLE: dict[str, str] = {
     "op1_license_scan": licenses.oracle(),
+    "op5_repeated_phrases": r"""
+with t as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+k as (select doc_id, i, ws[i] as x, array_to_string(ws[i:i + 12], ' ') as s, i + 12 <= len(ws) as whole
+  from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from t)),
+m as (select s, min(doc_id) as lo from k where whole group by s),
+gone as (select distinct k.doc_id, k.i + j.j as i from k join m on k.s = m.s cross join (select unnest(range(13)) as j) j
+  where k.whole and m.lo < k.doc_id),
+kept as (select doc_id, string_agg(x, ' ' order by i) as text from k anti join gone using (doc_id, i) group by doc_id),
+n as (select doc_id, count(*) as n from gone group by doc_id)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from t left join n using (doc_id) left join kept using (doc_id)
+""",
     "op8_topk": """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q from embeddings
   where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),

@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 BLOCK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -146,3 +147,23 @@ def bounded_batches(spark, megabytes: int = 8) -> None:
     The default bound is 10,000 rows; with long texts that can be gigabytes.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
+
+
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each range of ``values`` (64-bit hashes); ranges may overlap."""
+    power, inverse = _power_tables(len(values) + 1)
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * power[: len(values)], out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64), 21)
+
+
+def dealt(docs: DataFrame, blocks_per_partition: int = 8, key: str = "doc_id") -> DataFrame:
+    """``docs`` in blocks by hash of their id, in a column ``__block``.
+
+    Steps that group by the block share one shuffle of the texts. There are several blocks for
+    each of the session's shuffle partitions, so a block's size follows that setting.
+    """
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    block = F.pmod(F.xxhash64(F.col(key)), F.lit(n * blocks_per_partition)).cast("int")
+    return docs.withColumn("__block", block).repartition(n, "__block")
