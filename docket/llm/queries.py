@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docket.llm import html_text, licenses, packing, phrases, token_store, topk
+from docket.llm import html_text, licenses, near_dup, packing, phrases, token_store, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACK_TOKENIZER, STORE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -33,6 +33,11 @@ def op5_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_dup.classes(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The five best candidates of every vector whose id is divisible by 50."""
     vectors = table(spark, folder, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op4_packing": op4_packing,
     "op5_repeated_phrases": op5_repeated_phrases,
+    "op6_near_duplicates": op6_near_duplicates,
     "op8_topk": op8_topk,
     "op9_html_text": op9_html_text,
     "op10_token_store": op10_token_store,
