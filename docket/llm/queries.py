@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docket.llm import html_text, licenses, near_dup, packing, phrases, token_store, topk
+from docket.llm import decontaminate, html_text, licenses, near_dup, packing, phrases, token_store, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACK_TOKENIZER, STORE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -49,6 +49,19 @@ def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark items that leak into documents."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score of every document; a quarter of the labels is held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = toxicity.in_fold(F.col("doc_id"), 4, 2)
+    model = toxicity.fit(docs, table(spark, folder, "labels"), held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in windows of 2048 ids, end id 1."""
     packed = packing.pack(table(spark, folder, "documents"), tokenizer_path(PACK_TOKENIZER), end_id=1)
@@ -67,6 +80,8 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
+    "op2_decontamination": op2_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op5_repeated_phrases": op5_repeated_phrases,
     "op6_near_duplicates": op6_near_duplicates,
