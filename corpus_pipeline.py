@@ -1,20 +1,59 @@
-"""The corpus pipeline: STAGES in order, each written as Parquet and read again for the next."""
+"""The corpus pipeline: STAGES in order, each written as Parquet and read again for the next.
+
+Every stage works on all that its predecessor kept. All but the last return the columns of
+``documents``: rejected documents are gone, repeated passages are cut from the texts. Rows with a null id are
+judged by their text where a stage can, and are otherwise kept.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docket.llm import packing
+from docket.llm import decontaminate, near_dup, packing, phrases, toxicity
 from docket.llm.queries import PACK_TOKENIZER, tokenizer_path
 from docket.session import staged
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, learned from the labels of these documents, does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels, toxicity.in_fold(F.col("doc_id"), 4, 2))
+    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each near-duplicate class."""
+    rest = near_dup.classes(docs.select("doc_id", "text")).where("class_id <> doc_id").select("doc_id").distinct()
+    return docs.join(rest, "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages of 13 words and more that an earlier document has."""
+    kept = phrases.remove_repeats(docs, tidy=False)
+    changed = F.col("n_removed") > 0
+    columns = [F.when(changed, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns]
+    return kept.select(*columns)
+
+
+def not_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of what is left, in windows of 2048 ids."""
     return packing.pack(docs, tokenizer_path(PACK_TOKENIZER), end_id=1)
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("toxicity", not_toxic),
+    ("near_duplicates", one_of_each),
+    ("repeated_phrases", without_repeats),
+    ("decontamination", not_leaked),
+    ("packing", packed),
+]
+# Character lattices and weighted samples have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -213,9 +213,9 @@ def confirmed(cut: DataFrame, size: int, rows_at_once: int = 50_000) -> DataFram
     return cut.groupBy("shard").applyInArrow(search, "__block int, piece long, at array<int>, low array<long>")
 
 
-def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 13, tidy: bool = True) -> DataFrame:
     """``docs`` without repeated words: the columns of ``docs`` with ``text`` as the kept words joined
-    by one space, and ``n_words``, ``n_removed``."""
+    by one space, and ``n_words``, ``n_removed``. Unless ``tidy``, texts that lose no word stay as they are."""
     spark = docs.sparkSession
     bounded_batches(spark)
     shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -245,7 +245,9 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
             np.add.at(gone, start + size, -1)
         covered = np.cumsum(gone)[:-1] > 0
         raw, texts, removed = w.data.tobytes(), [], []
-        _, offsets = text_bytes(left.column("text").combine_chunks())
+        written = left.column("text").combine_chunks()
+        _, offsets = text_bytes(written)
+        absent = written.is_null().to_numpy(zero_copy_only=False)
         for i in range(left.num_rows):
             a, b = int(w.row_words[i]), int(w.row_words[i + 1])
             mask = covered[a:b]
@@ -255,7 +257,8 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
                 kept = a + np.flatnonzero(~mask)
                 texts.append(b" ".join([raw[x:y] for x, y in zip(w.starts[kept].tolist(), w.ends[kept].tolist())]))
             else:
-                texts.append(b" ".join(raw[offsets[i] : offsets[i + 1]].split()))
+                whole = raw[offsets[i] : offsets[i + 1]]
+                texts.append(b" ".join(whole.split()) if tidy else None if absent[i] else whole)
         out = left.select(columns)
         out = out.set_column(columns.index("text"), "text", pa.array(texts, pa.binary()).cast(pa.string()))
         out = out.append_column("n_words", pa.array(np.diff(w.row_words)))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docket.llm import decontaminate, html_text, licenses, near_dup, packing, phrases, token_store, topk, toxicity
+from docket.llm import decontaminate, html_text, licenses, near_dup, ngram_lm, packing, phrases, token_store, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACK_TOKENIZER, STORE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -38,6 +38,22 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.classes(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of every document under a model of four fifths of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = toxicity.in_fold(F.col("doc_id"), 5, 1)
+    trie = ngram_lm.train(docs.where(~held_out))
+    return ngram_lm.score(docs, trie).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(trie.total).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The five best candidates of every vector whose id is divisible by 50."""
     vectors = table(spark, folder, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
@@ -85,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_repeated_phrases": op5_repeated_phrases,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_language_model": op7_language_model,
     "op8_topk": op8_topk,
     "op9_html_text": op9_html_text,
     "op10_token_store": op10_token_store,
