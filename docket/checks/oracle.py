@@ -10,7 +10,7 @@ KEPT = ("cargo", "vt", "matricula", "ultima_remuneracao", "tempo_cargo", "prova_
 NOMINAL = ("cargo", "vt", "prova_1", "prova_2", "prova_3", "prova_7")
 BINNED = ("matricula", "ultima_remuneracao", "tempo_cargo")
 FLAGS = tuple(f"prova_{i}" for i in range(1, 9))
-FLAG_PARTS = tuple(c for c in CATEGORICAL if c != "matricula")
+FLAG_PARTS = (*CATEGORICAL, *NUMERIC)
 KEEP = 4
 
 CASES = """
@@ -377,7 +377,7 @@ ORACLE: dict[str, str] = {
     ),
     "duplicate_rows": q(
         "select cast(sum(n) as bigint) as n_rows, count(*) as n_distinct_rows, count(*) filter (n > 1) as n_repeated, "
-        f"cast(sum(n - 1) as bigint) as n_duplicates from (select count(*) as n from cases group by cargo, {', '.join(FLAGS)})"
+        f"cast(sum(n - 1) as bigint) as n_duplicates from (select count(*) as n from cases group by {', '.join((C.KEY, *CATEGORICAL, *NUMERIC, C.TARGET))})"
     ),
     "low_variance_screen": q("select *, rule <> 'keep' as dropped from screen", counts(CATEGORICAL), SCREEN),
     "low_variance_all_columns": q(
@@ -385,6 +385,13 @@ ORACLE: dict[str, str] = {
         f"counts as (select feature, value, count(*) as n from ({long(ALL, source='cases')}) group by feature, value)",
         SCREEN,
     ),
+    "high_card_columns": q(
+        "select feature, count(value) / sum(n) > 0.3 as high_card from counts group by feature", counts(CATEGORICAL)
+    ),
+    "future_from_csv": q(
+        f"select {C.KEY}, {', '.join(c for c in CATEGORICAL)}, ultima_remuneracao, cast(tempo_cargo as double) as tempo_cargo "
+        f"from cases where {C.KEY} % 5 = 0"
+    ),
     "high_cardinality": q(
         "select feature, cast(sum(n) as bigint) as n_rows, count(value) as n_distinct, round(count(value) / sum(n), 6) as ratio, "
         "count(value) / sum(n) > 0.3 as high_card from counts group by feature",

@@ -79,8 +79,7 @@ def scorer(spark: SparkSession, folder: str) -> selection.CellScorer:
 
 def flag_parts(spark: SparkSession, folder: str) -> DataFrame:
     df = labelled(spark, folder)
-    columns = [c for c in ROLES.categorical(df) if c != "matricula"]
-    return attribution.log_odds_attributions(df, columns)
+    return attribution.log_odds_attributions(df, ROLES.features(df))
 
 
 def flag_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -293,7 +292,7 @@ def histogram(spark, folder):
 
 def duplicate_rows(spark, folder):
     df = case_table(spark, folder)
-    return profile.duplicate_rows(df, [c for c in df.columns if c.startswith(C.EVIDENCE_PATTERN) or c == "cargo"])
+    return profile.duplicate_rows(df, df.columns)
 
 
 # Screening
@@ -314,6 +313,23 @@ def high_cardinality(spark, folder):
     return rounded(screen.high_cardinality(df, ROLES.categorical(df)), "ratio")
 
 
+def high_card_columns(spark, folder):
+    """The columns that the jobs encode by frequency."""
+    df = case_table(spark, folder)
+    columns = ROLES.categorical(df)
+    high = screen.high_card_columns(df, columns)
+    return spark.createDataFrame([(c, c in high) for c in columns], "feature string, high_card boolean")
+
+
+def future_from_csv(spark, folder):
+    """Future cases as a file spells them, conformed to the training columns."""
+    raw = cases(spark, folder)
+    path = scratch_path(spark, "future")
+    tables.write_csv(raw.where(F.col(C.KEY) % 5 == 0), path)
+    wanted = conform_types(raw).drop(C.TARGET).schema
+    return plain(tables.read_future(spark, path, wanted, raw_schema=raw.schema))
+
+
 def feature_difference(spark, folder):
     df = case_table(spark, folder)
     report = screen.low_variance(df, ROLES.categorical(df))
@@ -463,12 +479,12 @@ def forward_selection(spark, folder):
 
 def genetic_selection(spark, folder):
     s = scorer(spark, folder)
-    return selection.genetic_selection(spark, s.bins.names, s, KEEP, population=30, generations=5, patience=3)
+    return selection.genetic_selection(spark, s.bins.names, s, KEEP)
 
 
 def boruta_ranking(spark, folder):
     codes, bins = coded(spark, folder)
-    return selection.shadow_selection(codes, bins, rounds=5, trees=10)
+    return selection.shadow_selection(codes, bins, rounds=20, trees=30)
 
 
 # Models
@@ -550,9 +566,11 @@ def tree_attribution(spark, folder):
 def scoring_job(spark, folder):
     root = scratch_path(spark, "root")
     settings = TrainSettings(trials=1, folds=2, overrides={"n_estimators": 5, "num_leaves": 8})
-    run = train(screened(spark, folder).drop("label"), root, "bagged", settings=settings)
+    past = screened(spark, folder).drop("label").where(F.col(C.KEY) % 5 != 0)
+    run = train(past, root, "bagged", settings=settings)
     ledger.promote(spark, root, run["run_id"], "outcome", "Production")
-    scored, _ = score_future(spark, cases(spark, folder), root, "outcome", "Production", f"{root}/out")
+    future = cases(spark, folder).where(F.col(C.KEY) % 5 == 0)
+    scored, _ = score_future(spark, future, root, "outcome", "Production", f"{root}/out")
     return scored
 
 
@@ -621,7 +639,8 @@ QUERIES: dict[str, Query] = {
         screened_table, column_roles, cast_types, packed_features, unpacked_result, valid_values, value_present,
         invalid_marker_columns, fill_missing, class_balance, counts_by_outcome, distinct_values, column_modes,
         column_centres, crosstab_outcome, profile_numeric, profile_categorical, frequent_values, histogram,
-        duplicate_rows, low_variance_screen, low_variance_all_columns, high_cardinality, feature_difference,
+        duplicate_rows, low_variance_screen, low_variance_all_columns, high_cardinality, high_card_columns,
+        future_from_csv, feature_difference,
         label_encode, category_codes, frequency_encode, mean_impute, feature_codes, class_weights, stratified_folds,
         oversample, oversample_labels, dummy_baseline, dummy_draws, confusion_metrics, macro_f1, classification_report,
         mutual_information, top_k_features, bottom_features, selector_vote, forward_step, forward_selection,

@@ -15,12 +15,12 @@ import pandas as pd
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docket import constants as C
 from docket.operators.contingency import class_counts, long_values
 from docket.operators.lookup import BROADCAST_ROWS
-from docket.session import scratch_path, staged
+from docket.session import scratch_path, ship, staged
 
 
 @dataclass(frozen=True)
@@ -141,9 +141,13 @@ def log_odds_attributions(df: DataFrame, columns: Sequence[str], key: str = C.KE
     broadcast once its rows have been counted and are few; otherwise it is shuffled, and
     adaptive execution splits the partitions of frequent values.
     """
-    feature = Window.partitionBy("feature")
-    share = lambda n: F.log((F.col(n) + 1.0) / (F.sum(n).over(feature) + F.count("*").over(feature)))
-    odds = class_counts(df, columns).select("feature", "value", (share("n1") - share("n0")).alias("contribution"))
+    counts = staged(class_counts(df, columns), "class-counts")
+    # One row for each feature, whatever its values: a unique column does not meet in one task.
+    totals = counts.groupBy("feature").agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"), F.count("*").alias("values"))
+    share = lambda n, t: F.log((F.col(n) + 1.0) / (F.col(t) + F.col("values")))
+    odds = counts.join(F.broadcast(totals), "feature").select(
+        "feature", "value", (share("n1", "t1") - share("n0", "t0")).alias("contribution")
+    )
     found = staged(odds.withColumnRenamed("feature", "f").withColumnRenamed("value", "v"), "odds")
     if found.count() <= BROADCAST_ROWS:
         found = F.broadcast(found)
@@ -156,6 +160,7 @@ def log_odds_attributions(df: DataFrame, columns: Sequence[str], key: str = C.KE
 
 def _explained(wide: DataFrame, leaves: Sequence[Leaf], schema: str, keep: Sequence[int] | None = None) -> DataFrame:
     """Replace the vector ``x`` of every row by the attributions ``parts``, of all features or of a few."""
+    ship(wide.sparkSession)
     shared = wide.sparkSession.sparkContext.broadcast(list(leaves))
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

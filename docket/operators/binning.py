@@ -1,7 +1,7 @@
 """Small integer codes for every feature: nominal values by place, numerics by quantile bin.
 
-Code 0 stands for missing or unseen. A feature keeps at most ``max_nominal`` or
-``max_bins`` codes, so tables indexed by code stay small whatever the row count.
+Code 0 stands for missing or unseen. A numeric feature keeps at most ``max_bins`` codes. A nominal one
+keeps all its values; columns of too many values for their rows are encoded by frequency.
 """
 
 from __future__ import annotations
@@ -55,8 +55,9 @@ class Bins:
         codes = []
         for name, column in zip(self.names, self.columns):
             if name in self.nominal:
-                values = F.array(*[F.lit(v) for v in self.nominal[name]]).cast("array<string>")
-                code = F.array_position(values, F.col(name).cast("string"))
+                # A literal map is looked up by hash; a list would be read from its start.
+                values = {v: i for i, v in enumerate(self.nominal[name], 1)}
+                code = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col(name).cast("string")] if values else F.lit(0)
             else:
                 known = F.col(name).isNotNull() & ~F.isnan(F.col(f"__x_{name}"))
                 code = F.when(known, F.col(f"__bin_{name}") + 1 if len(cuts[name]) > 2 else F.lit(1))
@@ -69,14 +70,14 @@ def fit_bins(
     nominal: Sequence[str],
     numeric: Sequence[str],
     max_bins: int = 16,
-    max_nominal: int = 1000,
+    max_nominal: int | None = None,
 ) -> Bins:
     """Learn the values and the quantile cuts; both lists have a fixed upper size."""
     values: dict[str, list[str]] = {}
     if nominal:
         row = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(c) for c in nominal]).first()
         values = {c: list(row[c]) for c in nominal}
-        wide = [c for c, v in values.items() if len(v) > max_nominal]
+        wide = [c for c, v in values.items() if max_nominal is not None and len(v) > max_nominal]
         if wide:
             raise ValueError(f"too many values for a nominal feature, encode by frequency: {', '.join(wide)}")
     cuts: dict[str, list[float]] = {c: [] for c in numeric}

@@ -47,8 +47,14 @@ def code_table(df: DataFrame, columns: Sequence[str], missing: str | None = C.MI
 
 
 def label_of(df: DataFrame, target: str, name: str = "label") -> DataFrame:
-    """Add the two-class target as 0/1 by the sorted order of its values."""
-    lowest = df.agg(F.min(target)).first()[0]
+    """Add the two-class target as 0/1 by the sorted order of its values; null stays null.
+
+    A target that has not exactly two values is an error.
+    """
+    found = df.select(target).where(F.col(target).isNotNull()).distinct().limit(3).collect()
+    if len(found) != 2:
+        raise ValueError(f"{target} has {len(found) if len(found) < 3 else 'more than two'} values, two are needed")
+    lowest = min(r[0] for r in found)
     return df.withColumn(name, F.when(F.col(target) == F.lit(lowest), 0).when(F.col(target).isNotNull(), 1))
 
 

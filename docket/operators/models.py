@@ -20,9 +20,7 @@ from docket.operators.encode import FrequencyEncoder, NumericFill
 from docket.operators.resample import oversample, oversample_copies
 from docket.operators.screen import high_card_columns
 from docket.schema import Roles
-from docket.session import spread, staged
-
-MAX_NOMINAL = 1000
+from docket.session import by_key, staged
 
 
 def tree_params(kind: str, params: Mapping[str, float], max_trees: int | None = None) -> dict:
@@ -72,10 +70,16 @@ def classifier(kind: str, params: Mapping[str, float], max_trees: int | None, ma
     )
 
 
-def feature_stages(df: DataFrame, roles: Roles = Roles()) -> tuple[list, list[str]]:
-    """Encoder stages and the feature names in vector order."""
+def feature_stages(
+    df: DataFrame, roles: Roles = Roles(), max_nominal: int | None = None
+) -> tuple[list, list[str]]:
+    """Encoder stages and the feature names in vector order.
+
+    Columns are nominal or encoded by frequency by their ratio alone. A nominal column of more than
+    ``max_nominal`` values, if given, is an error.
+    """
     categorical, numeric = roles.categorical(df), roles.numeric(df)
-    high = high_card_columns(df, categorical, max_nominal=MAX_NOMINAL)
+    high = high_card_columns(df, categorical, max_nominal=max_nominal)
     nominal = [c for c in categorical if c not in high]
     stages: list = []
     vector: list[str] = []
@@ -109,6 +113,7 @@ class Prepared:
 
     encoder: PipelineModel
     rows: DataFrame
+    n: int = 0
 
 
 class TreeFit:
@@ -138,8 +143,9 @@ class TreeFit:
             rows = oversample(train, self.roles.key, "label").withColumn("weight", F.lit(1.0))
         else:
             rows = train.withColumn("weight", F.lit(1.0))
-        ready = encoder.transform(rows).select("label", F.col("weight").cast("double").alias("weight"), "features")
-        return Prepared(encoder, staged(spread(ready, train.count()), "encoded"))
+        weight = F.col("weight").cast("double").alias("weight")
+        ready = staged(encoder.transform(rows).select(F.col(self.roles.key).alias("key"), "label", weight, "features"), "encoded")
+        return Prepared(encoder, ready, ready.count())
 
     def learn(self, prepared: Prepared, params: Mapping[str, float]) -> Model:
         """Fit the learner on prepared rows."""
@@ -149,7 +155,8 @@ class TreeFit:
         )
         # One bin per value and one for missing or unseen ones; 32 is Spark's default.
         learner = classifier(self.kind, params, self.max_trees, max(32, widest + 1))
-        return learner.fit(prepared.rows)
+        # Files are split by the number of cores; the learner's input must not be.
+        return learner.fit(by_key(prepared.rows, prepared.n, "key"))
 
     def __call__(self, train: DataFrame, params: Mapping[str, float]) -> PipelineModel:
         prepared = self.prepare(train)

@@ -72,13 +72,13 @@ def high_card_columns(
     df: DataFrame,
     columns: Sequence[str],
     ratio: float = C.HIGH_CARD_RATIO,
-    max_nominal: int = 1000,
+    max_nominal: int | None = None,
 ) -> list[str]:
-    """Columns to encode by frequency, decided exactly.
+    """Columns to encode by frequency, decided exactly by the ratio of distinct values to rows.
 
-    One pass of sketches settles the clear cases; only columns near a limit are
-    counted exactly. A column with more than ``max_nominal`` values counts as high
-    whatever its ratio, since a list of its values would grow with the data.
+    One pass of sketches settles the clear cases; only columns near the limit are
+    counted exactly. With ``max_nominal``, a column below the ratio that has more values is an
+    error: a list of its values would be too long, and the caller has to say what to do.
     """
     columns = list(columns)
     if not columns:
@@ -87,11 +87,14 @@ def high_card_columns(
     distinct = lambda c: F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(12)))
     sketch = df.agg(F.count("*").alias("__rows"), *[distinct(c).alias(c) for c in columns]).first()
     rows = max(sketch["__rows"], 1)
-    high = lambda n: n / rows > ratio or n > max_nominal
+    high = lambda n: n / rows > ratio
     near = [c for c in columns if high((sketch[c] or 0) * 1.2) != high((sketch[c] or 0) * 0.8)]
     exact = {}
     if near:
         exact = {r["feature"]: r["n_distinct"] for r in distinct_counts(contingency(df, near)).collect()}
+    wide = [c for c in columns if max_nominal is not None and not high(n := exact.get(c, sketch[c] or 0)) and n > max_nominal]
+    if wide:
+        raise ValueError(f"more than {max_nominal} values in a nominal column: {', '.join(wide)}")
     return [c for c in columns if high(exact.get(c, sketch[c] or 0))]
 
 

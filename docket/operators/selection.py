@@ -16,7 +16,7 @@ from docket.operators.contingency import class_counts
 from docket.operators.metrics import confusion, macro_f1
 from docket.operators.resample import add_class_weight
 from docket.operators.subset_scores import compact, fold_log_odds, odds_arrays, subset_scores
-from docket.session import spread, staged
+from docket.session import by_key, staged
 
 Scorer = Callable[[Sequence[Sequence[int]]], list[float]]
 
@@ -203,7 +203,7 @@ def with_shadows(blocked: DataFrame, columns: Sequence[str], round_no: int) -> D
     shadows = blocked.select("rows", *[permuted(c).alias(f"s_{c}") for c in columns])
     zipped = F.arrays_zip("rows", *[f"s_{c}" for c in columns])
     return shadows.select(F.explode(zipped).alias("z")).select(
-        "z.rows.label", "z.rows.weight", *[f"z.rows.{c}" for c in columns], *[f"z.s_{c}" for c in columns]
+        "z.rows.h", "z.rows.label", "z.rows.weight", *[f"z.rows.{c}" for c in columns], *[f"z.s_{c}" for c in columns]
     )
 
 
@@ -229,7 +229,7 @@ def shadow_selection(
     weighted = add_class_weight(codes, "label")
     rows = weighted.count()
     blocks = max(1, math.ceil(rows / block_rows))
-    blocked = staged(spread(shadow_blocks(weighted, key, bins.columns, blocks), rows), "blocks")
+    blocked = staged(shadow_blocks(weighted, key, bins.columns, blocks), "blocks")
     name_of = dict(zip(bins.columns, bins.names))
     active = list(bins.columns)
     hits, seen, importance, verdict = ({c: 0 for c in active} for _ in range(4))
@@ -237,12 +237,13 @@ def shadow_selection(
     for round_no in range(1, rounds + 1):
         inputs = [*active, *[f"s_{c}" for c in active]]
         flat = with_shadows(blocked, active, round_no)
-        # A fit reads its input several times; the permutations are drawn once.
+        # A fit reads its input several times; the permutations are drawn once and kept while it lasts.
         vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(flat)
-        vectors = staged(vectors.select("label", "weight", "features"), "shadows")
+        vectors = by_key(vectors.select("h", "label", "weight", "features"), rows, "h").persist()
         forest = RandomForestClassifier(
             numTrees=trees, maxDepth=C.SELECTOR_DEPTH, weightCol="weight", seed=C.SEED + round_no
         ).fit(vectors)
+        vectors.unpersist()
         weights = dict(zip(inputs, forest.featureImportances.toArray()))
         best_shadow = max(weights[f"s_{c}"] for c in active)
         for c in active:

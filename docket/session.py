@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +52,39 @@ def working_dir(spark: SparkSession) -> str:
     return folder
 
 
+_made: list[tuple[str, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{working_dir(spark).rstrip('/')}/docket-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder, noted for :func:`cleared`."""
+    path = f"{working_dir(spark).rstrip('/')}/docket-{name}-{uuid.uuid4().hex[:12]}"
+    _made.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that this session has made below the shared folder."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        if (spark.sparkContext.applicationId, path) not in _made:
+            raise ValueError(f"not made by this session: {path}")
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+        _made.remove((spark.sparkContext.applicationId, path))
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside the block when it ends.
+
+    What leaves the block must not read them: a job returns what it has written or
+    collected.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        discard(spark, *[path for _, path in _made[before:]])
 
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -63,11 +98,35 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def spread(df: DataFrame, rows: int, rows_per_core: int = 1_000_000) -> DataFrame:
-    """Use every core for a small table that a learner will read many times.
+def by_key(df: DataFrame, rows: int, *key: str, rows_per_partition: int = 20_000) -> DataFrame:
+    """Partitions that depend on the rows alone, each in the order of the key.
 
-    A few megabytes would otherwise sit in one partition. Larger tables have enough
-    partitions of their own and are left as they are.
+    Spark's tree learners sample and add up by partition. With the number of partitions taken
+    from the row count and rows dealt by key hash, a model does not change with the
+    cores, the files or the size of the splits.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if rows < cores * rows_per_core else df
+    n = max(1, -(-rows // rows_per_partition))
+    return df.repartition(n, *key).sortWithinPartitions(*key)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, for a cluster where it is not installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # Executors fetch the file from the driver later on, so it stays until the driver ends.
+    folder = tempfile.mkdtemp(prefix="docket-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "docket.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for at, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(at, name)
+                    out.write(file, os.path.join("docket", os.path.relpath(file, root)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+_shipped: set[str] = set()

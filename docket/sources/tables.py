@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from docket.schema import conform_columns, load_schema, save_schema
+from docket.schema import conform_columns, conform_types, load_schema, save_schema
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,12 +45,24 @@ def read_prepared(spark: SparkSession, path: str, form: str = "parquet") -> Data
     return reader.format(form).load(path)
 
 
-def read_future(spark: SparkSession, path: str, schema: T.StructType, form: str = "csv") -> DataFrame:
-    """Scan future cases and conform them to the training columns."""
+def read_future(
+    spark: SparkSession, path: str, schema: T.StructType, form: str = "csv", raw_schema: T.StructType | None = None
+) -> DataFrame:
+    """Scan future cases and conform them to the training columns.
+
+    ``schema`` has the columns as training saw them, ``raw_schema`` as the raw table types them. A CSV
+    file is read with the raw types, so a boolean spelled ``true`` in it becomes the training's ``True``;
+    columns are found by the header's names, whatever their order.
+    """
     reader = spark.read
     if form == "csv":
         reader = reader.option("header", True)
-    return conform_columns(reader.format(form).load(path), schema)
+        if raw_schema is not None:
+            text = reader.csv(path)
+            known = {f.name: f.dataType for f in raw_schema.fields}
+            typed = text.select(*[F.col(c).cast(known.get(c, T.StringType())).alias(c) for c in text.columns])
+            return conform_columns(conform_types(typed), schema)
+    return conform_columns(conform_types(reader.format(form).load(path)), schema)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

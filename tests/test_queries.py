@@ -38,5 +38,6 @@ def test_shadows_confirm_signal_and_not_noise(spark, folder):
     verdict = {r["feature"]: r for r in QUERIES["boruta_ranking"](spark, folder).collect()}
     assert verdict["prova_1"]["hits"] == verdict["prova_1"]["rounds"]
     assert verdict["prova_3"]["hits"] == verdict["prova_3"]["rounds"]
-    assert verdict["prova_7"]["verdict"] != "confirmed"
+    assert verdict["prova_1"]["verdict"] == verdict["prova_3"]["verdict"] == "confirmed"
+    assert verdict["prova_7"]["verdict"] == "rejected"
     assert sorted(r["place"] for r in verdict.values()) == list(range(1, len(verdict) + 1))
