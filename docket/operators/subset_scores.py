@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from docket.operators.binning import Bins
 from docket.operators.metrics import macro_f1
+from docket.session import ship
 
 
 def compact(codes: DataFrame, bins: Bins) -> DataFrame:
@@ -97,6 +98,7 @@ def subset_confusions(cells: DataFrame, bins: Bins, odds: np.ndarray, masks: Seq
                 }
             )
 
+    ship(cells.sparkSession)
     partial = cells.mapInPandas(count, "mask int, fold int, label int, prediction int, n bigint")
     return partial.groupBy("mask", "fold", "label", "prediction").agg(F.sum("n").alias("n")).filter("n > 0")
 

@@ -17,8 +17,8 @@ from docket.operators.folds import stratified_folds
 from docket.operators.models import TreeFit, score
 from docket.operators.search import best_trial, search
 from docket.schema import Roles, conform_types
-from docket.session import staged
-from docket.sources.ledger import record_run, save_model
+from docket.session import cleared, staged
+from docket.sources.ledger import load_saved, record_run, save_model
 
 
 @dataclass(frozen=True)
@@ -79,30 +79,41 @@ def train(
     settings: TrainSettings = TrainSettings(),
     experiment: str = "train",
 ) -> dict:
-    """Fit one kind of model and record it; returns run id, path, results and evidence."""
+    """Fit one kind of model and record it; returns run id, path, model, results and evidence.
+
+    Rows without a target cannot be learned from; their number is returned as
+    ``rows_without_target``. One job runs at a time in a session.
+    """
     spark = prepared.sparkSession
-    frame = training_frame(prepared, roles, settings.folds, settings.text_fills)
-    fit = fitter(kind, frame, roles, settings)
-    results = search(
-        frame, fit, kind, settings.trials, settings.folds, roles.key, threads=settings.threads, overrides=settings.overrides
-    ).persist()
     names = [p[0] for p in C.SPACES[kind]]
-    winner = best_trial(results).first()
-    params = {n: winner[n] for n in names}
-    model = fit(frame, params)
-    # Folds and seeds are fixed, so the winner's out-of-fold rows have been scored already.
-    measured = best_trial(results).select(*C.METRICS, "macro_f1")
-    features = fit.features if isinstance(fit, TreeFit) else []
-    evidence = evidence_of(frame, model, features, roles)
-    inputs = frame.drop("label", "fold", roles.target).schema
-    outputs = score(model, frame, roles.key, roles.job).schema
-    run_id, path = save_model(spark, root, model, inputs, outputs, evidence)
+    unlabelled = prepared.where(F.col(roles.target).isNull()).count()
+    with cleared(spark):
+        frame = training_frame(prepared, roles, settings.folds, settings.text_fills)
+        fit = fitter(kind, frame, roles, settings)
+        found = search(
+            frame, fit, kind, settings.trials, settings.folds, roles.key, threads=settings.threads, overrides=settings.overrides
+        )
+        results = spark.createDataFrame(found.collect(), found.schema)
+        winner = best_trial(results).first()
+        params = {n: winner[n] for n in names}
+        model = fit(frame, params)
+        # Folds and seeds are fixed, so the winner's out-of-fold rows have been scored already.
+        measured = best_trial(results).select(*C.METRICS, "macro_f1")
+        features = fit.features if isinstance(fit, TreeFit) else []
+        evidence = evidence_of(frame, model, features, roles)
+        inputs = frame.drop("label", "fold", roles.target).schema
+        outputs = score(model, frame, roles.key, roles.job).schema
+        raw = prepared.drop(roles.target).schema
+        run_id, path = save_model(spark, root, model, inputs, outputs, evidence, raw)
     record_run(spark, root, experiment, kind, run_id, path, params, measured)
+    # The intermediate tables are gone; what is handed on reads the model directory.
+    saved = load_saved(spark, path)
     return {
         "run_id": run_id,
         "path": path,
-        "model": model,
+        "model": saved.model,
         "results": results,
         "metrics": measured,
-        "evidence": spark.read.parquet(f"{path}/evidence"),
+        "evidence": saved.evidence,
+        "rows_without_target": unlabelled,
     }

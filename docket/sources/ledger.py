@@ -23,6 +23,7 @@ class SavedModel:
     schema: T.StructType
     outputs: T.StructType
     evidence: DataFrame
+    raw: T.StructType
 
 
 def run_name(kind, at=None):
@@ -37,13 +38,18 @@ def save_model(
     schema: T.StructType,
     outputs: T.StructType,
     evidence: DataFrame,
+    raw: T.StructType | None = None,
 ) -> tuple[str, str]:
-    """Write model, signature (input and output schema) and evidence to a directory of their own."""
+    """Write model, signature (input and output schema) and evidence to a directory of their own.
+
+    ``raw`` has the types of the input before it was conformed; files of future cases are read with it.
+    """
     run_id = uuid.uuid4().hex
     path = f"{root.rstrip('/')}/models/{run_id}"
     model.write().overwrite().save(f"{path}/model")
     save_schema(spark, schema, f"{path}/schema")
     save_schema(spark, outputs, f"{path}/outputs")
+    save_schema(spark, raw or schema, f"{path}/raw")
     evidence.coalesce(1).write.mode("overwrite").parquet(f"{path}/evidence")
     return run_id, path
 
@@ -55,6 +61,7 @@ def load_saved(spark: SparkSession, path: str) -> SavedModel:
         load_schema(spark, f"{path}/schema"),
         load_schema(spark, f"{path}/outputs"),
         spark.read.parquet(f"{path}/evidence"),
+        load_schema(spark, f"{path}/raw"),
     )
 
 

@@ -12,11 +12,11 @@ from docket.operators.attribution import attribute, base_value, cell_attribution
 from docket.operators.evidence import value_totals
 from docket.plans.explore import explore
 from docket.plans.prepare import SelectorSettings, prepare
-from docket.plans.score import score_future
+from docket.plans.score import score_file, score_future
 from docket.plans.train import TrainSettings, train, training_frame
 from docket.operators.screen import drop_low_variance
 from docket.schema import Roles, conform_types
-from docket.session import scratch_path
+from docket.session import scratch_path, working_dir
 from docket.sources import ledger, tables
 from docket.sources.cases import cases
 
@@ -132,3 +132,52 @@ def test_raw_csv_is_inferred_once(spark, folder):
     from docket.schema import load_schema
 
     assert tables.read_raw(spark, path, load_schema(spark, f"{path}.schema")).schema == inferred.schema
+
+
+def test_train_leaves_only_its_outputs(spark, folder, tmp_path):
+    import glob
+
+    made = lambda: set(glob.glob(f"{working_dir(spark).removeprefix('file:')}/docket-*"))
+    stored = cases(spark, folder)
+    before = made()
+    run = train(stored, str(tmp_path), "bagged", settings=TrainSettings(trials=1, folds=2, overrides={"n_estimators": 3, "num_leaves": 4}))
+    assert made() == before and run["rows_without_target"] == 0
+    assert models.score(run["model"], conform_types(stored), C.KEY).count() == stored.count()
+
+
+def test_future_cases_from_a_file(spark, folder, tmp_path):
+    past = cases(spark, folder)
+    root = str(tmp_path / "root")
+    quick = TrainSettings(trials=1, folds=2, overrides={"n_estimators": 3, "num_leaves": 4})
+    run = train(past, root, "bagged", settings=quick)
+    ledger.promote(spark, root, run["run_id"], "outcome", "Production")
+    tables.write_csv(past, str(tmp_path / "future"))
+    by_table, _ = score_future(spark, past, root, "outcome", "Production")
+    by_file, _ = score_file(spark, str(tmp_path / "future"), root, "outcome", "Production")
+    assert sorted(map(tuple, by_file.collect())) == sorted(map(tuple, by_table.collect()))
+
+
+CORES = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from docket.session import local_session
+from docket.checks.queries import QUERIES
+spark = local_session("cores", sys.argv[3], 4)
+for name in ("gbt_scores", "forest_scores"):
+    rows = QUERIES[name](spark, sys.argv[2]).orderBy("codigo_processo").collect()
+    print(name, hash(tuple((r[0], r[2], round(r[3], 9)) for r in rows)))
+"""
+
+
+def test_models_do_not_depend_on_cores(folder):
+    import os
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"PYTHONHASHSEED": "0", "DOCKET_DRIVER_MEMORY": "4g"}
+    said = [
+        subprocess.run([sys.executable, "-c", CORES, here, folder, n], capture_output=True, text=True, env=env, check=True).stdout
+        for n in ("2", "4", "8")
+    ]
+    assert said[0] and said[0] == said[1] == said[2]

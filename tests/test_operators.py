@@ -331,3 +331,12 @@ def test_duplicates_and_histogram_of_a_flat_column(spark):
     df = spark.createDataFrame([(1.0,), (1.0,), (1.0,)], "x double")
     assert tuple(profile.duplicate_rows(df).first()) == (3, 1, 1, 2)
     assert [tuple(r) for r in profile.histogram(df, ["x"]).collect()] == [("x", 0, 1.0, 3)]
+
+
+@pytest.mark.parametrize("values", [["a"], ["a", "b", "c"], [None]])
+def test_a_target_needs_two_classes(spark, values):
+    from docket.operators.encode import label_of
+
+    df = spark.createDataFrame([(v,) for v in values], "y string")
+    with pytest.raises(ValueError, match="two are needed"):
+        label_of(df, "y")
