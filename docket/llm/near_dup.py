@@ -2,19 +2,19 @@
 
 A document is its set of five-word shingles, weighted by how often the shingle occurs in it
 times the inverse document frequency. Improved consistent weighted sampling draws
-``BANDS * ROWS`` samples; two documents agree in a sample with a probability equal to their
+``SAMPLES`` samples; two documents agree in a sample with a probability equal to their
 weighted Jaccard similarity. Documents that agree in a whole band are candidates, and
 candidates are verified by their exact weighted Jaccard similarity.
 
 Document frequencies are counted over all documents, in a table of fixed size indexed by the
 shingle's hash: shingles that share a place add up. The table is what is broadcast, whatever the corpus.
 
-Classes without pairs of a group: exact copies collapse to their smallest id by one
-aggregation. In each bucket every document is a candidate of the smallest one, and the best of a document's
-candidates is verified first. Documents so linked form classes. Only where a bucket still
-holds several classes are its members compared across classes, by their samples, in
-chunks of bounded size; what looks similar is verified. No link between different classes is left out for
-the size of a bucket.
+Classes without all pairs of a group: exact copies collapse to their smallest id by one
+aggregation. The members of a bucket are compared by their samples in chunks of bounded size, inside a task. In
+the first rounds each document hands on only the mate of another class that looks most similar;
+those pairs are verified, and linked documents form classes. In the last round only buckets that still hold
+several classes are compared, and every pair across classes that looks similar is verified. So no link
+between different classes is left out for the size of a bucket, and pairs inside a class are not made.
 
 Defined results: null and empty texts have no shingle and are a class of their own each; a
 text of one to four words is one shingle; rows with a null id have no class; rows with equal ids
@@ -35,9 +35,11 @@ from docket.session import staged
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 16, 4
+SAMPLES = 2 * BANDS * ROWS  # the second half only sharpens the comparison inside buckets
 PLACES = 1 << 20
 POOL = 1 << 16
-PLAUSIBLE = 0.6
+PLAUSIBLE = 0.7
+BEST_ROUNDS = 2
 CHUNK = 2048
 
 
@@ -124,7 +126,7 @@ class Sampler:
     """Consistent weighted samples. The random numbers of a shingle in sample ``j`` come from a
     pool, at a place that a multiply-shift hash of the shingle gives for ``j``."""
 
-    def __init__(self, samples: int = BANDS * ROWS) -> None:
+    def __init__(self, samples: int = SAMPLES) -> None:
         rng = np.random.default_rng(20_240_601)
         r = rng.gamma(2.0, 1.0, POOL).astype(np.float32)
         c = rng.gamma(2.0, 1.0, POOL)
@@ -168,7 +170,7 @@ def sketches(docs: DataFrame, table) -> DataFrame:
                 drawn = sampler.samples(starts, value, weights[_place(value)] * count)
                 bands = np.zeros((len(starts), BANDS), np.uint64)
                 for k in range(ROWS):
-                    bands = mix(bands ^ drawn[:, k::ROWS], 71)
+                    bands = mix(bands ^ drawn[:, k : BANDS * ROWS : ROWS], 71)
                 once = mix(value ^ (count.astype(np.uint64) << np.uint64(1)), 81)
                 a, b = np.add.reduceat(mix(once, 1), starts), np.add.reduceat(mix(once, 2), starts)
                 flat = pa.array(bands.view(np.int64).ravel())
@@ -219,12 +221,8 @@ def weighted_jaccard(a: bytes, b: bytes) -> float:
     return both / (float(wx.astype(np.float64).sum()) + float(wy.astype(np.float64).sum()) - both)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, table, similar: float) -> DataFrame:
-    """The pairs (u, v) whose weighted Jaccard similarity is at least ``similar``."""
-    pairs = staged(pairs.select("u", "v"), "pairs")
-    asked = pairs.select(F.col("u").alias("doc_id")).unionAll(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    some = docs.select(F.col("doc_id").cast("long"), "text").join(asked, "doc_id", "left_semi")
-    sets = staged(weighted_sets(some, table), "sets")
+def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The pairs (u, v) whose weighted Jaccard similarity, from ``weighted_sets``, is at least ``similar``."""
     left = sets.select(F.col("doc_id").alias("u"), F.col("members").alias("a"))
     right = sets.select(F.col("doc_id").alias("v"), F.col("members").alias("b"))
 
@@ -237,26 +235,12 @@ def verified(docs: DataFrame, pairs: DataFrame, table, similar: float) -> DataFr
     return joined.mapInArrow(judge, "u long, v long, similarity double").where(F.col("similarity") >= similar)
 
 
-def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).mean(axis=-1)
-
-
-def compared(pairs: DataFrame) -> DataFrame:
-    """(u, v, share): the share of samples in which two documents agree, from columns a and b."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, BANDS * ROWS) for k in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_agreement(a, b))], ["u", "v", "share"])
-
-    return pairs.select("u", "v", "a", "b").mapInArrow(compare, "u long, v long, share double")
-
-
-def across(members: DataFrame) -> DataFrame:
-    """Pairs of documents of one bucket, but different classes, that look similar.
+def across(members: DataFrame, best: bool) -> DataFrame:
+    """Pairs (who, u, v, share) of documents of one bucket, but different classes, that look similar.
 
     ``members``: band, key, doc_id, class, samples, and the bucket's size ``n``. A bucket is compared in
-    chunks of about ``CHUNK`` documents; a task holds two chunks at a time.
+    chunks of about ``CHUNK`` documents; a task holds two chunks at a time. With ``best``, only each
+    document's most similar mate in a chunk; else all pairs, each in the first band they share.
     """
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), chunks).cast("int")
@@ -269,41 +253,50 @@ def across(members: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
 
-        def pairs_of(t: pa.Table, keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-            own, ids, kind = keys[4], t.column(5).to_numpy(), t.column(6).to_numpy()
-            drawn = np.frombuffer(b"".join(t.column(7).to_pylist()), "<u2").reshape(-1, BANDS * ROWS)
+        def flush(t: pa.Table) -> pa.RecordBatch:
+            t = t.combine_chunks()
+            band, key, low, high, own, ids, kind = (t.column(k).to_numpy() for k in range(7))
+            drawn = np.frombuffer(b"".join(t.column(7).to_pylist()), "<u2").reshape(-1, SAMPLES)
             change = np.zeros(len(ids), bool)
             change[0] = True
-            for k in keys[:4]:
+            for k in (band, key, low, high):
                 change[1:] |= k[1:] != k[:-1]
             cuts = np.append(np.flatnonzero(change), len(ids))
-            us, vs = [], []
+            who, mate, shares = [], [], []
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 if b - a < 2 or (kind[a:b] == kind[a]).all():
                     continue
-                low_high = keys[2][a] != keys[3][a]
-                for r in range(a, b - 1):
-                    later = np.arange(r + 1, b)
-                    later = later[kind[later] != kind[r]]
-                    if low_high:
-                        later = later[own[later] != own[r]]
-                    if len(later):
-                        later = later[_agreement(drawn[later], drawn[r]) >= PLAUSIBLE]
-                        us.append(np.full(len(later), ids[r]))
-                        vs.append(ids[later])
+                for r in range(a, b):
+                    others = np.arange(a if best else r + 1, b)
+                    others = others[kind[others] != kind[r]]
+                    if low[a] != high[a]:
+                        others = others[own[others] != own[r]]
+                    if not len(others):
+                        continue
+                    equal = drawn[others] == drawn[r]
+                    share = equal.mean(axis=1)
+                    keep = share >= PLAUSIBLE
+                    if best:
+                        top = int(share.argmax())
+                        keep &= np.arange(len(others)) == top
+                    elif band[a]:
+                        earlier = equal[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)[:, : band[a]].all(axis=2).any(axis=1)
+                        keep &= ~earlier
+                    if keep.any():
+                        who.append(np.full(int(keep.sum()), ids[r]))
+                        mate.append(ids[others[keep]])
+                        shares.append(share[keep])
             none = [np.zeros(0, np.int64)]
-            return np.concatenate(us or none), np.concatenate(vs or none)
-
-        def flush(t: pa.Table) -> pa.RecordBatch:
-            t = t.combine_chunks()
-            u, v = pairs_of(t, [t.column(k).to_numpy() for k in range(5)])
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
+            w, m = np.concatenate(who or none), np.concatenate(mate or none)
+            share = np.concatenate(shares or [np.zeros(0)])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(w), pa.array(np.maximum(w, m)), pa.array(np.minimum(w, m)), pa.array(share)], ["who", "u", "v", "share"]
+            )
 
         for batch in batches:
             t = pa.Table.from_batches([batch])
             t = pa.concat_tables([rest, t]) if rest is not None else t
             last = [t.column(k)[-1].as_py() for k in range(4)]
-            begin = t.num_rows - 1
             columns = [t.column(k).to_numpy() for k in range(4)]
             differs = np.zeros(t.num_rows, bool)
             for c, x in zip(columns, last):
@@ -316,7 +309,10 @@ def across(members: DataFrame) -> DataFrame:
             yield flush(rest)
 
     keys = ["band", "key", "low", "high"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "doc_id").mapInArrow(compare, "u long, v long").distinct()
+    found = rows.repartition(*keys).sortWithinPartitions(*keys, "doc_id").mapInArrow(compare, "who long, u long, v long, share double")
+    if best:
+        found = found.groupBy("who").agg(F.max_by(F.struct("u", "v"), F.struct("share", -F.col("v"), -F.col("u"))).alias("p")).select("p.u", "p.v")
+    return found.select("u", "v").distinct()
 
 
 def broadcast_idf(spark: SparkSession, docs: DataFrame):
@@ -339,24 +335,23 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     one = drawn.join(member.where("doc_id = first").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     one = staged(one.select("doc_id", "bands", "samples"), "distinct")
     bands = one.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    samples = one.select(F.col("doc_id").alias("id"), "samples")
-    buckets = bands.groupBy("band", "key").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = bands.join(buckets, ["band", "key"]).where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct()
-    stars = stars.join(samples.select(F.col("id").alias("u"), F.col("samples").alias("a")), "u")
-    stars = stars.join(samples.select(F.col("id").alias("v"), F.col("samples").alias("b")), "v")
-    best = compared(stars).where(F.col("share") >= PLAUSIBLE).groupBy("u").agg(F.max_by("v", F.struct("share", -F.col("v"))).alias("v"))
-    links = staged(verified(docs, best, table, similar), "links")
-    first = components(links)
-    # Buckets that still hold several classes are compared across them.
-    kind = bands.join(first, bands["doc_id"] == first["node"], "left").select(
-        "band", "key", "doc_id", F.coalesce("component", "doc_id").alias("class")
-    )
-    kind = staged(kind, "members")
-    mixed = kind.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("a"), F.max("class").alias("b"))
-    mixed = mixed.where("a < b").select("band", "key", "n")
-    members = kind.join(mixed, ["band", "key"]).join(samples.withColumnRenamed("id", "doc_id"), "doc_id")
-    more = verified(docs, across(members), table, similar)
-    linked = components(links.select("u", "v").unionAll(more.select("u", "v")))
+    shared = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bands = staged(bands.join(shared, ["band", "key"]).select("band", "key", "n", "doc_id"), "buckets")
+    # The weighted sets of all documents in shared buckets, once for all rounds.
+    asked = bands.select("doc_id").distinct().hint("shuffle_hash")
+    sets = staged(weighted_sets(docs.select(F.col("doc_id").cast("long"), "text").join(asked, "doc_id", "left_semi"), table), "sets")
+    links, linked = None, None
+    for best in [True] * BEST_ROUNDS + [False]:
+        kind = bands.withColumn("class", F.col("doc_id"))
+        if linked is not None:
+            kind = bands.join(linked, bands["doc_id"] == linked["node"], "left").select(*bands.columns, F.coalesce("component", "doc_id").alias("class"))
+            kind = staged(kind, "kinds")
+            mixed = kind.groupBy("band", "key").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a < b").select("band", "key")
+            kind = kind.join(mixed, ["band", "key"])
+        pairs = staged(across(kind.join(one.select("doc_id", "samples"), "doc_id"), best), "pairs")
+        found = verified(pairs, sets, similar).select("u", "v")
+        links = staged(found if links is None else links.unionAll(found), "links")
+        linked = components(links)
     found = member.join(linked, member["first"] == linked["node"], "left").groupBy("doc_id").agg(
         F.min(F.coalesce("component", "first")).alias("class_id"), F.max("n_copies").alias("n_copies")
     )
