@@ -29,7 +29,7 @@ def brute(rows, table):
     sets = {}
     for i, t in rows:
         row, value, count = near_dup.shingles(pa.array([t], pa.string()))
-        sets[i] = {v: w for v, w in zip(value.tolist(), (table[near_dup._place(value)] * count).tolist())}
+        sets[i] = {v: w for v, w in zip(value.tolist(), near_dup.weight(table, value, count).tolist())}
     parent = {i: i for i in sets}
 
     def root(i):
