@@ -11,7 +11,6 @@ A level is a table of such sequences in ranges of the key, one file each, with p
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +18,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
+from docket.llm.files import put
 from docket.llm.words import bounded_batches
 
 BLOCK_WORDS = 8
@@ -129,14 +129,13 @@ def write_level(rows: DataFrame, root: str, name: str, shards: int, payload: Cal
         head = json.dumps({"n": sequence.n, "base": sequence.base, "top": sequence.top, "bits": sequence.bits, "arrays": kinds}).encode()
         head += b" " * (-(len(head) + 8) % 8)
         shard = TaskContext.get().partitionId()
-        fs, path = pafs.FileSystem.from_uri(root)
-        fs.create_dir(path, recursive=True)
-        own = f"{path}/.{name}-{shard}.{uuid.uuid4().hex}"
-        with fs.open_output_stream(own) as out:
+
+        def content(out) -> None:
             out.write(len(head).to_bytes(8, "little") + head)
             for a in arrays.values():
                 out.write(a.tobytes() + b"\0" * (-a.nbytes % 8))
-        fs.move(own, f"{path}/{name}-{shard:06d}")
+
+        put(root, f"{name}-{shard:06d}", content)
         yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in (shard, sequence.n, sequence.base, sequence.top)], ["shard", "n", "base", "top"])
 
     found = rows.repartitionByRange(shards, "key").sortWithinPartitions("key").mapInArrow(write, "shard long, n long, base long, top long")

@@ -20,7 +20,6 @@ than key and text are not read.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docket.llm.encode import encoder, with_end
+from docket.llm.files import put
 from docket.llm.words import bounded_batches, mix, pieces, text_bytes
 from docket.session import scratch_path
 
@@ -86,16 +86,6 @@ class PerfectHash:
         return out
 
 
-def _put(root: str, name: str, content) -> None:
-    """Write a file under a name of its own and move it; ``content`` gets the open stream."""
-    fs, path = pafs.FileSystem.from_uri(root)
-    fs.create_dir(path, recursive=True)
-    own = f"{path}/.{name}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(own) as out:
-        content(out)
-    fs.move(own, f"{path}/{name}")
-
-
 def _index(keys: np.ndarray, null: np.ndarray, counts: np.ndarray) -> bytes:
     """The index of a shard whose documents have these keys, in order."""
     hashes = _hashed(keys, null)
@@ -177,10 +167,10 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int, shards: int | None
                     counts.append(n)
 
         # The name is told from the shard alone: a second run of the task writes the same.
-        _put(root, f"{shard:06d}.ids", content)
+        put(root, f"{shard:06d}.ids", content)
         key, null, n = np.concatenate(keys), np.concatenate(nulls), np.concatenate(counts)
         if len(key):
-            _put(root, f"{shard:06d}.mph", lambda out: out.write(_index(key, null, n)))
+            put(root, f"{shard:06d}.mph", lambda out: out.write(_index(key, null, n)))
             real = key[~null]
             row = (shard, len(key), int(n.sum()), width, int(real.min()) if len(real) else None, int(real.max()) if len(real) else None, bool(null.any()))
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
@@ -194,7 +184,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int, shards: int | None
     manifest = sorted(manifest, key=lambda r: r["shard"])
     fs, path = pafs.FileSystem.from_uri(root)
     fs.create_dir(path, recursive=True)
-    _put(root, "manifest.json", lambda out: out.write(json.dumps([r.asDict() for r in manifest]).encode()))
+    put(root, "manifest.json", lambda out: out.write(json.dumps([r.asDict() for r in manifest]).encode()))
     return root, manifest
 
 

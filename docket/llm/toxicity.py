@@ -262,7 +262,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = TRAINI
     labels = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = labels.where(~held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     chosen = staged(chosen.select(F.col("doc_id").alias("id"), "toxic"), "labels")
-    sample = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("id")).select("toxic", "text")
+    # At most ``rows`` rows: a bounded table.
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("toxic", "text")
     sample = staged(_present(sample, shared, ["toxic"]), "labelled")
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     ones, all_rows = totals.get(1, 0), sum(totals.values())

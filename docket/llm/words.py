@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from docket.session import ship
+
 BLOCK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -142,10 +144,11 @@ def pieces(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
 
 
 def bounded_batches(spark, megabytes: int = 8) -> None:
-    """Have Spark hand Arrow batches of bounded size to Python workers.
+    """Have Spark hand Arrow batches of bounded size to Python workers, which get this package.
 
     The default bound is 10,000 rows; with long texts that can be gigabytes.
     """
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
 
 
