@@ -23,7 +23,11 @@ from docket.sources.ledger import load_saved, record_run, save_model
 
 @dataclass(frozen=True)
 class TrainSettings:
-    """Sizes of a training run; the defaults are those of the method."""
+    """Sizes of a training run; the defaults are those of the method.
+
+    ``sweep`` says how the additive model boosts: all terms of a round in one job
+    (``"round"``), or one term for each job (``"feature"``).
+    """
 
     trials: int = C.TRIALS
     folds: int = C.TRAIN_FOLDS
@@ -31,6 +35,7 @@ class TrainSettings:
     balance: str | None = "copies"
     max_trees: int | None = None
     max_rounds: int | None = None
+    sweep: str = "round"
     overrides: Mapping[str, float] = field(default_factory=dict)
     text_fills: Mapping[str, str] = field(default_factory=dict)
 
@@ -47,7 +52,7 @@ def training_frame(raw: DataFrame, roles: Roles, folds: int, text_fills: Mapping
 def fitter(kind: str, df: DataFrame, roles: Roles, settings: TrainSettings):
     """How a kind is fitted: ``boosted``, ``bagged`` or ``additive``."""
     if kind == "additive":
-        return AdditiveFit(df, roles, settings.max_rounds)
+        return AdditiveFit(df, roles, settings.max_rounds, sweep=settings.sweep)
     return TreeFit(df, kind, roles, settings.balance, settings.max_trees)
 
 
