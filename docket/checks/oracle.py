@@ -380,6 +380,11 @@ ORACLE: dict[str, str] = {
         f"cast(sum(n - 1) as bigint) as n_duplicates from (select count(*) as n from cases group by {', '.join((C.KEY, *CATEGORICAL, *NUMERIC, C.TARGET))})"
     ),
     "low_variance_screen": q("select *, rule <> 'keep' as dropped from screen", counts(CATEGORICAL), SCREEN),
+    "explore_job": q(
+        "select *, rule <> 'keep' as dropped from screen",
+        f"counts as (select feature, value, count(*) as n from ({long(ALL, source='cases')}) group by feature, value)",
+        SCREEN,
+    ),
     "low_variance_all_columns": q(
         "select *, rule <> 'keep' as dropped from screen",
         f"counts as (select feature, value, count(*) as n from ({long(ALL, source='cases')}) group by feature, value)",

@@ -30,6 +30,7 @@ from docket.operators import (
     selection,
     subset_scores,
 )
+from docket.plans.explore import explore
 from docket.plans.score import score_future
 from docket.plans.train import TrainSettings, attributions, fitter, train, training_frame
 from docket.schema import Roles, columns_like, conform_columns, conform_types
@@ -313,6 +314,12 @@ def high_cardinality(spark, folder):
     return rounded(screen.high_cardinality(df, ROLES.categorical(df)), "ratio")
 
 
+def explore_job(spark, folder):
+    """The exploration job; its screening report of all columns."""
+    reports, _ = explore(cases(spark, folder))
+    return rounded(reports["screen"], "top_share")
+
+
 def high_card_columns(spark, folder):
     """The columns that the jobs encode by frequency."""
     df = case_table(spark, folder)
@@ -640,7 +647,7 @@ QUERIES: dict[str, Query] = {
         invalid_marker_columns, fill_missing, class_balance, counts_by_outcome, distinct_values, column_modes,
         column_centres, crosstab_outcome, profile_numeric, profile_categorical, frequent_values, histogram,
         duplicate_rows, low_variance_screen, low_variance_all_columns, high_cardinality, high_card_columns,
-        future_from_csv, feature_difference,
+        explore_job, future_from_csv, feature_difference,
         label_encode, category_codes, frequency_encode, mean_impute, feature_codes, class_weights, stratified_folds,
         oversample, oversample_labels, dummy_baseline, dummy_draws, confusion_metrics, macro_f1, classification_report,
         mutual_information, top_k_features, bottom_features, selector_vote, forward_step, forward_selection,
