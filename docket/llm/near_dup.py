@@ -13,7 +13,7 @@ Classes without all pairs of a group: exact copies collapse to their smallest id
 aggregation. The members of a bucket are compared by their samples in chunks of bounded size, inside a task. In
 the first rounds each document hands on only the mate of another class that looks most similar;
 those pairs are verified, and linked documents form classes. In the last round only buckets that still hold
-several classes are compared, and every pair across classes that looks similar is verified. So no link
+several classes are compared, and every pair across classes that looks similar is verified where it is found. So no link
 between different classes is left out for the size of a bucket, and pairs inside a class are not made.
 
 Defined results: null and empty texts have no shingle and are a class of their own each; a
@@ -245,19 +245,21 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return joined.mapInArrow(judge, "u long, v long, similarity double").where(F.col("similarity") >= similar)
 
 
-def across(members: DataFrame, best: bool) -> DataFrame:
-    """Pairs (who, u, v, share) of documents of one bucket, but different classes, that look similar.
+def across(members: DataFrame, similar: float | None = None) -> DataFrame:
+    """Pairs (u, v) of documents of one bucket, but different classes, that look similar.
 
     ``members``: band, key, doc_id, class, samples, and the bucket's size ``n``. A bucket is compared in
-    chunks of about ``CHUNK`` documents; a task holds two chunks at a time. With ``best``, only each
-    document's most similar mate in a chunk; else all pairs, each in the first band they share.
+    chunks of about ``CHUNK`` documents; a task holds two chunks at a time. Without ``similar``, each
+    document's most similar mate in a chunk. With it, ``members`` also has the weighted sets: every pair that looks
+    similar is verified in the task, in the first band it shares, unless its classes are linked there already.
     """
+    best = similar is None
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), chunks).cast("int")
     rows = (
         members.withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        .select("band", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "class", "samples")
+        .select("band", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "class", "samples", *([] if best else ["members"]))
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,9 +275,17 @@ def across(members: DataFrame, best: bool) -> DataFrame:
                 change[1:] |= k[1:] != k[:-1]
             cuts = np.append(np.flatnonzero(change), len(ids))
             who, mate, shares = [], [], []
+            sets = None if best else t.column(8)
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 if b - a < 2 or (kind[a:b] == kind[a]).all():
                     continue
+                linked: dict[int, int] = {}
+
+                def root(c: int) -> int:
+                    while c in linked:
+                        c = linked[c]
+                    return c
+
                 for r in range(a, b):
                     others = np.arange(a if best else r + 1, b)
                     others = others[kind[others] != kind[r]]
@@ -292,6 +302,15 @@ def across(members: DataFrame, best: bool) -> DataFrame:
                     elif band[a]:
                         earlier = equal[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)[:, : band[a]].all(axis=2).any(axis=1)
                         keep &= ~earlier
+                    if not best and keep.any():
+                        mine, near = sets[r].as_py(), []
+                        for k in np.flatnonzero(keep).tolist():
+                            one, two = root(int(kind[r])), root(int(kind[others[k]]))
+                            if one != two and weighted_jaccard(mine, sets[int(others[k])].as_py()) >= similar:
+                                linked[max(one, two)] = min(one, two)
+                                near.append(k)
+                        keep = np.zeros(len(others), bool)
+                        keep[near] = True
                     if keep.any():
                         who.append(np.full(int(keep.sum()), ids[r]))
                         mate.append(ids[others[keep]])
@@ -351,15 +370,18 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     asked = bands.select("doc_id").distinct().hint("shuffle_hash")
     sets = staged(weighted_sets(docs.select(F.col("doc_id").cast("long"), "text").join(asked, "doc_id", "left_semi"), table), "sets")
     links, linked = None, None
-    for best in [True] * BEST_ROUNDS + [False]:
+    for last in [False] * BEST_ROUNDS + [True]:
         kind = bands.withColumn("class", F.col("doc_id"))
         if linked is not None:
             kind = bands.join(linked, bands["doc_id"] == linked["node"], "left").select(*bands.columns, F.coalesce("component", "doc_id").alias("class"))
             kind = staged(kind, "kinds")
             mixed = kind.groupBy("band", "key").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a < b").select("band", "key")
             kind = kind.join(mixed, ["band", "key"])
-        pairs = staged(across(kind.join(one.select("doc_id", "samples"), "doc_id"), best), "pairs")
-        found = verified(pairs, sets, similar).select("u", "v")
+        members = kind.join(one.select("doc_id", "samples"), "doc_id")
+        if last:
+            found = across(members.join(sets, "doc_id"), similar)
+        else:
+            found = verified(staged(across(members), "pairs"), sets, similar).select("u", "v")
         links = staged(found if links is None else links.unionAll(found), "links")
         linked = components(links)
     found = member.join(linked, member["first"] == linked["node"], "left").groupBy("doc_id").agg(
