@@ -150,12 +150,18 @@ def _spelt(lines: list[str]) -> tuple[list[str], int]:
 def locate(lines: list[str], low: np.ndarray, high: np.ndarray, size: int) -> list[tuple[list[int], list[int]]]:
     """For each piece the windows that begin in an earlier document than its last: places and
     smallest documents. ``low`` and ``high`` are a piece's smallest and largest document."""
-    texts, width = _spelt(lines)
+    # Equal pieces of several blocks are searched once.
+    place: dict[str, int] = {}
+    which = np.array([place.setdefault(x, len(place)) for x in lines], np.int64)
+    least, most = np.full(len(place), np.iinfo(np.int64).max), np.full(len(place), np.iinfo(np.int64).min)
+    np.minimum.at(least, which, low)
+    np.maximum.at(most, which, high)
+    texts, width = _spelt(list(place))
     span = size * width
     # Confirm: the smallest document of every window, and whether it recurs at all.
     smallest: dict[str, int] = {}
     again: set[str] = set()
-    for text, lo, hi in zip(texts, low.tolist(), high.tolist()):
+    for text, lo, hi in zip(texts, least.tolist(), most.tolist()):
         for i in range(0, len(text) - span + 1, width):
             window = text[i : i + span]
             known = smallest.get(window)
@@ -173,19 +179,20 @@ def locate(lines: list[str], low: np.ndarray, high: np.ndarray, size: int) -> li
     if not again:
         return [([], [])] * len(texts)
     automaton.make_automaton()
+    found = [[((end + 1) // width - size, lo) for end, lo in automaton.iter(text) if (end + 1) % width == 0] for text in texts]
     out = []
-    for text, hi in zip(texts, high.tolist()):
-        at, mins = [], []
-        for end, lo in automaton.iter(text):
-            if lo < hi and (end + 1) % width == 0:
-                at.append((end + 1) // width - size)
-                mins.append(lo)
-        out.append((at, mins))
+    for k, hi in zip(which.tolist(), high.tolist()):
+        early = [x for x in found[k] if x[1] < hi]
+        out.append(([x[0] for x in early], [x[1] for x in early]))
     return out
 
 
-def confirmed(cut: DataFrame, size: int, rows_at_once: int = 50_000) -> DataFrame:
-    """For each piece, the windows that also begin in a smaller document."""
+def confirmed(cut: DataFrame, size: int, rows_at_once: int = 256) -> DataFrame:
+    """For each piece, the windows that also begin in a smaller document.
+
+    A shard compiles an automaton for every ``rows_at_once`` pieces or so: the library looks through
+    a node's children one by one, so the root must not have a child for every word of the shard.
+    """
 
     def search(table: pa.Table) -> pa.Table:
         anchor = table.column("anchor").to_numpy()
