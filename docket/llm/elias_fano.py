@@ -5,6 +5,7 @@ the high bits are a unary row in which the i-th number sets bit ``high + i``. A
 bucket of its high bits, by selecting zeros in the unary row with a small directory, and
 halves the bucket on its low bits. All searches are vectorised.
 
+A trie's level keeps the successors of each context as a range between two pointers (``Successors``).
 A level is a table of such sequences in ranges of the key, one file each, with payload arrays beside the keys.
 """
 
@@ -57,17 +58,19 @@ class EliasFano:
         zeros = np.concatenate([[0], np.cumsum(64 * BLOCK_WORDS - ones)]).astype("<i8")
         return cls(n, base, top, bits, [low, upper, zeros])
 
-    def _select_zero(self, j: np.ndarray) -> np.ndarray:
-        """The place of the j-th zero of the unary row."""
-        block = np.searchsorted(self.zeros, j, "right") - 1
-        left = j - self.zeros[block]
+    def _select(self, j: np.ndarray, ones: bool) -> np.ndarray:
+        """The place of the j-th one or zero of the unary row."""
+        before = 64 * BLOCK_WORDS * np.arange(len(self.zeros)) - self.zeros if ones else self.zeros
+        turn = np.uint64(0 if ones else (1 << 64) - 1)
+        block = np.searchsorted(before, j, "right") - 1
+        left = j - before[block]
         word = block * BLOCK_WORDS
         for k in range(BLOCK_WORDS - 1):
-            here = 64 - np.bitwise_count(self.upper[np.minimum(block * BLOCK_WORDS + k, len(self.upper) - 1)]).astype(np.int64)
+            here = np.bitwise_count(self.upper[np.minimum(block * BLOCK_WORDS + k, len(self.upper) - 1)] ^ turn).astype(np.int64)
             on = (word == block * BLOCK_WORDS + k) & (left >= here)
             left = np.where(on, left - here, left)
             word = word + on
-        bits = ~self.upper[word]
+        bits = self.upper[word] ^ turn
         at = np.zeros(len(j), np.int64)
         for width in (32, 16, 8, 4, 2, 1):
             below = np.bitwise_count(bits & np.uint64((1 << width) - 1)).astype(np.int64)
@@ -77,6 +80,14 @@ class EliasFano:
             at += width * on
         return word * 64 + at
 
+    def _select_zero(self, j: np.ndarray) -> np.ndarray:
+        return self._select(j, False)
+
+    def access(self, i: np.ndarray) -> np.ndarray:
+        """The i-th numbers."""
+        high = self._select(i, True) - i
+        return (high << self.bits) + self._lows(i).astype(np.int64) + self.base
+
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(i), np.uint64)
@@ -107,9 +118,58 @@ class EliasFano:
         return a, equal
 
 
-def write_level(rows: DataFrame, root: str, name: str, shards: int, payload: Callable[[np.ndarray, pa.Table], dict[str, np.ndarray]]) -> list[dict]:
+class Successors:
+    """Pairs of a context and a member below ``width``, in order, by their key ``context * width + member``.
+
+    A monotone sequence of pointers has each context's range of places; the members of a range are kept relative to the
+    last number of the range before, which makes all of them one rising sequence.
+    """
+
+    def __init__(self, first: int, width: int, pointers: EliasFano, members: EliasFano) -> None:
+        self.first, self.width, self.pointers, self.members = first, width, pointers, members
+
+    @classmethod
+    def build(cls, keys: np.ndarray, width: int) -> "Successors":
+        context, member = keys // width, keys % width
+        starts = np.searchsorted(context, np.arange(context[0], context[-1] + 2))
+        ends = np.append(np.flatnonzero(np.diff(context)), len(keys) - 1)
+        spans = member[ends] + 1
+        sizes = np.diff(ends, prepend=-1)
+        values = member + np.repeat(np.cumsum(spans) - spans, sizes)
+        return cls(int(context[0]), width, EliasFano.build(starts), EliasFano.build(values))
+
+    def start(self, contexts: np.ndarray) -> np.ndarray:
+        """How many pairs have a smaller context."""
+        return self.pointers.access(np.clip(contexts - self.first, 0, self.pointers.n - 1))
+
+    def _offset(self, start: np.ndarray) -> np.ndarray:
+        return np.where(start > 0, self.members.access(np.maximum(start - 1, 0)) + 1, 0)
+
+    def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each key that is there, and whether it is. ``x`` are in order and in range."""
+        context, member = x // self.width, x % self.width
+        new = np.append(True, context[1:] != context[:-1])
+        which = np.cumsum(new) - 1
+        own = context[new] - self.first
+        start, end = self.pointers.access(own), self.pointers.access(own + 1)
+        target, end = self._offset(start)[which] + member, end[which]
+        equal = (start[which] < end) & (target >= self.members.base) & (target <= self.members.top)
+        place = np.zeros(len(x), np.int64)
+        place[equal], found = self.members.successor(target[equal])
+        equal[equal] = found
+        return place, equal & (place < end)
+
+    def keys(self, places: np.ndarray) -> np.ndarray:
+        context = self.pointers.successor(places + 1)[0] - 1
+        member = self.members.access(places) - self._offset(self.pointers.access(context))
+        return (context + self.first) * self.width + member
+
+
+def write_level(rows: DataFrame, root: str, name: str, shards: int, payload: Callable[[np.ndarray, pa.Table], dict[str, np.ndarray]], width: int = 0) -> list[dict]:
     """Write distinct ``rows`` by their column ``key`` (not negative) to files in ranges of the key.
 
+    With a ``width`` the keys are pairs, kept as ``Successors``; a context may reach over several files.
+
     ``payload`` makes a file's other arrays from its keys and rows. Returns one entry for each file.
     """
     spark = rows.sparkSession
@@ -123,10 +183,15 @@ def write_level(rows: DataFrame, root: str, name: str, shards: int, payload: Cal
             return
         table = pa.concat_tables(parts)
         key = table.column("key").to_numpy()
-        sequence = EliasFano.build(key)
-        arrays = {"low": sequence.low, "upper": sequence.upper, "zeros": sequence.zeros, **payload(key, table)}
+        if width:
+            pairs = Successors.build(key, width)
+            sequences = {"members": pairs.members, "pointers": pairs.pointers}
+        else:
+            sequences = {"keys": EliasFano.build(key)}
+        arrays = {f"{name} {part}": getattr(x, part) for name, x in sequences.items() for part in ("low", "upper", "zeros")} | payload(key, table)
         kinds = {k: [a.dtype.str, len(a)] for k, a in arrays.items()}
-        head = json.dumps({"n": sequence.n, "base": sequence.base, "top": sequence.top, "bits": sequence.bits, "arrays": kinds}).encode()
+        heads = {name: [x.n, x.base, x.top, x.bits] for name, x in sequences.items()}
+        head = json.dumps({"sequences": heads, "first": int(key[0] // width) if width else 0, "arrays": kinds}).encode()
         head += b" " * (-(len(head) + 8) % 8)
         shard = TaskContext.get().partitionId()
 
@@ -136,10 +201,10 @@ def write_level(rows: DataFrame, root: str, name: str, shards: int, payload: Cal
                 out.write(a.tobytes() + b"\0" * (-a.nbytes % 8))
 
         put(root, f"{name}-{shard:06d}", content)
-        yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in (shard, sequence.n, sequence.base, sequence.top)], ["shard", "n", "base", "top"])
+        yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in (shard, len(key), key[0], key[-1])], ["shard", "n", "base", "top"])
 
     found = rows.repartitionByRange(shards, "key").sortWithinPartitions("key").mapInArrow(write, "shard long, n long, base long, top long")
-    return sorted((r.asDict() for r in found.collect()), key=lambda r: r["base"])
+    return sorted((r.asDict() | {"width": width} for r in found.collect()), key=lambda r: r["base"])
 
 
 class Level:
@@ -149,12 +214,13 @@ class Level:
         self.root, self.name, self.manifest = root, name, manifest
         self.bases = np.array([m["base"] for m in manifest], np.int64)
         self.before = np.concatenate([[0], np.cumsum([m["n"] for m in manifest])]).astype(np.int64)
-        self.open: dict[int, tuple[EliasFano, dict[str, np.ndarray]]] = {}
+        self.width = manifest[0]["width"] if manifest else 0
+        self.open: dict[int, tuple[EliasFano | Successors, dict[str, np.ndarray]]] = {}
 
     def __len__(self) -> int:
         return int(self.before[-1])
 
-    def shard(self, k: int) -> tuple[EliasFano, dict[str, np.ndarray]]:
+    def shard(self, k: int) -> tuple[EliasFano | Successors, dict[str, np.ndarray]]:
         if k not in self.open:
             fs, path = pafs.FileSystem.from_uri(self.root)
             path = f"{path}/{self.name}-{self.manifest[k]['shard']:06d}"
@@ -170,7 +236,8 @@ class Level:
                 nbytes = np.dtype(kind).itemsize * n
                 arrays[key] = raw[at : at + nbytes].view(kind)
                 at += nbytes + (-nbytes % 8)
-            sequence = EliasFano(head["n"], head["base"], head["top"], head["bits"], [arrays.pop("low"), arrays.pop("upper"), arrays.pop("zeros")])
+            parts = {x: EliasFano(*of, [arrays.pop(f"{x} {part}") for part in ("low", "upper", "zeros")]) for x, of in head["sequences"].items()}
+            sequence = Successors(head["first"], self.width, parts["pointers"], parts["members"]) if self.width else parts["keys"]
             self.open[k] = sequence, arrays
         return self.open[k]
 
@@ -189,10 +256,28 @@ class Level:
         return out
 
     def values(self, name: str, ranks: np.ndarray) -> np.ndarray:
-        """A payload array at the given ranks, which all exist."""
-        out = np.zeros(len(ranks), np.float64 if not len(ranks) else self.shard(0)[1][name].dtype)
+        """A payload array of whole numbers at the given ranks, which all exist."""
+        out = np.zeros(len(ranks), np.int64)  # files may keep an array in different widths
         at = np.searchsorted(self.before, ranks, "right") - 1
         for k in np.unique(at).tolist():
             mine = at == k
             out[mine] = self.shard(k)[1][name][ranks[mine] - self.before[k]]
         return out
+
+    def start(self, contexts: np.ndarray) -> np.ndarray:
+        """How many pairs of the level have a smaller context than each given one."""
+        out = np.zeros(len(contexts), np.int64)
+        at = np.searchsorted(self.bases // max(1, self.width), contexts, "left") - 1
+        for k in np.unique(at[at >= 0]).tolist():
+            mine = at == k
+            out[mine] = self.before[k] + self.shard(k)[0].start(contexts[mine])
+        return out
+
+    def keys(self, ranks: np.ndarray) -> np.ndarray:
+        """The pairs' keys at the given ranks, which all exist."""
+        out = np.zeros(len(ranks), np.int64)
+        at = np.searchsorted(self.before, ranks, "right") - 1
+        for k in np.unique(at).tolist():
+            mine = at == k
+            out[mine] = self.shard(k)[0].keys(ranks[mine] - self.before[k])
+        return out

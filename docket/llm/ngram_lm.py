@@ -1,17 +1,18 @@
-"""A bigram language model in Elias-Fano levels.
+"""An n-gram language model in Elias-Fano levels.
 
-Level 1 holds the training words by hash, with their exact counts; a word's id is its rank. Level 2
-holds word pairs as ``context id * words + word id``, so a context's successors lie together and are found by a
-search inside the context, with the quantised interpolated probability of each. A third
-level holds the contexts' quantised back-off weights. The levels are files in the shared folder that tasks
+Level 1 holds the training words by hash, with their exact counts; a word's id is its rank. Level k
+holds the grams of k words as a trie: the range of a context's successors lies between two pointers of its gram in level k - 1,
+and a successor is its place among the successors of the context without its first word (in level 2, its word id). Each gram has its
+quantised interpolated probability and, if it may be a context, its count. Further levels hold the contexts' quantised back-off
+weights. The levels are files in the shared folder that tasks
 map into memory; nothing of the model is collected or broadcast but the list of files.
 
-    p(w)     = (count + 0.5) / (tokens + 0.5 (words + 1))
-    p(w | u) = max(count(u w) - D, 0) / count(u) + b(u) p(w)
+    p(w)      = (count + 0.5) / (tokens + 0.5 (words + 1))
+    p(w | uv) = max(count(u v w) - D, 0) / count(u v) + b(u v) p(w | v)
 
-Pairs seen less than ``least`` times are left to the back-off weight b(u), which is the mass the kept pairs leave, so every
-context's probabilities sum to one but for quantisation. Pairs with a word seen less than ``least`` times
-cannot reach that and are not sent through the shuffle. The context of a first word is the end token.
+Grams seen less than ``least`` times are left to the back-off weight b, which is the mass the kept grams leave, so every
+context's probabilities sum to one but for quantisation. Grams with a part seen less than ``least`` times
+cannot reach that and are not sent through the shuffle; with ``least=1`` every gram is kept. The context of a first word is the end token.
 
 Defined results: null and empty texts are one end token; a null id belongs to the training documents;
 an empty training set gives every token probability one in the base score and in the model; equal texts get equal
@@ -36,6 +37,7 @@ END = int(mix(np.array([12345], np.uint64), 7)[0] >> np.uint64(2))
 DISCOUNT, LEAST = 0.75, 2
 STEPS = 24  # codes for a factor of ten
 SHARD_KEYS = 2_000_000
+ORDER = 3  # of the registered query
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,20 +104,23 @@ def _counted(texts: DataFrame, make) -> DataFrame:
 
 @dataclass
 class Trie:
-    """Where the model's levels are."""
+    """Where the model's levels are: of the grams by order, and of the contexts by the order of their grams."""
 
     root: str
-    words: list[dict]
-    contexts: list[dict]
-    pairs: list[dict]
+    grams: list[list[dict]]
+    contexts: list[list[dict]]
     total: int
     distinct: int
 
     def log_one(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
 
-    def level(self, name: str) -> Level:
-        return Level(self.root, name, getattr(self, name))
+    def levels(self) -> list[Level]:
+        return [Level(self.root, f"grams{k + 1}", m) for k, m in enumerate(self.grams)]
+
+    def context(self, k: int) -> Level:
+        """The contexts of grams of k words."""
+        return Level(self.root, f"contexts{k}", self.contexts[k - 2])
 
 
 def ids_of(level: Level, words: np.ndarray) -> np.ndarray:
@@ -123,116 +128,169 @@ def ids_of(level: Level, words: np.ndarray) -> np.ndarray:
     return level.find(distinct)[inverse]
 
 
-def _before(ids: np.ndarray, begins: np.ndarray, end_id: int) -> np.ndarray:
-    """The id before each token; the end token's at a row's beginning."""
-    out = np.empty_like(ids)
-    out[1:] = ids[:-1]
-    out[begins] = end_id
-    return out
+def starts_of(level: Level, contexts: np.ndarray) -> np.ndarray:
+    distinct, inverse = np.unique(contexts, return_inverse=True)
+    return level.start(distinct)[inverse]
+
+
+def _suffix(levels: list[Level], k: int, context: np.ndarray, member: np.ndarray) -> np.ndarray:
+    """The rank in level k - 1 of grams of level k without their first word."""
+    if k == 2:
+        return member
+    key = levels[k - 2].keys(context)
+    width = levels[k - 2].width
+    return starts_of(levels[k - 2], _suffix(levels, k - 1, key // width, key % width)) + member
+
+
+def _led(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all rows, each row led by an end token, each word's place in its row, and where rows begin."""
+    words, begins = tokens(column)
+    words = np.insert(words, begins[:-1], END)
+    begins = begins + np.arange(len(begins))
+    return words, np.arange(len(words)) - np.repeat(begins[:-1], np.diff(begins)), begins
+
+
+def _contexts(ranks: list[np.ndarray], k: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a gram of k words with a known context ends, and the context's rank in level k - 1."""
+    at = np.flatnonzero(places >= k - 1)
+    at = at[ranks[k - 2][at - 1] >= 0]
+    return at, ranks[k - 2][at - 1]
+
+
+def _keys(levels: list[Level], ranks: list[np.ndarray], k: int, places: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where a gram of k words ends whose two parts of k - 1 words are known, and its key."""
+    at, context = _contexts(ranks, k, places)
+    both = ranks[k - 2][at] >= 0
+    at, context = at[both], context[both]
+    member = ranks[k - 2][at]
+    if k > 2:
+        member = member - starts_of(levels[k - 2], ranks[k - 3][at - 1])
+    return at, context * width + member
+
 
+def _ranks(levels: list[Level], words: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
+    """By order, the rank of the gram that ends at each word, or -1."""
+    ranks = [ids_of(levels[0], words)]
+    for k in range(2, len(levels) + 1):
+        out = np.full(len(words), -1, np.int64)
+        if levels[k - 1].manifest:
+            at, keys = _keys(levels, ranks, k, places, levels[k - 1].width)
+            out[at] = ids_of(levels[k - 1], keys)
+        ranks.append(out)
+    return ranks
 
-def train(docs: DataFrame, least: int = LEAST, discount: float = DISCOUNT) -> Trie:
-    """Count and write a model of the texts of ``docs``."""
+
+def _narrow(n: np.ndarray) -> np.ndarray:
+    return n.astype(next(t for t in ("u1", "<u2", "<u4", "<u8") if n.max() <= np.iinfo(t).max))
+
+
+def train(docs: DataFrame, least: int = LEAST, discount: float = DISCOUNT, order: int = 2) -> Trie:
+    """Count and write a model of the texts of ``docs`` with grams of up to ``order`` words."""
     spark = docs.sparkSession
     bounded_batches(spark)
     root = scratch_path(spark, "trie")
     texts = docs.select("text")
     words = staged(_counted(texts, lambda: lambda column: tokens(column)[0]), "words")
     distinct, total = words.agg(F.count(F.lit(1)), F.sum("n")).first()
-    trie = Trie(root, [], [], [], total or 0, distinct)
+    trie = Trie(root, [], [], total or 0, distinct)
     if not distinct:
         return trie
     if distinct >= 1 << 31:
         raise ValueError("pair keys of more than 2**31 words do not fit 62 bits")
 
     def counts(key: np.ndarray, table: pa.Table) -> dict[str, np.ndarray]:
-        n = table.column("n").to_numpy()
-        return {"count": n.astype("<u4" if n.max() < 1 << 32 else "<u8")}
+        return {"count": _narrow(table.column("n").to_numpy())}
+
+    trie.grams.append(write_level(words, root, "grams1", max(8, distinct // SHARD_KEYS), counts))
+    kept, width = distinct, distinct
+    for k in range(2, order + 1):
+        if kept * width >= 1 << 62:
+            raise ValueError(f"keys of {kept} contexts and {width} successors do not fit 62 bits")
+        kept, width = _train_level(texts, trie, k, width, least, discount, k < order)
+        if not kept:
+            break
+    return trie
 
-    trie.words = write_level(words, root, "words", max(8, distinct // SHARD_KEYS), counts)
 
-    def draw_pairs():
-        level = trie.level("words")
-        end_id = int(level.find(np.array([END]))[0])
+def _train_level(texts: DataFrame, trie: Trie, k: int, width: int, least: int, discount: float, counted: bool) -> tuple[int, int]:
+    """Count and write the grams of k words; returns how many were kept and a context's most successors."""
+
+    def draw_grams():
+        levels = trie.levels()
 
         def draw(column: pa.Array) -> np.ndarray:
-            hashes, begins = tokens(column)
-            distinct_words, inverse = np.unique(hashes, return_inverse=True)
-            ids = level.find(distinct_words)
-            often = level.values("count", ids) >= least
-            ids, often = ids[inverse], often[inverse]
-            keep = often.copy()
-            keep[1:] &= often[:-1]
-            keep[begins[:-1]] = often[begins[:-1]]
-            return (_before(ids, begins[:-1], end_id) * trie.distinct + ids)[keep]
+            words, places, _ = _led(column)
+            ranks = _ranks(levels, words, places)
+            if k == 2 and least > 1:
+                seen, inverse = np.unique(ranks[0], return_inverse=True)
+                often = levels[0].values("count", np.maximum(seen, 0)) >= least
+                ranks[0] = np.where(often[inverse], ranks[0], -1)
+            return _keys(levels, ranks, k, places, width)[1]
 
         return draw
 
-    pairs = staged(_counted(texts, draw_pairs).where(F.col("n") >= least), "pairs")
-    kept = pairs.count()
-    if not kept:
-        return trie
-    contexts = pairs.groupBy(F.expr(f"key div {trie.distinct}").alias("key")).agg(F.sum(F.col("n") - discount).alias("mass"))
+    grams = staged(_counted(texts, draw_grams).where(F.col("n") >= least), f"grams{k}")
+    mass = (F.sum(F.col("n") - discount).alias("mass"), F.count(F.lit(1)).alias("successors"))
+    contexts = staged(grams.groupBy(F.expr(f"key div {width}").alias("key")).agg(*mass), f"contexts{k}")
+    some, kept, most = contexts.agg(F.count(F.lit(1)), F.sum("successors"), F.max("successors")).first()
+    if not some:
+        return 0, 0
 
     def back_off(key: np.ndarray, table: pa.Table) -> dict[str, np.ndarray]:
-        n = trie.level("words").values("count", key)
+        n = trie.levels()[k - 2].values("count", key)
         return {"back_off": encode(np.log10(np.maximum(1 - table.column("mass").to_numpy() / n, 1e-10)))}
 
-    trie.contexts = write_level(contexts, root, "contexts", max(8, distinct // SHARD_KEYS), back_off)
+    trie.contexts.append(write_level(contexts, trie.root, f"contexts{k}", max(8, some // SHARD_KEYS), back_off))
 
     def probability(key: np.ndarray, table: pa.Table) -> dict[str, np.ndarray]:
-        level, above = trie.level("words"), trie.level("contexts")
-        u, v = key // trie.distinct, key % trie.distinct
+        levels, above = trie.levels(), trie.context(k)
+        context, member = key // width, key % width
+        u, which = np.unique(context, return_inverse=True)
         rest = 10 ** (-above.values("back_off", above.find(u)).astype(float) / STEPS)
-        own = (table.column("n").to_numpy() - discount) / level.values("count", u)
-        return {"log": encode(np.log10(np.minimum(own + rest * 10 ** trie.log_one(level.values("count", v)), 1.0)))}
+        n = table.column("n").to_numpy()
+        own = (n - discount) / levels[k - 2].values("count", u)[which]
+        lower = _suffix(levels, k, context, member)
+        log = trie.log_one(levels[0].values("count", lower)) if k == 2 else levels[k - 2].values("log", lower) / -STEPS
+        out = {"log": encode(np.log10(np.minimum(own + rest[which] * 10**log, 1.0)))}
+        return out | {"count": _narrow(n)} if counted else out
 
-    trie.pairs = write_level(pairs, root, "pairs", max(8, kept // SHARD_KEYS), probability)
-    return trie
+    trie.grams.append(write_level(grams, trie.root, f"grams{k}", max(8, kept // SHARD_KEYS), probability, width))
+    return kept, most
 
 
 def score(docs: DataFrame, trie: Trie, doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every text."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, contexts, pairs = (trie.level(k) for k in ("words", "contexts", "pairs"))
-        end_id = int(words.find(np.array([END]))[0])
+        levels = trie.levels() or [Level(trie.root, "grams1", [])]
+        above = [trie.context(k) for k in range(2, len(levels) + 1)]
         for batch in batches:
             for i, j in pieces(batch.column(1)):
-                hashes, begins = tokens(batch.column(1)[i:j])
-                distinct, inverse = np.unique(hashes, return_inverse=True)
-                ids = words.find(distinct)
-                count = np.zeros(len(ids))
-                count[ids >= 0] = words.values("count", ids[ids >= 0])
-                one = trie.log_one(count)[inverse]
-                known_context = np.zeros(len(ids))
-                at = contexts.find(np.sort(ids[ids >= 0]))
-                by_id = np.argsort(ids[ids >= 0], kind="stable")
-                lower = np.zeros(len(by_id))
-                lower[by_id[at >= 0]] = contexts.values("back_off", at[at >= 0]) / -STEPS
-                known_context[ids >= 0] = lower
-                back = _before(known_context[inverse], begins[:-1], 0)
-                if end_id >= 0:
-                    place = contexts.find(np.array([end_id]))
-                    back[begins[:-1]] = contexts.values("back_off", place)[0] / -STEPS if place[0] >= 0 else 0.0
-                ids, count = ids[inverse], count[inverse]
-                u = _before(ids, begins[:-1], end_id)
-                log = one + back
-                both = np.flatnonzero((u >= 0) & (ids >= 0))
-                keys, which = np.unique(u[both] * trie.distinct + ids[both], return_inverse=True)
-                at = pairs.find(keys)
-                found = np.zeros(len(at))
-                found[at >= 0] = pairs.values("log", at[at >= 0]) / -STEPS
-                hit = at[which] >= 0
-                log[both[hit]] = found[which[hit]]
-                rows = begins[:-1]
+                words, places, begins = _led(batch.column(1)[i:j])
+                ranks = _ranks(levels, words, places)
+                known = ranks[0] >= 0
+                count = np.zeros(len(words))
+                count[known] = levels[0].values("count", ranks[0][known])
+                one = trie.log_one(count)
+                log = one.copy()
+                for k in range(2, len(levels) + 1):
+                    at, context = _contexts(ranks, k, places)
+                    u, which = np.unique(context, return_inverse=True)
+                    place = above[k - 2].find(u)
+                    back = np.zeros(len(u))
+                    back[place >= 0] = above[k - 2].values("back_off", place[place >= 0]) / -STEPS
+                    log[at] += back[which]
+                    hit = np.flatnonzero(ranks[k - 1] >= 0)
+                    log[hit] = levels[k - 1].values("log", ranks[k - 1][hit]) / -STEPS
+                own = places > 0
+                rows = begins[:-1] - np.arange(len(begins) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[i:j],
-                        pa.array(np.diff(begins)),
-                        pa.array(np.add.reduceat((count > 0).astype(np.int64), rows)),
-                        pa.array(np.add.reduceat(one, rows)),
-                        pa.array(np.add.reduceat(log, rows)),
+                        pa.array(np.diff(begins) - 1),
+                        pa.array(np.add.reduceat(known[own].astype(np.int64), rows)),
+                        pa.array(np.add.reduceat(one[own], rows)),
+                        pa.array(np.add.reduceat(log[own], rows)),
                     ],
                     ["doc_id", "n_tokens", "n_known", "base_score", "score"],
                 )

@@ -39,10 +39,10 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
-    """Log probabilities of every document under a model of four fifths of them."""
+    """Log probabilities of every document under a model of all words, pairs and triples of four fifths of them."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = toxicity.in_fold(F.col("doc_id"), 5, 1)
-    trie = ngram_lm.train(docs.where(~held_out))
+    trie = ngram_lm.train(docs.where(~held_out), least=1, order=ngram_lm.ORDER)
     return ngram_lm.score(docs, trie).select(
         "doc_id",
         held_out.alias("held_out"),

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from docket.llm import ngram_lm as lm
-from docket.llm.elias_fano import EliasFano
+from docket.llm.elias_fano import EliasFano, Successors
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -94,3 +94,72 @@ def test_empty_tables(spark):
 def test_end_token_is_a_token_of_its_own():
     words, begins = lm.tokens(pa.array(["a b", None, "", "A  b"]))
     assert begins.tolist() == [0, 3, 4, 5, 8] and (words[[2, 3, 4, 7]] == lm.END).all() and words[0] == words[5]
+
+
+def brute_whole(train, data, order=3, d=0.75):
+    """Every gram of up to ``order`` words is kept; a row is led by one end token."""
+    code = lambda p: 10 ** (-min(round(-math.log10(min(p, 1)) * lm.STEPS), 255) / lm.STEPS)
+    toks = [[None, *WORD.findall(lower(t)), None] for t in train]
+    c = Counter(w for ws in toks for w in ws[1:])
+    total, distinct = sum(c.values()), len(c)
+    grams = Counter(tuple(ws[i - k + 1 : i + 1]) for ws in toks for k in range(2, order + 1) for i in range(k - 1, len(ws)))
+    after, kinds = Counter(), Counter()
+    for g, n in grams.items():
+        after[g[:-1]] += n
+        kinds[g[:-1]] += 1
+
+    def p(g):
+        if len(g) == 1:
+            return (c[g[0]] + 0.5) / (total + 0.5 * (distinct + 1))
+        lower_p = p(g[1:])
+        if not after[g[:-1]]:
+            return lower_p
+        back = code(max(d * kinds[g[:-1]] / after[g[:-1]], 1e-10))
+        return code((grams[g] - d) / after[g[:-1]] + back * lower_p) if grams[g] else back * lower_p
+
+    out = []
+    for i, t in data:
+        ws = [None, *WORD.findall(lower(t)), None]
+        logs = [math.log10(p(tuple(ws[max(0, j - order + 1) : j + 1]))) for j in range(1, len(ws))]
+        out.append((i, len(ws) - 1, sum(c[w] > 0 for w in ws[1:]), sum(math.log10(p((w,))) for w in ws[1:]), sum(logs)))
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_no_gram_is_left_out(spark, order):
+    data = rows()[:60] + [(300, None), (301, "seen once only"), (301, "seen once twice"), (302, "w1 w2 w3 seen once only seen")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    trie = lm.train(docs.where("doc_id % 3 <> 1 or doc_id = 301"), least=1, order=order)
+    train = [WORD.findall(lower(t)) + [None] for i, t in data if i % 3 != 1 or i == 301]
+    led = [[None, *ws] for ws in train]
+    for k in range(2, order + 1):
+        assert sum(m["n"] for m in trie.grams[k - 1]) == len({tuple(ws[i - k + 1 : i + 1]) for ws in led for i in range(k - 1, len(ws))})
+    got = sorted(map(tuple, lm.score(docs, trie).collect()))
+    want = sorted(brute_whole([t for i, t in data if i % 3 != 1 or i == 301], data, order))
+    for a, b in zip(got, want, strict=True):
+        assert a[:3] == b[:3]
+        assert a[3] == pytest.approx(b[3], rel=1e-9) and a[4] == pytest.approx(b[4], rel=1e-3, abs=0.1)
+
+
+def test_query_keeps_pairs_and_triples_seen_once(spark, tmp_path, monkeypatch):
+    from docket.llm import queries
+
+    spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(30)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tries = []
+    monkeypatch.setattr(lm, "train", lambda *a, f=lm.train, **k: tries.append(f(*a, **k)) or tries[0])
+    out = queries.op7_language_model(spark, str(tmp_path)).collect()
+    trained = sum(not r["held_out"] for r in out)
+    assert [sum(m["n"] for m in level) for level in tries[0].grams] == [3 * trained + 1, 4 * trained, 3 * trained]
+
+
+@pytest.mark.parametrize("contexts, width, n", [(1, 1, 1), (5, 3, 9), (40, 1000, 5000), (3000, 50, 9000)])
+def test_successors_lie_between_pointers(contexts, width, n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(0, contexts, n) ** 2 // contexts * width + rng.integers(0, width, n)) + 7 * width
+    found = Successors.build(keys, width)
+    x = np.unique(np.concatenate([keys, rng.integers(keys[0], keys[-1] + 1, 5000)]))
+    at, equal = found.successor(x)
+    assert np.array_equal(equal, np.isin(x, keys)) and np.array_equal(keys[at[equal]], x[equal])
+    assert np.array_equal(found.keys(np.arange(len(keys))), keys)
+    c = np.arange(0, contexts + 20)
+    assert np.array_equal(found.start(c), np.searchsorted(keys, c * width))
