@@ -5,12 +5,14 @@ from a non-space character over the white space after it. So a text may be cut
 before every white space that follows a safe non-space byte, and between a letter and
 ASCII punctuation: the ids of the text are the
 ids of its chunks in order. Frequent chunks are encoded once per worker; the ids
-come from the tokenizers library.
+come from the tokenizers library. A text that holds the string of an added token is encoded
+whole, since that string is one id wherever it stands.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
@@ -36,7 +38,11 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.normalized for t in added) and self.tokenizer.normalizer is not None:
+            raise ValueError("added tokens that match normalised text are not looked for")
+        # Looked ahead only, so that a match over two rows hides none.
+        self.added = re.compile(b"|".join(b"(?=(%s))" % re.escape(t.content.encode()) for t in added)) if added else None
         self.small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.dtype = np.uint16 if self.small else np.uint32
         normalizer = self.tokenizer.normalizer
@@ -133,8 +139,30 @@ class ChunkEncoder:
         self.keys[level] = np.insert(self.keys[level], at, keys)
         self.slots[level] = np.insert(self.slots[level], at, slots)
 
+    def _holding(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The rows that hold an added token's string."""
+        found = [(m.start(), m.end(m.lastindex)) for m in self.added.finditer(memoryview(data))] if self.added and len(data) else []
+        if not found:
+            return np.zeros(0, np.int64)
+        start, end = np.array(found).T
+        row = np.searchsorted(offsets, start, "right") - 1
+        return np.unique(row[end <= offsets[row + 1]])
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows in order, and how many each row has."""
+        whole = self._holding(data, offsets)
+        if not len(whole):
+            return self._encode(data, offsets)
+        own = [self.tokenizer.encode(data[offsets[r] : offsets[r + 1]].tobytes().decode("utf-8"), add_special_tokens=False).ids for r in whole.tolist()]
+        sizes, rest = np.diff(offsets), np.ones(len(offsets) - 1, bool)
+        rest[whole] = False
+        ids, counts = self._encode(data[np.repeat(rest, sizes)], np.concatenate([[0], np.cumsum(sizes * rest)]))
+        lengths = np.array([len(x) for x in own])
+        ids = np.insert(ids, np.repeat(np.cumsum(counts)[whole], lengths), np.concatenate(own).astype(self.dtype))
+        counts[whole] = lengths
+        return ids, counts
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = len(offsets) - 1
         if len(data) == 0:
             return np.zeros(0, self.dtype), np.zeros(rows, np.int64)

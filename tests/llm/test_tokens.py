@@ -93,3 +93,26 @@ def test_query_gives_the_crc_of_the_library_ids(spark, folder):
         ids = np.array(direct(STORE_TOKENIZER, text[r["doc_id"]], 2), "<u4")
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
+
+
+MARKED = [
+    (1, "a <|endoftext|> b <unk>"), (2, "A<|ENDOFTEXT|>b"), (3, "plain words, none marked"), (4, "x  <|endoftext|>\n\n<|startoftext|>!y<|endoftext|>"),
+    (5, None), (6, "<|endo"), (7, "ftext|> of two rows"), (8, "<|endoftext|>"), (9, "é<|endoftext|>é <|endoftext|"), (10, "plain words, none marked"),
+]
+
+
+@pytest.mark.parametrize("name, end", [(PACK_TOKENIZER, 1), (STORE_TOKENIZER, 2)])
+def test_added_tokens_in_a_text_are_those_of_the_plain_call(spark, name, end):
+    from tokenizers import Tokenizer
+
+    tool = Tokenizer.from_file(tokenizer_path(name))
+    want = {k: tool.encode(t or "", add_special_tokens=False).ids + [end] for k, t in MARKED}
+    assert tool.token_to_id("<|endoftext|>") in want[1]
+    if name == STORE_TOKENIZER:
+        root, manifest = token_store.write_store(docs(spark, MARKED), tokenizer_path(name), end, shards=2)
+        out = token_store.read_ids(spark, root, manifest, docs(spark, MARKED)).collect()
+        starts = np.cumsum([0, *(len(want[k]) for k in range(1, 10))]).tolist()
+        assert [r["start"] for r in sorted(out, key=lambda r: r["doc_id"])] == starts
+    else:
+        out = packing.pack(docs(spark, MARKED), tokenizer_path(name), end).collect()
+    assert {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in out} == want
