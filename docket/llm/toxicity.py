@@ -2,7 +2,7 @@
 
 A written word is seen as a clean word sent through a channel that swaps letters for digits
 and signs, puts separators between letters, and repeats letters. Words that show such
-traces, and runs of single letters, become a lattice: every character may stand for a few
+traces (any digit or sign of ``STANDS_FOR``, any letter twice), runs of single letters and neighbouring short fragments become a lattice: every character may stand for a few
 letters or for nothing, each at a price. A Viterbi search finds the cheapest reading
 under a trigram model of letters, counted over all texts. Restored words are scored beside the
 words as written.
@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docket.llm.words import bounded_batches, find_words, pieces, span_hashes, text_bytes
+from docket.llm.words import bounded_batches, find_words, mix, pieces, span_hashes, text_bytes
 from docket.session import staged
 
 TRAINING_ROWS = 20_000
@@ -118,28 +118,44 @@ def restore(word: str, model: list[list[list[float]]]) -> str:
     return "".join(reversed(out))
 
 
-# Signs that are letters in disguise beside a letter, and signs that must stand between letters.
+# Bytes of what may stand for a letter, wherever it is, and signs that must stand between letters.
 _SIGN, _SEPARATOR = np.zeros(256, bool), np.zeros(256, bool)
-_SIGN[[*map(ord, "0123456789@$")]] = True
-_SEPARATOR[[*map(ord, "!|+(<*._-~'")]] = True
+_SIGN[[ord(x) for x in STANDS_FOR if x.isascii()]] = True
+_LONG_SIGNS = [np.frombuffer(x.encode(), np.uint8) for x in STANDS_FOR if not x.isascii()]
+_SEPARATOR[[*map(ord, "*._-~'")]] = True
 _LETTER = _codes() > 0
+FRAGMENT, PARTS = 4, 4  # bytes of a fragment of a spaced word, and how many are joined
+
+
+def _signs(data: np.ndarray) -> np.ndarray:
+    """Where a character of ``STANDS_FOR`` begins."""
+    sign = _SIGN[data]
+    for x in _LONG_SIGNS:
+        if len(data) >= len(x):
+            here = np.ones(len(data) - len(x) + 1, bool)
+            for i, byte in enumerate(x):
+                here &= data[i : i + len(here)] == byte
+            sign[: len(here)] |= here
+    return sign
+
+
+def _before(mask: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(mask)])
 
 
 def traces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Which words show traces of the channel, and runs of three or more single letters."""
-    letter = _LETTER[data]
-    inner = np.zeros(len(data), bool)
+    letter, sign = _LETTER[data], _signs(data)
+    inner = sign.copy()
+    if len(data) > 1:
+        # A character twice.
+        inner[1:] |= letter[1:] & (_codes()[data[1:]] == _codes()[data[:-1]])
     if len(data) > 2:
-        inner[1:] |= _SIGN[data[1:]] & letter[:-1]
-        inner[:-1] |= _SIGN[data[:-1]] & letter[1:]
         parting = _SEPARATOR[data]
-        inner[1:-1] |= parting[1:-1] & letter[2:] & (letter[:-2] | parting[:-2])
-        # A letter three times.
-        inner[2:] |= letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
-    marks = np.concatenate([[0], np.cumsum(inner)])
-    letters = np.concatenate([[0], np.cumsum(letter)])
-    some = (marks[ends] - marks[starts] > 0) & (letters[ends] - letters[starts] > 1)
-    single = (ends - starts == 1) & (letter[starts] | _SIGN[data[starts]]) if len(starts) else np.zeros(0, bool)
+        inner[1:-1] |= parting[1:-1] & (letter[2:] | sign[2:]) & (letter[:-2] | sign[:-2] | parting[:-2])
+    marks, readable = _before(inner), _before(letter | sign)
+    some = (marks[ends] - marks[starts] > 0) & (readable[ends] - readable[starts] > 1)
+    single = (ends - starts == 1) & (letter[starts] | sign[starts]) if len(starts) else np.zeros(0, bool)
     runs = []
     edge = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
@@ -150,6 +166,21 @@ def traces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndar
     return some, runs
 
 
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """The bytes of short fragments without the space between them, and the spans and rows of two to ``PARTS`` neighbours, by their number."""
+    short = np.flatnonzero(ends - starts <= FRAGMENT)
+    sizes = (ends - starts)[short]
+    stops = np.cumsum(sizes)
+    begins = stops - sizes
+    flat = data[np.repeat(starts[short] - begins, sizes) + np.arange(int(sizes.sum()))] if len(short) else data[:0]
+    out = []
+    for n in range(1, PARTS):
+        k = np.arange(max(0, len(short) - n))
+        k = k[(short[k + n] - short[k] == n) & (rows[short[k + n]] == rows[short[k]])]
+        out.append((begins[k], stops[k + n], rows[short[k]]))
+    return flat, out
+
+
 class Restorer:
     """Restored words of a batch, each distinct written word decoded once per worker."""
 
@@ -162,7 +193,7 @@ class Restorer:
         out = self.known.get(written)
         if out is None:
             # Marks around a word are no part of it.
-            out = self.known[written] = restore(written.strip(".,;:?*-_~'\"()<>"), self.model)
+            out = self.known[written] = restore(written.strip(".,;:?*-_~'\")>"), self.model)
         return out
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,9 +204,32 @@ class Restorer:
         some, runs = traces(data, s, e, r)
         raw = data.tobytes()
         where, found = [], []
-        for k in np.flatnonzero(some).tolist():
-            found.append(self.word(raw[s[k] : e[k]].decode("utf-8", "ignore")))
-            where.append(int(r[k]))
+        more_rows, more = [rows], [hashes]
+        flat, windows = joined(data, s, e, r)
+        letter, twice = _LETTER[flat], np.zeros(len(flat), bool)
+        twice[1:] = _codes()[flat[1:]] == _codes()[flat[:-1]]
+        odd, readable = _before(~letter | twice), _before(letter | _signs(flat))
+        disguised = [(data, s[some], e[some], r[some])]
+        for a, b, in_row in windows:
+            plain = odd[b] - odd[a] == 0
+            more_rows.append(in_row[plain])
+            more.append(span_hashes(flat, a[plain], b[plain], lower=True))
+            unclear = ~plain & (readable[b] - readable[a] > 1)
+            disguised.append((flat, a[unclear], b[unclear], in_row[unclear]))
+        for source, x, y, of in disguised:
+            # Each distinct word once.
+            _, first, inverse = np.unique(span_hashes(source, x, y, lower=True), return_index=True, return_inverse=True)
+            if not len(first):
+                continue
+            text = source.tobytes()
+            words = [self.word(text[i:j].decode("utf-8", "ignore")) for i, j in zip(x[first].tolist(), y[first].tolist())]
+            full = np.array([len(w) > 0 for w in words])
+            stops = np.cumsum([len(w) for w in words])
+            letters = np.frombuffer("".join(words).encode("ascii"), np.uint8)
+            own = np.zeros(len(words), np.uint64)
+            own[full] = span_hashes(letters, np.concatenate([[0], stops[:-1]])[full], stops[full], lower=True)
+            more_rows.append(of[full[inverse]])
+            more.append(own[inverse][full[inverse]])
         for a, b in runs:
             read = self.word(" ".join(chr(raw[x]) for x in s[a:b].tolist())).split()
             found += read
@@ -185,9 +239,13 @@ class Restorer:
             stops = np.cumsum(lengths)
             flat = np.frombuffer("".join(found).encode("ascii"), np.uint8)
             full = lengths > 0
-            more = span_hashes(flat, (stops - lengths)[full], stops[full], lower=True)
-            rows, hashes = np.concatenate([rows, np.array(where)[full]]), np.concatenate([hashes, more])
-        return rows, hashes
+            read = span_hashes(flat, (stops - lengths)[full], stops[full], lower=True)
+            more_rows.append(np.array(where)[full])
+            more.append(read)
+        # What is read as it stands in the row is there already.
+        at, read = np.concatenate(more_rows[1:]), np.concatenate(more[1:])
+        new = ~np.isin(read ^ mix(at.astype(np.uint64), 5), hashes ^ mix(rows.astype(np.uint64), 5))
+        return np.concatenate([rows, at[new]]), np.concatenate([hashes, read[new]])
 
 
 @dataclass

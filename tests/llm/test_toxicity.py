@@ -89,3 +89,25 @@ def test_query_on_held_out_rows(spark, folder):
     labels = [r for r in table(spark, folder, "labels").collect() if docs[r["doc_id"]]["lang"] == "en" and got[r["doc_id"]]["held_out"]]
     wrong = sum(r["toxic"] != got[r["doc_id"]]["predicted"] for r in labels)
     assert len(labels) > 5 and wrong <= 1
+
+
+def test_every_form_of_disguise_is_read():
+    m = model()
+    forms = {
+        "idiot": ["1d107", "1d10t", "!diot", "|diot", "(!d!0+)", "iidiot", "idiiot", "id iot", "idi ot,", "i di ot", "1d iot"],
+        "moron": ["mor on", "m0r on", "morron", "mo ro n"],
+        "clown": ["(lown", "<lown", "c£own", "cl own"],
+        "trash": ["+r4$h", "+r@5h", "tra sh"],
+        "the": ["th€", "+h3", "7h€"],
+    }
+    for word, written in forms.items():
+        _, wanted = tox.Restorer(m).words(*text_bytes(pa.array([word])))
+        for text in written:
+            rows, hashes = tox.Restorer(m).words(*text_bytes(pa.array(["x", f"zz zzzzz {text} zzzzz", None])))
+            assert rows[hashes == wanted[0]].tolist() == [1], text
+
+
+def test_fragments_are_not_joined_over_rows():
+    rows, hashes = tox.Restorer(model()).words(*text_bytes(pa.array(["zzzzz id", "iot zzzzz"])))
+    _, wanted = tox.Restorer(model()).words(*text_bytes(pa.array(["idiot"])))
+    assert wanted[0] not in hashes
