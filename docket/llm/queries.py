@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docket.llm import decontaminate, html_text, licenses, near_dup, ngram_lm, packing, phrases, token_store, topk, toxicity
+from docket.llm import decontaminate, html_text, licenses, merkle, near_dup, ngram_lm, packing, phrases, token_store, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACK_TOKENIZER, STORE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -94,6 +94,21 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The Merkle proof of every document; a seventh is tampered with by one more in n_chars."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    rows = merkle.manifest(
+        table(spark, folder, "documents"),
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        group="lang",
+        changes={"n_chars": F.col("n_chars") + 1},
+        where=tampered,
+    )
+    return rows.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -105,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_html_text": op9_html_text,
     "op10_token_store": op10_token_store,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE: dict[str, str] = {
     "op1_license_scan": licenses.oracle(),
@@ -120,6 +136,7 @@ n as (select doc_id, count(*) as n from gone group by doc_id)
 select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
 from t left join n using (doc_id) left join kept using (doc_id)
 """,
+    "op13_merkle_manifest": merkle.oracle(),
     "op8_topk": """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q from embeddings
   where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
