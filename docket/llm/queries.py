@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docket.llm import decontaminate, html_text, licenses, merkle, near_dup, ngram_lm, packing, phrases, token_store, topk, toxicity
+from docket.llm import alignment, decontaminate, html_text, licenses, merkle, near_dup, ngram_lm, packing, phrases, token_store, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACK_TOKENIZER, STORE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -94,6 +95,11 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    return alignment.align(table(spark, folder, "documents"), tokenizer_path(STORE_TOKENIZER), tokenizer_path(PIECE_MODEL))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The Merkle proof of every document; a seventh is tampered with by one more in n_chars."""
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -120,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_html_text": op9_html_text,
     "op10_token_store": op10_token_store,
+    "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE: dict[str, str] = {
