@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docket.llm import alignment, decontaminate, html_text, licenses, merkle, near_dup, ngram_lm, packing, phrases, token_store, topk, toxicity
+from docket.llm import alignment, decontaminate, html_text, licenses, merkle, mixtures, near_dup, ngram_lm, packing, phrases, token_store, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACK_TOKENIZER, STORE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -95,6 +95,12 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in as few sequences of 2048 ids as the plan over their lengths needs, end id 0."""
+    packed = mixtures.pack(table(spark, folder, "documents"), tokenizer_path(PACK_TOKENIZER), end_id=0)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Groups and links between the tokens of two tokenizers in every document."""
     return alignment.align(table(spark, folder, "documents"), tokenizer_path(STORE_TOKENIZER), tokenizer_path(PIECE_MODEL))
@@ -126,6 +132,7 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_html_text": op9_html_text,
     "op10_token_store": op10_token_store,
+    "op11_mixture_packing": op11_mixture_packing,
     "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
