@@ -33,7 +33,9 @@ from docket.llm.encode import ChunkEncoder
 from docket.llm.words import bounded_batches, pieces, text_bytes
 from docket.session import staged
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: Texts are tokenised in pieces of this size; a worker keeps the ids of so many chunks for each tokenizer.
+PIECE_BYTES, KNOWN = 1 << 20, 1_000_000
 #: A pair of ids is one number: the first tokenizer's id times this, plus the second's.
 PAIR = 1 << 32
 SPACE = 0x20
@@ -61,6 +63,8 @@ class _Bytes(ChunkEncoder):
 
     def read(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, ids of each row, and whether the row's tokens give back its bytes."""
+        if len(self.lengths) > KNOWN:
+            self._clear()
         ids, counts = self.encode(data, offsets)
         ids = ids.astype(np.int64)
         size = np.diff(offsets)
@@ -229,7 +233,7 @@ def align_rows(
         "n_groups": _sums((last_b == np.arange(len(last_b))).astype(np.int64), cuts_b),
         "n_links": np.bincount(row, minlength=n).astype(np.int64),
     }
-    return out, words, row, ids_a[at_a], ids_b[at_b]
+    return out, words, row.astype(np.int32), ids_a[at_a], ids_b[at_b]
 
 
 def blocks(docs: DataFrame, first: str, second: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -244,10 +248,10 @@ def blocks(docs: DataFrame, first: str, second: str, doc_id: str = "doc_id", tex
         def block() -> pa.RecordBatch:
             counts = [len(h[0]) for h in held]
             shift = _cuts(np.array(counts))
-            row = np.concatenate([h[3] + s for h, s in zip(held, shift)])
             pairs, at = np.unique(np.concatenate([h[4] for h in held]), return_inverse=True)
             # The distinct pairs of every document, in its order; how often each is linked there.
-            entry, times = np.unique(row * max(1, len(pairs)) + at, return_counts=True)
+            at += np.concatenate([h[3] + s for h, s in zip(held, shift)]) * max(1, len(pairs))
+            entry, times = np.unique(at, return_counts=True)
             row, place = np.divmod(entry, max(1, len(pairs)))
             entries = np.bincount(row, minlength=shift[-1])
             step = np.diff(place, prepend=0)
@@ -267,7 +271,7 @@ def blocks(docs: DataFrame, first: str, second: str, doc_id: str = "doc_id", tex
             return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
         for batch in batches:
-            for i, j in pieces(batch.column(1)):
+            for i, j in pieces(batch.column(1), PIECE_BYTES):
                 column = batch.column(1)[i:j]
                 out, words, row, id_a, id_b = align_rows(column, a, b, texts)
                 digests = [sha256(w.encode()).hexdigest() if w else "" for w in words]
@@ -331,7 +335,7 @@ def groups(docs: DataFrame, first: str, second: str, doc_id: str = "doc_id", tex
         a, b = tokens(first), tokens(second)
         texts = GroupTexts(a, b)
         for batch in batches:
-            for i, j in pieces(batch.column(1)):
+            for i, j in pieces(batch.column(1), PIECE_BYTES):
                 words = align_rows(batch.column(1)[i:j], a, b, texts)[1]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j].cast(pa.int64()), pa.array(words, pa.string())], ["doc_id", "groups"])
 
