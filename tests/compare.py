@@ -8,7 +8,7 @@ import sys
 import time
 
 import duckdb
-import pandas as pd
+from pyspark.sql import DataFrame
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -21,31 +21,32 @@ def connection(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def canonical(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Columns by name, cells as text, rows sorted."""
-    out = pdf.reindex(sorted(pdf.columns), axis=1).astype(object)
-    out = out.where(out.notna(), None).map(lambda v: None if v is None else repr(v.item() if hasattr(v, "item") else v))
-    return out.sort_values(list(out.columns), key=lambda s: s.map(str)).reset_index(drop=True)
+def kind(value: object) -> str:
+    """One name for the types that both engines hand over; dates are compared as they print."""
+    return {"bool": "bool", "int": "int", "float": "float", "Decimal": "decimal"}.get(type(value).__name__, "other")
 
 
-def kinds(pdf: pd.DataFrame) -> dict[str, str]:
-    return {c: str(pdf[c].dtype) for c in sorted(pdf.columns)}
+def kinds(rows: list[tuple]) -> list[set[str]]:
+    return [{kind(v) for v in column if v is not None} for column in zip(*rows)]
 
 
-def differences(spark_pdf: pd.DataFrame, sql_pdf: pd.DataFrame) -> list[str]:
+def differences(got: DataFrame, want: duckdb.DuckDBPyRelation) -> list[str]:
+    """What differs between the rows of a query and of its SQL twin: names, number, types, values."""
+    names = sorted(got.columns)
+    if names != sorted(want.columns):
+        return [f"columns {names} <> {sorted(want.columns)}"]
+    left = [tuple(r) for r in got.select(*names).collect()]
+    right = want.project(", ".join(f'"{n}"' for n in names)).fetchall()
     problems = []
-    if sorted(spark_pdf.columns) != sorted(sql_pdf.columns):
-        return [f"columns {sorted(spark_pdf.columns)} <> {sorted(sql_pdf.columns)}"]
-    if len(spark_pdf) != len(sql_pdf):
-        problems.append(f"rows {len(spark_pdf)} <> {len(sql_pdf)}")
-    if kinds(spark_pdf) != kinds(sql_pdf):
-        left, right = kinds(spark_pdf), kinds(sql_pdf)
-        problems.append(f"types {({c: (left[c], right[c]) for c in left if left[c] != right[c]})}")
-    a, b = canonical(spark_pdf), canonical(sql_pdf)
-    if len(a) == len(b) and not a.equals(b):
-        rows = [i for i in range(len(a)) if list(a.iloc[i]) != list(b.iloc[i])]
-        if rows:
-            problems.append(f"values differ in {len(rows)} rows: {list(a.iloc[rows[0]])} <> {list(b.iloc[rows[0]])}")
+    if len(left) != len(right):
+        problems.append(f"rows {len(left)} <> {len(right)}")
+    if kinds(left) != kinds(right):
+        pairs = zip(names, kinds(left), kinds(right))
+        problems.append(f"types {({n: (a, b) for n, a, b in pairs if a != b})}")
+    left, right = sorted(map(repr, left)), sorted(map(repr, right))
+    unlike = [(a, b) for a, b in zip(left, right) if a != b]
+    if len(left) == len(right) and unlike:
+        problems.append(f"values differ in {len(unlike)} rows: {unlike[0][0]} <> {unlike[0][1]}")
     return problems
 
 
@@ -58,15 +59,13 @@ def main(folder: str, names: list[str]) -> None:
     for name in names or QUERIES:
         start = time.time()
         try:
-            got = QUERIES[name](spark, folder).toPandas()
-            took = time.time() - start
+            got = QUERIES[name](spark, folder)
             if name in ORACLE:
-                start = time.time()
-                problems = differences(got, con.execute(ORACLE[name]).df())
+                problems = differences(got, con.sql(ORACLE[name]))
                 verdict = "ok" if not problems else f"DIFF {problems}"
-                print(f"{name:28s} {len(got):7d} {took:6.1f}s sql {time.time() - start:5.1f}s {verdict}", flush=True)
             else:
-                print(f"{name:28s} {len(got):7d} {took:6.1f}s rows only", flush=True)
+                verdict = f"{got.count()} rows only"
+            print(f"{name:28s} {time.time() - start:6.1f}s {verdict}", flush=True)
         except Exception as error:
             print(f"{name:28s} FAILED {type(error).__name__} {str(error)[:600]}", flush=True)
     missing = set(ORACLE) - set(QUERIES)
