@@ -32,6 +32,10 @@ POPULATION = 100
 GENERATIONS = 40
 GENERATIONS_WITHOUT_GAIN = 10
 
+# Sizes of our own: a column of more values than the first is coded by a dictionary of at most as many codes as the second.
+MAX_NOMINAL = 256
+MAX_CODES = 255
+
 METRICS = (
     "recall_class0",
     "recall_class1",

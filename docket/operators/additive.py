@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docket import constants as C
 from docket.functions.draws import poisson_one
 from docket.operators.binning import Bins, fit_bins
+from docket.operators.dictionary import TargetCodes
 from docket.operators.encode import FrequencyEncoder, NumericFill
-from docket.operators.models import Prepared
-from docket.operators.screen import high_card_columns
+from docket.operators.models import Prepared, fitted_per_fold
+from docket.operators.screen import column_kinds
 from docket.schema import Roles
 from docket.session import staged
 
@@ -370,10 +371,10 @@ class AdditiveFit:
     ):
         self.roles, self.max_rounds, self.sweep = roles, max_rounds, sweep
         categorical = roles.categorical(df)
-        self.high = high_card_columns(df, categorical)
-        self.nominal = [c for c in categorical if c not in self.high]
+        self.high, self.wide, self.nominal = column_kinds(df, categorical)
         self.numeric = roles.numeric(df)
         self.freq, self.fill = [f"__freq_{c}" for c in self.high], [f"__num_{c}" for c in self.numeric]
+        self.target = [f"__target_{c}" for c in self.wide]
         self.losses: list[float] = []
 
     def prepare(self, train: DataFrame) -> Prepared:
@@ -381,19 +382,25 @@ class AdditiveFit:
         stages: list = []
         if self.high:
             stages.append(FrequencyEncoder(inputCols=self.high, outputCols=self.freq, spreadCol=self.roles.key))
+        if self.wide:
+            stages.append(TargetCodes(inputCols=self.wide, outputCols=self.target, spreadCol=self.roles.key))
         if self.numeric:
             stages.append(NumericFill(inputCols=self.numeric, outputCols=self.fill, strategy="mean"))
         encoder = Pipeline(stages=stages).fit(train)
-        columns = [self.roles.key, "label", *self.nominal, *self.freq, *self.fill]
+        columns = [self.roles.key, "label", *self.nominal, *self.freq, *self.target, *self.fill]
         return Prepared(encoder, staged(encoder.transform(train).select(*columns), "encoded"))
 
+    def prepare_folds(self, df: DataFrame, folds: int, threads: int = 4) -> list[tuple[Prepared, DataFrame]]:
+        """For every fold, what :meth:`prepare` makes of the rows outside, and the encoded rows inside."""
+        return fitted_per_fold(self, df, folds, threads)
+
     def learn(self, prepared: Prepared, params: Mapping[str, float]) -> AdditiveModel:
         """Bin, compact and boost prepared rows."""
         p = {**DEFAULTS, **params}
         if self.max_rounds is not None:
             p["max_rounds"] = min(p["max_rounds"], self.max_rounds)
         ready = prepared.rows
-        bins = fit_bins(ready, self.nominal, [*self.freq, *self.fill], int(p["max_bins"]))
+        bins = fit_bins(ready, self.nominal, [*self.freq, *self.target, *self.fill], int(p["max_bins"]))
         cells = compact(bins.apply(ready, [self.roles.key, "label"]), bins, self.roles.key, int(p["outer_bags"]))
         cells = staged(cells, "cells").persist()
         boosting = Boosting(cells, bins, p, self.sweep)
@@ -411,7 +418,7 @@ class AdditiveFit:
             shift = float((mean * weight).sum() / weight.sum()) if weight.sum() else 0.0
             scores.append(mean - shift)
             intercept += shift
-        source = dict(zip([*self.freq, *self.fill], [*self.high, *self.numeric]))
+        source = dict(zip([*self.freq, *self.target, *self.fill], [*self.high, *self.wide, *self.numeric]))
         return AdditiveModel(bins, boosting.terms, scores, intercept, source)
 
     def __call__(self, train: DataFrame, params: Mapping[str, float]) -> PipelineModel:

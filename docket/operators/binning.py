@@ -1,7 +1,8 @@
 """Small integer codes for every feature: nominal values by place, numerics by quantile bin.
 
 Code 0 stands for missing or unseen. A numeric feature keeps at most ``max_bins`` codes. A nominal one
-keeps all its values; columns of too many values for their rows are encoded by frequency.
+keeps all its values, at most ``MAX_NOMINAL``; columns of more values are numbers before they are binned, codes of a
+dictionary or, where there are too many values for their rows, frequencies.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
 from docket import constants as C
+from docket.operators.dictionary import attach, dictionary, fold_counts
 from docket.operators.encode import FrequencyEncoder, fill_numeric_means, label_of
 from docket.operators.folds import stratified_folds
+from docket.operators.lookup import BROADCAST_ROWS
 from docket.operators.order_stats import exact_quantiles
-from docket.operators.screen import high_card_columns
+from docket.operators.screen import column_kinds
 from docket.schema import Roles
 from docket.session import staged
 
@@ -70,16 +73,12 @@ def fit_bins(
     nominal: Sequence[str],
     numeric: Sequence[str],
     max_bins: int = 16,
-    max_nominal: int | None = None,
 ) -> Bins:
-    """Learn the values and the quantile cuts; both lists have a fixed upper size."""
+    """Learn the values and the quantile cuts; callers give nominal columns of at most ``MAX_NOMINAL`` values."""
     values: dict[str, list[str]] = {}
     if nominal:
         row = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(c) for c in nominal]).first()
         values = {c: list(row[c]) for c in nominal}
-        wide = [c for c, v in values.items() if max_nominal is not None and len(v) > max_nominal]
-        if wide:
-            raise ValueError(f"too many values for a nominal feature, encode by frequency: {', '.join(wide)}")
     cuts: dict[str, list[float]] = {c: [] for c in numeric}
     if numeric:
         probs = [i / max_bins for i in range(1, max_bins)]
@@ -89,33 +88,42 @@ def fit_bins(
 
 
 def encoded_features(
-    df: DataFrame, roles: Roles = Roles(), broadcast_rows: int | None = None
+    df: DataFrame, roles: Roles = Roles(), broadcast_rows: int = BROADCAST_ROWS, max_nominal: int = C.MAX_NOMINAL, folds: int = 0
 ) -> tuple[DataFrame, list[str], list[str]]:
     """The table ready for binning, with its nominal and numeric feature names.
 
-    Columns of many values become their frequencies; numeric nulls become means.
+    Columns of many values become codes of a dictionary, learned from ``label`` in the other folds than the row's own, or their
+    frequencies if they have too many values for their rows; numeric nulls become means.
     """
-    categorical, numeric = roles.categorical(df), roles.numeric(df)
-    high = high_card_columns(df, categorical)
-    nominal = [c for c in categorical if c not in high]
+    numeric = roles.numeric(df)
+    high, wide, nominal = column_kinds(df, roles.categorical(df), max_nominal=max_nominal)
+    columns, swap = df.columns, {}
     if high:
-        spare = [f"__freq_{c}" for c in high]
+        swap |= {c: f"__freq_{c}" for c in high}
+        spare = [swap[c] for c in high]
         encoder = FrequencyEncoder(inputCols=high, outputCols=spare, spreadCol=roles.key, broadcastRows=broadcast_rows)
-        encoded = encoder.fit(df).transform(df)
-        swap = dict(zip(high, spare))
-        df = encoded.select(*[F.col(swap.get(c, c)).alias(c) for c in df.columns])
+        df = encoder.fit(df).transform(df)
+    if wide:
+        table = staged(dictionary(fold_counts(df, wide, "label", folds), C.MAX_CODES, folds), "dictionary", partition_by="feature")
+        for c in wide:
+            swap[c] = f"__target_{c}"
+            df = attach(df, table, c, "__codes", "codes" if folds else "code", roles.key, broadcast_rows)
+            own = F.get("__codes", F.col("fold") - 1) if folds else F.col("__codes")
+            df = df.withColumn(swap[c], F.coalesce(own, F.lit(0)).cast("double")).drop("__codes")
+    if swap:
+        df = df.select(*[F.col(swap.get(c, c)).alias(c) for c in columns])
     if numeric:
         df = fill_numeric_means(df, numeric)
-    return df, nominal, [*high, *numeric]
+    return df, nominal, [*high, *wide, *numeric]
 
 
 def selection_frame(
-    df: DataFrame, roles: Roles = Roles(), max_bins: int = 16, folds: int = C.SELECTOR_FOLDS
+    df: DataFrame, roles: Roles = Roles(), max_bins: int = 16, folds: int = C.SELECTOR_FOLDS, max_nominal: int = C.MAX_NOMINAL
 ) -> tuple[DataFrame, Bins]:
     """Columns ``(key, label, fold, b0, b1, ...)``: the one input of all selectors."""
     labelled = label_of(df, roles.target).filter("label is not null")
-    encoded, nominal, numeric = encoded_features(labelled, roles)
-    ready = staged(encoded.select(roles.key, "label", *nominal, *numeric), "encoded")
+    folded = stratified_folds(labelled, roles.key, "label", folds)
+    encoded, nominal, numeric = encoded_features(folded, roles, max_nominal=max_nominal, folds=folds)
+    ready = staged(encoded.select(roles.key, "label", "fold", *nominal, *numeric), "encoded")
     bins = fit_bins(ready, nominal, numeric, max_bins)
-    codes = bins.apply(ready, [roles.key, "label"])
-    return staged(stratified_folds(codes, roles.key, "label", folds), "codes"), bins
+    return staged(bins.apply(ready, [roles.key, "label", "fold"]), "codes"), bins

@@ -16,9 +16,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from docket import constants as C
+from docket.operators.dictionary import TargetCodes
 from docket.operators.encode import FrequencyEncoder, NumericFill
+from docket.operators.fold_table import FoldTable
 from docket.operators.resample import oversample, oversample_copies
-from docket.operators.screen import high_card_columns
+from docket.operators.screen import column_kinds
 from docket.schema import Roles
 from docket.session import by_key, staged
 
@@ -70,50 +72,67 @@ def classifier(kind: str, params: Mapping[str, float], max_trees: int | None, ma
     )
 
 
-def feature_stages(
-    df: DataFrame, roles: Roles = Roles(), max_nominal: int | None = None
-) -> tuple[list, list[str]]:
-    """Encoder stages and the feature names in vector order.
+@dataclass(frozen=True)
+class Kinds:
+    """How each feature of a table is encoded; the order is that of the feature vector."""
+
+    high: list[str]
+    wide: list[str]
+    nominal: list[str]
+    numeric: list[str]
+
+    @classmethod
+    def of(cls, df: DataFrame, roles: Roles, max_nominal: int = C.MAX_NOMINAL) -> Kinds:
+        high, wide, nominal = column_kinds(df, roles.categorical(df), max_nominal=max_nominal)
+        return cls(high, wide, nominal, roles.numeric(df))
+
+    @property
+    def features(self) -> list[str]:
+        return [*self.high, *self.wide, *self.nominal, *self.numeric]
+
+    @property
+    def vector(self) -> list[str]:
+        """The encoded columns."""
+        named = (("__freq_", self.high), ("__target_", self.wide), ("__code_", self.nominal), ("__num_", self.numeric))
+        return [f"{prefix}{c}" for prefix, columns in named for c in columns]
 
-    Columns are nominal or encoded by frequency by their ratio alone. A nominal column of more than
-    ``max_nominal`` values, if given, is an error.
+
+def feature_stages(kinds: Kinds, key: str = C.KEY) -> list:
+    """Encoder stages: frequencies, dictionary codes, lists of values, filled numbers, and the vector of them.
+
+    Only columns of at most ``max_nominal`` values have a list of their values on the driver.
     """
-    categorical, numeric = roles.categorical(df), roles.numeric(df)
-    high = high_card_columns(df, categorical, max_nominal=max_nominal)
-    nominal = [c for c in categorical if c not in high]
     stages: list = []
-    vector: list[str] = []
-    if high:
+    if kinds.high:
         stages.append(
-            FrequencyEncoder(inputCols=high, outputCols=[f"__freq_{c}" for c in high], spreadCol=roles.key)
+            FrequencyEncoder(inputCols=kinds.high, outputCols=[f"__freq_{c}" for c in kinds.high], spreadCol=key)
         )
-        vector += [f"__freq_{c}" for c in high]
-    if nominal:
+    if kinds.wide:
+        stages.append(TargetCodes(inputCols=kinds.wide, outputCols=[f"__target_{c}" for c in kinds.wide], spreadCol=key))
+    if kinds.nominal:
         stages.append(
             StringIndexer(
-                inputCols=nominal,
-                outputCols=[f"__code_{c}" for c in nominal],
+                inputCols=kinds.nominal,
+                outputCols=[f"__code_{c}" for c in kinds.nominal],
                 stringOrderType="alphabetAsc",
                 handleInvalid="keep",
             )
         )
-        vector += [f"__code_{c}" for c in nominal]
-    if numeric:
+    if kinds.numeric:
         stages.append(
-            NumericFill(inputCols=numeric, outputCols=[f"__num_{c}" for c in numeric], strategy="below_min")
+            NumericFill(inputCols=kinds.numeric, outputCols=[f"__num_{c}" for c in kinds.numeric], strategy="below_min")
         )
-        vector += [f"__num_{c}" for c in numeric]
-    stages.append(VectorAssembler(inputCols=vector, outputCol="features"))
-    return stages, [*high, *nominal, *numeric]
+    return [*stages, VectorAssembler(inputCols=kinds.vector, outputCol="features")]
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """A fitted encoder and the encoded, balanced training rows, written once."""
+    """The encoded, balanced training rows, their number, the most values of a nominal column, and the encoder if it was fitted on its own."""
 
-    encoder: PipelineModel
+    encoder: PipelineModel | None
     rows: DataFrame
     n: int = 0
+    widest: int = 0
 
 
 class TreeFit:
@@ -130,31 +149,37 @@ class TreeFit:
         roles: Roles = Roles(),
         balance: str | None = "copies",
         max_trees: int | None = None,
+        max_nominal: int = C.MAX_NOMINAL,
     ):
         self.kind, self.roles, self.balance, self.max_trees = kind, roles, balance, max_trees
-        self.stages, self.features = feature_stages(df, roles)
+        self.kinds = Kinds.of(df, roles, max_nominal)
+        self.stages, self.features = feature_stages(self.kinds, roles.key), self.kinds.features
+
+    def balanced(self, train: DataFrame) -> DataFrame:
+        """Training rows with a ``weight``, or repeated, so that the classes count alike."""
+        if self.balance == "copies":
+            return oversample_copies(train, self.roles.key, "label", name="weight")
+        if self.balance == "rows":
+            return oversample(train, self.roles.key, "label").withColumn("weight", F.lit(1.0))
+        return train.withColumn("weight", F.lit(1.0))
 
     def prepare(self, train: DataFrame) -> Prepared:
         """Fit the encoder and balance the classes; none of it depends on the parameters."""
         encoder = Pipeline(stages=self.stages).fit(train)
-        if self.balance == "copies":
-            rows = oversample_copies(train, self.roles.key, "label", name="weight")
-        elif self.balance == "rows":
-            rows = oversample(train, self.roles.key, "label").withColumn("weight", F.lit(1.0))
-        else:
-            rows = train.withColumn("weight", F.lit(1.0))
         weight = F.col("weight").cast("double").alias("weight")
-        ready = staged(encoder.transform(rows).select(F.col(self.roles.key).alias("key"), "label", weight, "features"), "encoded")
-        return Prepared(encoder, ready, ready.count())
+        rows = encoder.transform(self.balanced(train))
+        ready = staged(rows.select(F.col(self.roles.key).alias("key"), "label", weight, "features"), "encoded")
+        lists = [v for s in encoder.stages if isinstance(s, StringIndexerModel) for v in s.labelsArray]
+        return Prepared(encoder, ready, ready.count(), max(map(len, lists), default=0))
+
+    def prepare_folds(self, df: DataFrame, folds: int, threads: int = 4) -> list[tuple[Prepared, DataFrame]]:
+        """For every fold, the training rows outside and the encoded rows inside, all read from one table."""
+        return FoldTable(df, self, folds).parts()
 
     def learn(self, prepared: Prepared, params: Mapping[str, float]) -> Model:
         """Fit the learner on prepared rows."""
-        widest = max(
-            [len(v) for s in prepared.encoder.stages if isinstance(s, StringIndexerModel) for v in s.labelsArray],
-            default=0,
-        )
         # One bin per value and one for missing or unseen ones; 32 is Spark's default.
-        learner = classifier(self.kind, params, self.max_trees, max(32, widest + 1))
+        learner = classifier(self.kind, params, self.max_trees, max(32, prepared.widest + 1))
         # Files are split by the number of cores; the learner's input must not be.
         return learner.fit(by_key(prepared.rows, prepared.n, "key"))
 
@@ -183,9 +208,19 @@ def each_fold(df: DataFrame, folds: int, threads: int, work: Callable) -> list:
         return list(pool.map(run, range(1, folds + 1)))
 
 
+def fitted_per_fold(fit, df: DataFrame, folds: int, threads: int = 4) -> list[tuple[Prepared, DataFrame]]:
+    """The same as a fit's ``prepare_folds`` with an encoder fitted and a table written for each fold."""
+
+    def work(fold, train: DataFrame, valid: DataFrame) -> tuple[Prepared, DataFrame]:
+        prepared = fit.prepare(train)
+        return prepared, staged(prepared.encoder.transform(valid), f"valid-{fold}")
+
+    return each_fold(df, folds, threads, work)
+
+
 def out_of_fold(
     df: DataFrame,
-    fit: Callable[[DataFrame, Mapping[str, float]], Model],
+    fit,
     params: Mapping[str, float],
     key: str = C.KEY,
     folds: int = C.TRAIN_FOLDS,
@@ -193,12 +228,14 @@ def out_of_fold(
 ) -> DataFrame:
     """Every row scored once by a model that has not seen its fold.
 
-    ``df`` carries ``label`` and ``fold``. The whole fit, encoder and balance
-    included, is done anew per fold.
+    ``df`` carries ``label`` and ``fold``. Encoder and balance of a fold's model know nothing of the fold.
     """
 
-    def work(_, train: DataFrame, valid: DataFrame) -> DataFrame:
-        scored = score(fit(train, params), valid, key, "fold", "label")
+    def work(part) -> DataFrame:
+        prepared, valid = part
+        scored = score(fit.learn(prepared, params), valid, key, "fold", "label")
         return scored.withColumnRenamed("predict", "prediction")
 
-    return reduce(DataFrame.unionByName, each_fold(df, folds, threads, work))
+    parts = fit.prepare_folds(df, folds, threads)
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(df.sparkSession)(work), parts))

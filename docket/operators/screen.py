@@ -68,34 +68,34 @@ def high_cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def high_card_columns(
-    df: DataFrame,
-    columns: Sequence[str],
-    ratio: float = C.HIGH_CARD_RATIO,
-    max_nominal: int | None = None,
-) -> list[str]:
-    """Columns to encode by frequency, decided exactly by the ratio of distinct values to rows.
-
-    One pass of sketches settles the clear cases; only columns near the limit are
-    counted exactly. With ``max_nominal``, a column below the ratio that has more values is an
-    error: a list of its values would be too long, and the caller has to say what to do.
+def column_kinds(
+    df: DataFrame, columns: Sequence[str], ratio: float = C.HIGH_CARD_RATIO, max_nominal: int = C.MAX_NOMINAL
+) -> tuple[list[str], list[str], list[str]]:
+    """Columns to encode by frequency, by dictionary and by a list of their values.
+
+    The first have more than ``ratio`` distinct values for each row, the second more than ``max_nominal``
+    values, the third are the rest. One pass of sketches settles the clear cases; only columns near a limit are
+    counted exactly.
     """
     columns = list(columns)
     if not columns:
-        return []
+        return [], [], []
     # A sketch of 4096 registers errs by 1.6 percent; the margin is twelve times that.
     distinct = lambda c: F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(12)))
     sketch = df.agg(F.count("*").alias("__rows"), *[distinct(c).alias(c) for c in columns]).first()
     rows = max(sketch["__rows"], 1)
-    high = lambda n: n / rows > ratio
-    near = [c for c in columns if high((sketch[c] or 0) * 1.2) != high((sketch[c] or 0) * 0.8)]
+    kind = lambda n: 0 if n / rows > ratio else 1 if n > max_nominal else 2
+    near = [c for c in columns if kind((sketch[c] or 0) * 1.2) != kind((sketch[c] or 0) * 0.8)]
     exact = {}
     if near:
         exact = {r["feature"]: r["n_distinct"] for r in distinct_counts(contingency(df, near)).collect()}
-    wide = [c for c in columns if max_nominal is not None and not high(n := exact.get(c, sketch[c] or 0)) and n > max_nominal]
-    if wide:
-        raise ValueError(f"more than {max_nominal} values in a nominal column: {', '.join(wide)}")
-    return [c for c in columns if high(exact.get(c, sketch[c] or 0))]
+    kinds = {c: kind(exact.get(c, sketch[c] or 0)) for c in columns}
+    return tuple([c for c in columns if kinds[c] == k] for k in range(3))
+
+
+def high_card_columns(df: DataFrame, columns: Sequence[str], ratio: float = C.HIGH_CARD_RATIO) -> list[str]:
+    """Columns to encode by frequency, decided exactly by the ratio of distinct values to rows."""
+    return column_kinds(df, columns, ratio)[0]
 
 
 def columns_with_value(df: DataFrame, columns: Sequence[str], value: str = C.INVALID) -> DataFrame:

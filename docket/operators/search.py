@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from docket import constants as C
 from docket.functions.draws import loguniform, quniform, uniform
 from docket.operators.metrics import confusion, metrics
-from docket.operators.models import each_fold
-from docket.session import staged
 
 
 def draw_parameters(trials: DataFrame, space, trial: str = "trial", seed=C.SEED) -> DataFrame:
@@ -54,8 +52,8 @@ def search(
 ) -> DataFrame:
     """Rows ``(trial, <parameters>, <metrics>, macro_f1)`` of the pooled out-of-fold rows.
 
-    Encoding and balance do not depend on the parameters, so each fold is prepared
-    and written once and serves all trials. Every (trial, fold) pair is then an
+    Encoding and balance do not depend on the parameters, so the folds are prepared
+    once and serve all trials. Every (trial, fold) pair is then an
     independent Spark job that hands four counts to the driver. ``overrides`` fixes
     parameters, for instance fewer trees in a trial run.
     """
@@ -67,11 +65,7 @@ def search(
         for r in trial_table(spark, kind, trials, seed).collect()
     }
 
-    def prepare(fold, train, valid):
-        prepared = fit.prepare(train)
-        return prepared, staged(prepared.encoder.transform(valid), f"valid-{fold}")
-
-    prepared = each_fold(df, folds, threads, prepare)
+    prepared = fit.prepare_folds(df, folds, threads)
 
     def judge(task):
         trial, fold = task

@@ -14,7 +14,6 @@ def direct(name, text, end):
     from tokenizers import Tokenizer
 
     tool = Tokenizer.from_file(tokenizer_path(name))
-    tool.encode_special_tokens = True
     return tool.encode(text or "", add_special_tokens=False).ids + [end]
 
 

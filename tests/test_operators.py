@@ -83,9 +83,8 @@ def test_high_card_columns(spark):
         F.lit("a").alias("one"),
     )
     assert screen.high_card_columns(df, df.columns) == ["over"]
-    assert screen.high_card_columns(df, df.columns, max_nominal=300) == ["over"]
-    with pytest.raises(ValueError, match="at"):
-        screen.high_card_columns(df, df.columns, max_nominal=299)
+    assert screen.column_kinds(df, df.columns, max_nominal=300) == (["over"], [], ["at", "empty", "one"])
+    assert screen.column_kinds(df, df.columns, max_nominal=299) == (["over"], ["at"], ["empty", "one"])
 
 
 @pytest.mark.parametrize("rows", [1, 3, 10, 57])
