@@ -297,6 +297,42 @@ _quantiles = ", ".join(
     f"round(quantile_cont(x, {p}), 4) as {n}" for n, p in (("q05", 0.05), ("q25", 0.25), ("q50", 0.5), ("q75", 0.75), ("q95", 0.95))
 )
 
+def _views(folds: int) -> str:
+    """The dictionary of rows ``t(feature, value, fold, y)``: view 0 of all rows, view k without fold k."""
+    return f"""
+w as (select feature, value, k, count(*) as n, count(*) filter (y) as n1
+  from t join (select unnest(range({folds + 1})) as k) on fold <> k where value is not null group by all),
+s as (select feature, k, sum(n1) / sum(n) as share from w group by all),
+l as (select feature, value, k, n, least(floor((n1 + 10.0::double * share) / (n + 10.0::double) * 1024), 1023)::integer as level
+  from w join s using (feature, k)),
+m as (select feature, k, level, sum(n) as mass from l group by all),
+c as (select feature, k, level, floor((sum(mass) over (partition by feature, k order by level) - mass) * 255
+  / sum(mass) over (partition by feature, k)) as cut from m),
+r as (select feature, k, level, cast(dense_rank() over (partition by feature, k order by cut) as integer) as code from c),
+d as (select feature, value, k, n, code from l join r using (feature, k, level))"""
+
+
+def _fold_encoding() -> str:
+    numbers = " union all ".join(
+        f"select codigo_processo, fold, '{c}' as feature, coalesce({c}::double, (select min({c}::double) - 1 from folded g where g.fold <> f.fold)) as x from folded f"
+        for c in NUMERIC
+    )
+    cells = f"cells as ({long((*NOMINAL, 'matricula'), 'codigo_processo', 'fold', source='folded')})"
+    return q(
+        "select b.codigo_processo, b.fold, b.feature, case when b.feature = 'matricula' then coalesce(k.n, 0)::double "
+        "else coalesce(k.code, z.known)::double end as x from cells b left join known k on k.feature = b.feature and k.value = b.value and k.fold = b.fold "
+        "left join sizes z on z.feature = b.feature and z.fold = b.fold union all " + numbers,
+        FOLDS,
+        cells,
+        "inside as (select feature, value, fold, count(*) as n from cells where value is not null group by all)",
+        "total as (select feature, value, sum(n) as n from inside group by all)",
+        "known as (select t.feature, t.value, f.fold, t.n - coalesce(i.n, 0) as n, row_number() over (partition by t.feature, f.fold order by t.value) - 1 as code "
+        "from total t cross join (select unnest(range(1, 11)) as fold) f left join inside i on i.feature = t.feature and i.value = t.value and i.fold = f.fold "
+        "where t.n > coalesce(i.n, 0))",
+        "sizes as (select feature, fold, count(*) as known from known group by all)",
+    )
+
+
 ORACLE: dict[str, str] = {
     "scan_raw": q("select * replace (tempo_cargo::double as tempo_cargo) from cases"),
     "scan_prepared": q(f"select codigo_processo, {', '.join(KEPT)}, resultado_processo from (select * replace (tempo_cargo::double as tempo_cargo) from cases)"),
@@ -433,6 +469,24 @@ ORACLE: dict[str, str] = {
         "select label, count(*) as n, round((select count(*) from labelled) / (2 * count(*)), 6) as weight from labelled group by label"
     ),
     "stratified_folds": q("select codigo_processo, label, fold, fold5 from folded", FOLDS),
+    "fold_encoding": _fold_encoding(),
+    "target_codes": "with t as ("
+    + " union all ".join(
+        f"select '{c}' as feature, {c}::varchar as value, l_linenumber % 3 + 1 as fold, l_returnflag = 'R' as y from lineitem"
+        for c in ("l_partkey", "l_suppkey", "l_linestatus")
+    )
+    + "), "
+    + _views(3)
+    + " select feature, value, max(n) filter (k = 0) as rows, max(code) filter (k = 0) as code, "
+    + ", ".join(f"max(code) filter (k = {k}) as without_{k}" for k in (1, 2, 3))
+    + " from d group by feature, value",
+    "wide_codes": q(
+        "select codigo_processo, fold, coalesce(code, 0)::double as peca from t left join d on d.value = t.value and d.k = t.fold",
+        FOLDS,
+        "first_line as (select l_orderkey as codigo_processo, min(struct_pack(a := l_linenumber, b := l_partkey)).b::varchar as value from lineitem group by 1)",
+        "t as (select 'peca' as feature, codigo_processo, value, fold5 as fold, label = 1 as y from folded left join first_line using (codigo_processo))",
+        _views(5),
+    ),
     "oversample": q(
         "select codigo_processo, label, cast(unnest(range(1, copies + 1)) as integer) as copy from "
         "(select codigo_processo, label, largest // n + case when r <= largest % n then 1 else 0 end as copies from sized)",

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.feature import Imputer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docket import constants as C
@@ -17,6 +18,7 @@ from docket.operators import (
     attribution,
     binning,
     contingency,
+    dictionary,
     encode,
     evidence,
     folds,
@@ -537,9 +539,10 @@ def _tree_scores(kind, params):
     return run
 
 
-BOOSTED = {"n_estimators": 5, "num_leaves": 8, "learning_rate": 0.3, "subsample": 0.8}
-BAGGED = {"n_estimators": 10, "num_leaves": 16, "subsample": 0.8, "colsample_bytree": 0.6}
-ADDITIVE = {"max_rounds": 6, "interactions": 2, "outer_bags": 2, "learning_rate": 0.3, "max_bins": 16}
+# Within the search laws; trees, rounds and bags at their lower bounds.
+BOOSTED = {"n_estimators": 100, "num_leaves": 8, "learning_rate": 0.1, "subsample": 0.8}
+BAGGED = {"n_estimators": 50, "num_leaves": 16, "subsample": 0.8, "colsample_bytree": 0.6}
+ADDITIVE = {"max_rounds": 10, "interactions": 2, "outer_bags": 8, "learning_rate": 0.3, "max_bins": 16}
 
 
 def additive_round1(spark, folder):
@@ -553,15 +556,65 @@ def additive_scores(spark, folder):
     return models.score(model, df, C.KEY, "cargo")
 
 
+def folded(spark, folder):
+    """The training table with ten folds."""
+    return _once(spark, folder, "folded", lambda: training_frame(screened(spark, folder).drop("label"), ROLES, C.TRAIN_FOLDS))
+
+
+def fold_encoding(spark, folder):
+    """Every case's features as the model sees them that has not seen the case's fold."""
+    df = folded(spark, folder)
+    fit = models.TreeFit(df, "bagged")
+    inside = None
+    for _, valid in fit.prepare_folds(df, C.TRAIN_FOLDS):
+        inside = valid if inside is None else inside.unionByName(valid)
+    names = F.array(*[F.lit(c) for c in fit.features])
+    cells = F.arrays_zip(names.alias("feature"), vector_to_array("features").alias("x"))
+    return inside.select(C.KEY, "fold", F.inline(cells))
+
+
+def target_codes(spark, folder):
+    """The dictionary of three nominal columns of order lines, and the codes without each of three folds."""
+    lines = tables.table(spark, folder, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_linestatus",
+        (F.col("l_linenumber") % 3 + 1).alias("fold"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
+    )
+    counts = dictionary.fold_counts(lines, ["l_partkey", "l_suppkey", "l_linestatus"], "label", 3)
+    without = [F.get("codes", F.lit(k - 1)).alias(f"without_{k}") for k in (1, 2, 3)]
+    return dictionary.dictionary(counts, C.MAX_CODES, 3).select("feature", "value", "rows", "code", *without)
+
+
+def wide_cases(spark, folder):
+    """Cases with one more nominal column of many values, the part of the order's first line."""
+    lines = tables.table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias(C.KEY))
+    first = lines.agg(F.min(F.struct("l_linenumber", "l_partkey"))["l_partkey"].cast("string").alias("peca"))
+    return screened(spark, folder).join(first, C.KEY, "left")
+
+
+def wide_nominal_scores(spark, folder):
+    """Boosted trees on cases with a wide nominal column, which a dictionary encodes."""
+    df = staged(wide_cases(spark, folder), "wide")
+    return models.score(models.TreeFit(df, "boosted")(df, BOOSTED), df, C.KEY, "cargo")
+
+
+def wide_codes(spark, folder):
+    """The selectors' codes of the wide nominal column: by the dictionary of the other folds."""
+    df = staged(wide_cases(spark, folder).select(C.KEY, "label", "peca"), "wide")
+    fold = folds.stratified_folds(df, C.KEY, "label", C.SELECTOR_FOLDS)
+    encoded, _, _ = binning.encoded_features(fold, ROLES, folds=C.SELECTOR_FOLDS, max_nominal=100)
+    return encoded.select(C.KEY, "fold", "peca")
+
+
 def oof_predictions(spark, folder):
-    df = training_frame(screened(spark, folder).drop("label"), ROLES, 3)
-    return models.out_of_fold(df, models.TreeFit(df, "bagged"), BAGGED, folds=3)
+    df = folded(spark, folder)
+    return models.out_of_fold(df, models.TreeFit(df, "bagged"), BAGGED, threads=8)
 
 
 def search_results(spark, folder):
-    df = training_frame(screened(spark, folder).drop("label"), ROLES, 2)
+    df = folded(spark, folder)
     fit = fitter("bagged", df, ROLES, TrainSettings())
-    return search.search(df, fit, "bagged", trials=2, folds=2, overrides={"n_estimators": 5})
+    return search.search(df, fit, "bagged", trials=2, threads=8)
 
 
 def tree_attribution(spark, folder):
@@ -572,7 +625,7 @@ def tree_attribution(spark, folder):
 
 def scoring_job(spark, folder):
     root = scratch_path(spark, "root")
-    settings = TrainSettings(trials=1, folds=2, overrides={"n_estimators": 5, "num_leaves": 8})
+    settings = TrainSettings(trials=1, threads=8)
     past = screened(spark, folder).drop("label").where(F.col(C.KEY) % 5 != 0)
     run = train(past, root, "bagged", settings=settings)
     ledger.promote(spark, root, run["run_id"], "outcome", "Production")
@@ -652,7 +705,7 @@ QUERIES: dict[str, Query] = {
         oversample, oversample_labels, dummy_baseline, dummy_draws, confusion_metrics, macro_f1, classification_report,
         mutual_information, top_k_features, bottom_features, selector_vote, forward_step, forward_selection,
         genetic_selection, boruta_ranking, trial_tables, best_trial, naive_scores, additive_round1, additive_scores,
-        oof_predictions, search_results, tree_attribution, scoring_job, attribution_totals, global_importance,
+        fold_encoding, target_codes, wide_codes, wide_nominal_scores, oof_predictions, search_results, tree_attribution, scoring_job, attribution_totals, global_importance,
         favourable_value, impact_label, impact_by_code, evidence_table, evidence_text_round_trip, evidence_per_row,
     )
 }
