@@ -1,8 +1,10 @@
 """Exact order statistics without sorting a whole group in one task.
 
 The value range of every group is cut into many buckets. Counting the buckets
-tells which one holds each wanted rank, and only the rows of those buckets are
-ranked. Both steps combine on the map side, so equal values never pile up.
+tells which one holds each wanted rank. A bucket of one value is the answer, a small one is
+ranked, and a large one is cut into buckets again, by quantiles of its own or by further digits, until it is
+one of the two. All counts combine on the map side, so equal values never pile up, and no task
+ranks more than a stated number of rows, whatever their number and skew.
 """
 
 from __future__ import annotations
@@ -10,9 +12,51 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 HASH_DIGITS = 4
+#: The rows of a bucket that one task may rank.
+RANKED_ROWS = 100_000
+#: Cuts by which a large bucket of numbers is parted, and the accuracy of the sketch that finds them.
+FINER_CUTS, FINER_ACCURACY = 255, 2000
+
+#: Parts a bucket's rows ``(spot, v)`` again: adds ``b``, which grows with ``v``. The second argument counts the levels.
+Finer = Callable[[DataFrame, int], DataFrame]
+
+
+def finer_numbers(rows: DataFrame, level: int) -> DataFrame:
+    """Buckets between a spot's own approximate quantiles; each of these values has a bucket of its own."""
+    probs = F.array(*[F.lit(i / (FINER_CUTS + 1)) for i in range(1, FINER_CUTS + 1)])
+    cuts = rows.groupBy("spot").agg(F.array_distinct(F.percentile_approx("v", probs, FINER_ACCURACY)).alias("cuts"))
+    below = F.size(F.filter("cuts", lambda c: c < F.col("v")))
+    is_cut = F.array_contains("cuts", F.col("v")).cast("int")
+    return rows.join(F.broadcast(cuts), "spot").withColumn("b", below * 2 + is_cut).drop("cuts")
+
+
+def finer_digits(rows: DataFrame, level: int) -> DataFrame:
+    """Buckets by the first digits of a text, more of them at each level."""
+    return rows.withColumn("b", F.substring("v", 1, HASH_DIGITS * (level + 1)))
+
+
+def _buckets(rows: DataFrame, by: str) -> DataFrame:
+    return rows.groupBy(by, "b").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+
+
+def _spots(hist: DataFrame, by: str, wanted: DataFrame) -> list:
+    """The buckets ``b`` of each group ``by`` that hold a wanted rank: rows before, rows in them, least and largest value, ranks.
+
+    ``wanted`` has ``(by, total, rank)``, one row for each rank.
+    """
+    upto = F.sum("n").over(Window.partitionBy(by).orderBy("b"))
+    placed = hist.select(by, "n", "low", "high", (upto - F.col("n")).alias("before"), upto.alias("upto"), "b")
+    # One row for each wanted rank at most, whatever the rows.
+    return (
+        placed.join(F.broadcast(wanted), by)
+        .filter("rank > before and rank <= upto")
+        .groupBy(by, "b")
+        .agg(*[F.first(c).alias(c) for c in ("before", "total", "n", "low", "high")], F.collect_list("rank").alias("ranks"))
+        .collect()
+    )
 
 
 def order_statistics(
@@ -21,40 +65,71 @@ def order_statistics(
     value: Column,
     bucket: Column,
     ranks: Callable[[Column], Column],
+    finer: Finer = finer_numbers,
+    largest: int = RANKED_ROWS,
 ) -> DataFrame:
     """Rows ``(g, total, rank, v)``: the value at each wanted 1-based rank of each group.
 
     ``bucket`` must grow with ``value``. ``ranks`` maps the group's row count to
-    an array of ranks. Rows with a null value are left out.
+    an array of ranks. Rows with a null value are left out. A bucket that holds a wanted rank and more than
+    ``largest`` rows of several values is parted by ``finer``.
     """
+    spark = df.sparkSession
     keyed = df.select(group.alias("g"), value.alias("v"), bucket.alias("b")).filter("g is not null and v is not null")
-    hist = keyed.groupBy("g", "b").agg(F.count("*").alias("n"))
+    kind = {f.name: f.dataType for f in keyed.schema.fields}
+    hist = _buckets(keyed, "g")
     totals = hist.groupBy("g").agg(F.sum("n").alias("total"))
     wanted = totals.select("g", "total", F.explode(F.array_distinct(ranks(F.col("total")))).alias("rank"))
-    upto = F.sum("n").over(Window.partitionBy("g").orderBy("b"))
-    spots = (
-        hist.select("g", "b", (upto - F.col("n")).alias("before"), upto.alias("upto"))
-        .join(F.broadcast(wanted), "g")
-        .filter("rank > before and rank <= upto")
-        .groupBy("g", "b")
-        .agg(F.first("before").alias("before"), F.first("total").alias("total"), F.collect_list("rank").alias("ranks"))
-    )
-    # One row per wanted rank at most, so the broadcast side has a known bound.
-    inside = (
-        keyed.join(F.broadcast(spots), ["g", "b"])
-        .groupBy("g", "b", "v")
-        .agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("before", "total", "ranks")])
-        .withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy("g", "b").orderBy("v")))
-    )
-    return (
-        inside.withColumn("rank", F.explode(F.expr("filter(ranks, r -> r > upto - n and r <= upto)")))
-        .select("g", "total", "rank", "v")
+    spots = [(r["g"], r["total"], r["before"], r["n"], r["low"], r["high"], r["ranks"]) for r in _spots(hist, "g", wanted)]
+    shape = T.StructType(
+        [
+            T.StructField("spot", T.LongType()), T.StructField("g", kind["g"]), T.StructField("total", T.LongType()),
+            T.StructField("before", T.LongType()), T.StructField("n", T.LongType()), T.StructField("low", kind["v"]),
+            T.StructField("high", kind["v"]), T.StructField("ranks", T.ArrayType(T.LongType())),
+        ]
+    )
+
+    def inside(chosen: list, *more: str) -> DataFrame:
+        """The rows of some spots; a spot is the range of its values."""
+        table = F.broadcast(spark.createDataFrame([(i, *s) for i, s in enumerate(chosen)], shape).withColumnRenamed("g", "__g"))
+        held = (F.col("g") == F.col("__g")) & F.col("v").between(F.col("low"), F.col("high"))
+        return keyed.join(table, held).select("spot", "v", *more)
+
+    found, small, level = [], [], 0
+    while spots:
+        large = []
+        for s in spots:
+            g, total, _, n, low, high, places = s
+            if low == high:
+                found += [(g, total, rank, low) for rank in places]
+            else:
+                (small if n <= largest else large).append(s)
+        if not large:
+            break
+        level += 1
+        places = [(i, s[1], rank - s[2]) for i, s in enumerate(large) for rank in s[6]]
+        parted = _spots(_buckets(finer(inside(large), level), "spot"), "spot", spark.createDataFrame(places, "spot long, total long, rank long"))
+        spots = []
+        for r in parted:
+            g, total, before, *_ = large[r["spot"]]
+            spots.append((g, total, before + r["before"], r["n"], r["low"], r["high"], [before + k for k in r["ranks"]]))
+    out = T.StructType([shape["g"], shape["total"], T.StructField("rank", T.LongType()), T.StructField("v", kind["v"])])
+    settled = spark.createDataFrame(found, out)
+    if not small:
+        return settled
+    ranked = (
+        inside(small, "g", "total", "before", "ranks")
+        .groupBy("spot", "v")
+        .agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("g", "total", "before", "ranks")])
+        .withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy("spot").orderBy("v")))
+        .withColumn("rank", F.explode(F.expr("filter(ranks, r -> r > upto - n and r <= upto)")))
     )
+    return settled.unionByName(ranked.select("g", "total", "rank", "v"))
 
 
 def hash_statistics(df: DataFrame, group: Column, order: Column, ranks: Callable[[Column], Column]) -> DataFrame:
     """Order statistics of a hex hash; its first digits are the buckets."""
-    return order_statistics(df, group, order, F.substring(order, 1, HASH_DIGITS), ranks)
+    return order_statistics(df, group, order, F.substring(order, 1, HASH_DIGITS), ranks, finer_digits)
 
 
 def _approximate_splits(df: DataFrame, columns: Sequence[str], buckets: int) -> list[list[float]]:
@@ -72,6 +147,7 @@ def exact_quantiles(
     probs: Sequence[float],
     interpolate: bool = True,
     buckets: int = 256,
+    largest: int = RANKED_ROWS,
 ) -> DataFrame:
     """Rows ``(feature, prob, value)`` with exact quantiles of numeric columns.
 
@@ -108,7 +184,7 @@ def exact_quantiles(
         def ranks(total):
             return F.transform(wanted, lambda p: F.greatest(F.ceil(total * p), F.lit(1)).cast("bigint"))
 
-    found = order_statistics(long, F.col("feature"), F.col("x"), F.col("bucket"), ranks)
+    found = order_statistics(long, F.col("feature"), F.col("x"), F.col("bucket"), ranks, finer_numbers, largest)
     by_feature = (
         found.groupBy("g")
         .agg(F.first("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
