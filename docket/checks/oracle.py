@@ -426,6 +426,11 @@ ORACLE: dict[str, str] = {
         f"counts as (select feature, value, count(*) as n from ({long(ALL, source='cases')}) group by feature, value)",
         SCREEN,
     ),
+    "screen_rules": q(
+        "select feature, rule, rule <> 'keep' as dropped from screen",
+        f"counts as (select feature, value, count(*) as n from ({long(ALL, source='cases')}) group by feature, value)",
+        SCREEN,
+    ),
     "high_card_columns": q(
         "select feature, count(value) / sum(n) > 0.3 as high_card from counts group by feature", counts(CATEGORICAL)
     ),

@@ -311,6 +311,12 @@ def low_variance_all_columns(spark, folder):
     return rounded(screen.low_variance(df, df.columns), "top_share")
 
 
+def screen_rules(spark, folder):
+    """The verdicts that the jobs act on, for every column of the case table."""
+    df = case_table(spark, folder)
+    return screen.screen_rules(df, df.columns)
+
+
 def high_cardinality(spark, folder):
     df = case_table(spark, folder)
     return rounded(screen.high_cardinality(df, ROLES.categorical(df)), "ratio")
@@ -699,7 +705,7 @@ QUERIES: dict[str, Query] = {
         screened_table, column_roles, cast_types, packed_features, unpacked_result, valid_values, value_present,
         invalid_marker_columns, fill_missing, class_balance, counts_by_outcome, distinct_values, column_modes,
         column_centres, crosstab_outcome, profile_numeric, profile_categorical, frequent_values, histogram,
-        duplicate_rows, low_variance_screen, low_variance_all_columns, high_cardinality, high_card_columns,
+        duplicate_rows, low_variance_screen, low_variance_all_columns, screen_rules, high_cardinality, high_card_columns,
         explore_job, future_from_csv, feature_difference,
         label_encode, category_codes, frequency_encode, mean_impute, feature_codes, class_weights, stratified_folds,
         oversample, oversample_labels, dummy_baseline, dummy_draws, confusion_metrics, macro_f1, classification_report,

@@ -133,12 +133,21 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFram
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """How many rows repeat another row on the given columns, or on all of them."""
-    groups = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("n"))
-    n = F.col("n")
-    return groups.agg(
-        F.sum("n").alias("n_rows"),
+    """How many rows repeat another row on the given columns, or on all of them.
+
+    Fingerprints of 128 bits are counted first. A fingerprint that occurs once is a row of its own; whole rows are
+    compared only where a fingerprint repeats, so what is shuffled does not grow with the width of rows that do not.
+    """
+    names = list(columns or df.columns)
+    marked = df.select(*names, F.xxhash64(*names).alias("__p"), F.xxhash64(F.lit(1), *names).alias("__q"))
+    prints = marked.groupBy("__p", "__q").agg(F.count("*").alias("__n"))
+    repeated = marked.join(prints.where("__n > 1").select("__p", "__q"), ["__p", "__q"], "left_semi")
+    n = F.col("__n")
+    of = lambda groups: groups.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("n_rows"),
         F.count("*").alias("n_distinct_rows"),
         F.count_if(n > 1).alias("n_repeated"),
         F.coalesce(F.sum(n - 1), F.lit(0)).alias("n_duplicates"),
     )
+    parts = of(prints.where("__n = 1")).unionByName(of(repeated.groupBy(*names).agg(F.count("*").alias("__n"))))
+    return parts.agg(*[F.sum(c).alias(c) for c in parts.columns])

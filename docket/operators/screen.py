@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from docket import constants as C
 from docket.operators.contingency import contingency, distinct_counts
 from docket.schema import Roles
 
+VERDICTS = "feature string, rule string, dropped boolean"
+#: Items that a column's heavy-hitter summary returns and tracks. A value of more than half of the rows is among them; nulls may be one more.
+TOP, TRACKED = 2, 64
+
 
 def low_variance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: its counts, the rule that drops it and the verdict.
@@ -48,6 +52,58 @@ def low_variance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def screen_rules(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows ``(feature, rule, dropped)``: the verdicts of :func:`low_variance` without its counts.
+
+    One aggregate of bounded summaries settles most rules: extremes tell one value from more, and a value of more than
+    half of the rows is among the few that a heavy-hitter summary tracks. Such values are then counted in a second
+    scan. Values are only counted one by one in columns that hold the favourable marker and do not have so
+    many values that one of them must be rare. So a column of unique values sends none of them through a shuffle.
+    """
+    columns = list(columns)
+    if not columns:
+        return df.sparkSession.createDataFrame([], VERDICTS)
+    text = {c: F.col(c).cast("string") for c in columns}
+    valid = {c: F.when(t != C.INVALID, t) for c, t in text.items()}
+
+    def summary(c: str) -> Column:
+        top = F.call_function("approx_top_k", valid[c], F.lit(TOP), F.lit(TRACKED))
+        return F.struct(
+            F.min(text[c]).alias("low"), F.max(text[c]).alias("high"), F.count(valid[c]).alias("n_valid"),
+            F.min(valid[c]).alias("valid_low"), F.max(valid[c]).alias("valid_high"),
+            F.coalesce(F.bool_or(text[c] == C.YES), F.lit(False)).alias("has_yes"),
+            F.transform(F.filter(top, lambda t: t["item"].isNotNull()), lambda t: F.struct(t["item"].alias("value"), t["count"].alias("n"))).alias("top"),
+            F.hll_sketch_estimate(F.hll_sketch_agg(text[c], F.lit(12))).alias("distinct"),
+        ).alias(c)
+
+    facts = df.agg(*[summary(c) for c in columns]).first()
+    rule: dict[str, str] = {}
+    likely: dict[str, str] = {}
+    for c in columns:
+        f = facts[c]
+        if f["low"] is None:
+            rule[c] = "all_null"
+        elif f["low"] == f["high"]:
+            rule[c] = "constant"
+        elif f["valid_low"] == f["valid_high"]:
+            # More than one value and one valid one: the other is the marker.
+            rule[c] = "one_valid_value"
+        elif f["top"] and f["top"][0]["n"] > f["n_valid"] / 2:
+            likely[c] = f["top"][0]["value"]
+    if likely:
+        counted = df.agg(*[F.count_if(text[c] == v).alias(c) for c, v in likely.items()]).first()
+        rule |= {c: "dominant_value" for c in likely if counted[c] / facts[c]["n_valid"] > C.DOMINANT_SHARE}
+    marked = [c for c in columns if c not in rule and facts[c]["has_yes"]]
+    # With more values than a fifth of the rows, one has fewer than five; the margin covers the sketch's error.
+    many = [c for c in marked if facts[c]["distinct"] * 0.8 - 1 > facts[c]["n_valid"] / C.RAREST_MIN_ROWS]
+    rule |= {c: "rare_value" for c in many}
+    if few := [c for c in marked if c not in many]:
+        rarest = contingency(df, few).where(F.col("value") != C.INVALID).groupBy("feature").agg(F.min("n").alias("n"))
+        rule |= {r["feature"]: "rare_value" for r in rarest.where(F.col("n") < C.RAREST_MIN_ROWS).collect()}
+    rows = [(c, rule.get(c, "keep"), c in rule) for c in columns]
+    return df.sparkSession.createDataFrame(rows, VERDICTS)
+
+
 def flagged(report: DataFrame) -> list[str]:
     """Names of the dropped columns; the report has one row per column."""
     return [r["feature"] for r in report.filter("dropped").select("feature").collect()]
@@ -55,8 +111,7 @@ def flagged(report: DataFrame) -> list[str]:
 
 def drop_low_variance(df: DataFrame, roles: Roles = Roles(), scope: str = "categorical") -> tuple[DataFrame, list[str]]:
     """Drop the flagged columns; ``scope="all"`` tests key, numerics and target too."""
-    columns = df.columns if scope == "all" else roles.categorical(df)
-    names = flagged(low_variance(df, columns)) if columns else []
+    names = flagged(screen_rules(df, df.columns if scope == "all" else roles.categorical(df)))
     return df.drop(*names), [c for c in df.columns if c in names]
 
 

@@ -68,6 +68,62 @@ def test_screen_rare_value_needs_yes(spark):
     assert {r["feature"]: r["rule"] for r in report.collect()} == {"a": "rare_value", "b": "keep"}
 
 
+def _screen_columns(n=400):
+    """Columns at the edges of every rule."""
+    some = lambda k, a, b: [a if i < k else b for i in range(n)]
+    return {
+        "empty": [None] * n,
+        "one": ["a"] * n,
+        "one_and_null": some(5, None, "a"),
+        "marker_only": ["INV"] * n,
+        "marker_and_null": some(9, "INV", None),
+        "one_valid": some(390, "INV", "a"),
+        "at_limit": some(360, "a", "b"),
+        "over_limit": some(361, "a", "b"),
+        "over_limit_of_valid": [*["INV"] * 200, *["a"] * 181, *["b"] * 19],
+        "nulls_before_dominant": [*[None] * 300, *["a"] * 95, *["b"] * 5],
+        "half": [*["a"] * 210, *[f"v{i}" for i in range(190)]],
+        "rare": [*["SIM"] * 196, *["NÃO"] * 200, *["x"] * 4],
+        "not_rare": [*["SIM"] * 195, *["NÃO"] * 200, *["x"] * 5],
+        "rare_without_yes": [*["a"] * 196, *["NÃO"] * 200, *["x"] * 4],
+        "unique": [f"u{i}" for i in range(n)],
+        "unique_with_yes": ["SIM", *[f"u{i}" for i in range(n - 1)]],
+        "many_with_yes": [*["SIM"] * 200, *[f"u{i // 5}" for i in range(200)]],
+    }
+
+
+def test_screen_rules_are_those_of_the_full_report(spark):
+    table = _screen_columns()
+    df = spark.createDataFrame(list(zip(*table.values())), ", ".join(f"{c} string" for c in table)).withColumn("k", F.monotonically_increasing_id())
+    want = {r["feature"]: (r["rule"], r["dropped"]) for r in screen.low_variance(df, df.columns).collect()}
+    got = {r["feature"]: (r["rule"], r["dropped"]) for r in screen.screen_rules(df, df.columns).collect()}
+    assert got == want and {r for r, _ in want.values()} == {"all_null", "constant", "one_valid_value", "dominant_value", "rare_value", "keep"}
+    assert screen.screen_rules(df.limit(0), ["one", "k"]).collect() == [("one", "all_null", True), ("k", "all_null", True)]
+    assert screen.screen_rules(df, []).collect() == []
+
+
+def test_screen_counts_values_only_where_a_rule_can_fire(spark, monkeypatch):
+    table = _screen_columns()
+    df = spark.createDataFrame(list(zip(*table.values())), ", ".join(f"{c} string" for c in table))
+    asked = []
+    monkeypatch.setattr(screen, "contingency", lambda df, columns, plain=screen.contingency: asked.extend(columns) or plain(df, columns))
+    screen.screen_rules(df, df.columns).collect()
+    assert asked == ["rare", "not_rare", "many_with_yes"]
+
+
+def test_duplicate_rows_equal_plain_groups(spark):
+    from docket.operators.profile import duplicate_rows
+
+    rows = [(None, None, None)] * 3 + [("a", 0.0, None), ("a", -0.0, None), ("b", float("nan"), 1), ("b", float("nan"), 1)]
+    rows += [(f"w{i % 40}" * 50, float(i % 3), i % 2) for i in range(200)] + [(f"only{i}", 1.0, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "a string, b double, c int")
+    sizes = [r["count"] for r in df.groupBy(*df.columns).count().collect()]
+    want = (len(rows), len(sizes), sum(n > 1 for n in sizes), sum(n - 1 for n in sizes))
+    assert tuple(duplicate_rows(df).first()) == want
+    assert tuple(duplicate_rows(df, ["c"]).first())[:2] == (len(rows), len({r[2] for r in rows}))
+    assert tuple(duplicate_rows(df.limit(0)).first()) == (0, 0, 0, 0)
+
+
 def test_mode_takes_the_lowest_on_ties(spark):
     df = spark.createDataFrame([("SIM",), ("NÃO",), ("INV",), (None,), (None,)], "a string")
     counts = contingency.contingency(df, ["a"])
