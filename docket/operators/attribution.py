@@ -104,30 +104,79 @@ def _narrowed(old: Condition, split, side: int, share: float) -> Condition:
     return Condition(old.feature, low, high, allowed, old.cover * share)
 
 
-def leaf_attributions(leaves: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
-    """Shapley value of every feature for every row of ``x``.
+def pattern_parts(covers: np.ndarray, passed: np.ndarray) -> np.ndarray:
+    """Shapley parts of leaves of value 1 for patterns of passed tests.
 
-    For one leaf, a subset of its features passes with the product of the row's
-    own tests inside the subset and of the covers outside. Multiplying out one
-    polynomial in the subset size weighs all subsets at once.
+    ``covers`` has the shape ``(leaves, d)``, ``passed`` the shape ``(patterns, d)`` with 0 and 1; the result
+    ``(leaves, patterns, d)``. For one leaf, a subset of its features passes with the product of the pattern's
+    tests inside the subset and of the covers outside. Multiplying out one polynomial in the subset
+    size weighs all subsets at once.
     """
-    out = np.zeros(x.shape)
-    for leaf in leaves:
-        d = len(leaf.conditions)
-        passed = [c.holds(x[:, c.feature]).astype(float) for c in leaf.conditions]
-        for i, own in enumerate(leaf.conditions):
-            sizes = np.zeros((len(x), d))
-            sizes[:, 0] = 1.0
-            for j, other in enumerate(leaf.conditions):
-                if j != i:
-                    grown = sizes * other.cover
-                    grown[:, 1:] += sizes[:, :-1] * passed[j][:, None]
-                    sizes = grown
-            weights = [math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)]
-            out[:, own.feature] += leaf.value * (passed[i] - own.cover) * (sizes @ weights)
+    n, d = covers.shape
+    out = np.empty((n, len(passed), d))
+    weights = np.array([math.factorial(k) * math.factorial(d - 1 - k) / math.factorial(d) for k in range(d)])
+    for i in range(d):
+        sizes = np.zeros((n, len(passed), d))
+        sizes[:, :, 0] = 1.0
+        for j in range(d):
+            if j != i:
+                grown = sizes * covers[:, j, None, None]
+                grown[:, :, 1:] += sizes[:, :, :-1] * passed[None, :, j, None]
+                sizes = grown
+        out[:, :, i] = (passed[None, :, i] - covers[:, i, None]) * (sizes @ weights)
     return out
 
 
+class Explainer:
+    """Shapley values of rows under a tree model, by tables of pass patterns.
+
+    A row's part in a leaf depends on which of the leaf's tests it passes and on nothing else. For leaves of
+    up to ``TABLE_TESTS`` tests the parts of all patterns are worked out once; a row looks its pattern up, so a
+    leaf costs a row as many steps as it has tests. Longer leaves work out the patterns that a batch has.
+    """
+
+    TABLE_TESTS = 6
+
+    def __init__(self, leaves: Sequence[Leaf]):
+        by_tests: dict[int, list[Leaf]] = {}
+        for leaf in leaves:
+            if leaf.conditions:
+                by_tests.setdefault(len(leaf.conditions), []).append(leaf)
+        self.leaves: list[tuple[Leaf, np.ndarray, np.ndarray, np.ndarray | None]] = []
+        for d, group in sorted(by_tests.items()):
+            covers = np.array([[c.cover for c in leaf.conditions] for leaf in group])
+            features = np.array([[c.feature for c in leaf.conditions] for leaf in group])
+            tables: Sequence = [None] * len(group)
+            if d <= self.TABLE_TESTS:
+                values = np.array([leaf.value for leaf in group])[:, None, None]
+                tables = values * pattern_parts(covers, self._bits(np.arange(1 << d), d))
+            self.leaves += zip(group, features, covers, tables)
+
+    @staticmethod
+    def _bits(patterns: np.ndarray, d: int) -> np.ndarray:
+        return (patterns[:, None] >> np.arange(d) & 1).astype(float)
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        """Shapley value of every feature for every row of ``x``."""
+        # Features as rows: a leaf reads and adds to a few of them.
+        columns, out = np.ascontiguousarray(x.T), np.zeros(x.T.shape)
+        for leaf, features, covers, table in self.leaves:
+            pattern = np.zeros(len(x), dtype=np.int64)
+            for k, c in enumerate(leaf.conditions):
+                pattern |= c.holds(columns[c.feature]).astype(np.int64) << k
+            if table is None:
+                seen, pattern = np.unique(pattern, return_inverse=True)
+                table = leaf.value * pattern_parts(covers[None, :], self._bits(seen, len(features)))[0]
+            for k, feature in enumerate(features):
+                out[feature] += table[:, k][pattern]
+        return out.T
+
+
+def leaf_attributions(leaves: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
+    """Shapley value of every feature for every row of ``x``."""
+    return Explainer(leaves)(x)
+
+
 def base_value(leaves: Sequence[Leaf]) -> float:
     """The margin expected before any feature is known."""
     return sum(leaf.value * math.prod(c.cover for c in leaf.conditions) for leaf in leaves)
@@ -164,9 +213,10 @@ def _explained(wide: DataFrame, leaves: Sequence[Leaf], schema: str, keep: Seque
     shared = wide.sparkSession.sparkContext.broadcast(list(leaves))
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        explainer = Explainer(shared.value)
         for batch in batches:
             if len(batch):
-                parts = leaf_attributions(shared.value, np.stack(batch["x"].to_numpy()))
+                parts = explainer(np.stack(batch["x"].to_numpy()))
                 yield batch.drop(columns="x").assign(parts=list(parts if keep is None else parts[:, keep]))
 
     return wide.mapInPandas(explain, schema)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docket.functions.draws import poisson_one, uniform
 from docket.operators import contingency, encode, evidence, lookup, metrics, order_stats, profile, resample, screen, search, selection
-from docket.operators.attribution import Condition, Leaf, base_value, leaf_attributions
+from docket.operators.attribution import Condition, Explainer, Leaf, base_value, leaf_attributions
 from docket.operators.binning import Bins
 from docket.operators.folds import stratified_folds
 from docket.operators.subset_scores import compact, fold_log_odds, odds_arrays, subset_scores
@@ -279,6 +279,41 @@ def test_attributions_equal_brute_force_shapley():
         assert row.sum() + base_value(leaves) == pytest.approx(reached)
 
 
+def _random_leaves(draw, leaves, features, tests):
+    out = []
+    for _ in range(leaves):
+        chosen = draw.sample(range(features), draw.randint(1, tests))
+        conditions = [
+            Condition(f, -math.inf if draw.random() < 0.5 else draw.gauss(-1, 1), draw.gauss(1, 1) if draw.random() < 0.7 else math.inf, None, draw.uniform(0.1, 0.9))
+            for f in chosen
+        ]
+        out.append(Leaf(draw.gauss(0, 1), tuple(conditions)))
+    return out
+
+
+def test_long_and_short_leaves_agree(monkeypatch):
+    """Tables of patterns and the patterns of a batch give the same parts; long leaves equal brute force."""
+    draw, rng = random.Random(2), np.random.default_rng(2)
+    leaves = _random_leaves(draw, 40, 9, 9)
+    assert max(len(leaf.conditions) for leaf in leaves) > Explainer.TABLE_TESTS
+    x = rng.normal(size=(50, 9))
+    got = leaf_attributions(leaves, x)
+    for row, values in zip(got[:3], x):
+        assert row == pytest.approx(_brute_force(leaves, values))
+    for bound in (0, 20):
+        monkeypatch.setattr(Explainer, "TABLE_TESTS", bound)
+        assert leaf_attributions(leaves, x) == pytest.approx(got)
+    assert leaf_attributions([Leaf(1.0, ())], x) == pytest.approx(np.zeros(x.shape))
+
+
+def test_parts_of_a_hundred_trees_of_fifty_leaves_add_up():
+    draw, rng = random.Random(3), np.random.default_rng(3)
+    leaves, x = _random_leaves(draw, 5000, 30, 6), rng.normal(size=(2000, 30))
+    parts = leaf_attributions(leaves, x)
+    reached = sum(leaf.value * np.prod([c.holds(x[:, c.feature]) for c in leaf.conditions], axis=0) for leaf in leaves)
+    assert parts.sum(axis=1) + base_value(leaves) == pytest.approx(reached)
+
+
 def test_subset_scores_equal_a_row_by_row_count(spark):
     draw = random.Random(3)
     rows = [(i, draw.randint(0, 1), i % 3 + 1, draw.randint(1, 3), draw.randint(0, 2)) for i in range(200)]
