@@ -474,6 +474,11 @@ ORACLE: dict[str, str] = {
         "select label, count(*) as n, round((select count(*) from labelled) / (2 * count(*)), 6) as weight from labelled group by label"
     ),
     "stratified_folds": q("select codigo_processo, label, fold, fold5 from folded", FOLDS),
+    "oof_coverage": q("select codigo_processo, fold, label, true as scored from folded", FOLDS),
+    "attribution_gaps": q("select codigo_processo, true as additive from cases"),
+    "scored_files": q(
+        f"select codigo_processo, cargo, true as scored, {sum(c in FLAGS for c in KEPT)}::integer as evidence_rows from cases where codigo_processo % 5 = 0"
+    ),
     "fold_encoding": _fold_encoding(),
     "target_codes": "with t as ("
     + " union all ".join(

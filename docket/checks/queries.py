@@ -33,7 +33,8 @@ from docket.operators import (
     subset_scores,
 )
 from docket.plans.explore import explore
-from docket.plans.score import score_future
+from docket.plans.prepare import SelectorSettings, prepare
+from docket.plans.score import score_file, score_future
 from docket.plans.train import TrainSettings, attributions, fitter, train, training_frame
 from docket.schema import Roles, columns_like, conform_columns, conform_types
 from docket.session import scratch_path, staged
@@ -623,23 +624,81 @@ def search_results(spark, folder):
     return search.search(df, fit, "bagged", trials=2, threads=8)
 
 
-def tree_attribution(spark, folder):
+def oof_coverage(spark, folder):
+    """Out-of-fold rows: every case once, in its own fold, with a class and that class's probability."""
+    said = F.col("prediction").isin(0, 1) & F.col("probability").between(0.5, 1.0)
+    return oof_predictions(spark, folder).select(C.KEY, "fold", "label", said.alias("scored"))
+
+
+def _boosted(spark, folder):
     df = screened(spark, folder)
-    fit = models.TreeFit(df, "boosted")
-    return attributions(df, fit(df, BOOSTED), fit.features, C.KEY)
+
+    def make():
+        fit = models.TreeFit(df, "boosted")
+        return fit, fit(df, BOOSTED)
+
+    return (df, *_once(spark, folder, "boosted", make))
+
+
+def tree_attribution(spark, folder):
+    df, fit, model = _boosted(spark, folder)
+    return attributions(df, model, fit.features, C.KEY)
+
+
+def attribution_gaps(spark, folder):
+    """Whether the parts of every case and the base add up to the model's margin."""
+    df, fit, model = _boosted(spark, folder)
+    leaves, _ = attribution.tree_leaves(spark, model.stages[-1])
+    parts = attribution.attribute(df, model, leaves, fit.features, C.KEY).groupBy(C.KEY).agg(F.sum("contribution").alias("s"))
+    margin = 2.0 * F.get(vector_to_array("rawPrediction"), 1)
+    gap = F.abs(F.col("s") + F.lit(attribution.base_value(leaves)) - F.col("m"))
+    scored = model.transform(df).select(C.KEY, margin.alias("m"))
+    return parts.join(scored, C.KEY).select(C.KEY, (gap < 1e-6).alias("additive"))
+
+
+def _trained(spark, folder):
+    """A model directory whose model, trained on four fifths of the cases, holds a stage."""
+
+    def make():
+        root = scratch_path(spark, "root")
+        past = screened(spark, folder).drop("label").where(F.col(C.KEY) % 5 != 0)
+        run = train(past, root, "bagged", settings=TrainSettings(trials=1, threads=8))
+        ledger.promote(spark, root, run["run_id"], "outcome", "Production")
+        return root
+
+    return _once(spark, folder, "trained", make)
+
+
+def _future(spark, folder):
+    return cases(spark, folder).where(F.col(C.KEY) % 5 == 0)
 
 
 def scoring_job(spark, folder):
-    root = scratch_path(spark, "root")
-    settings = TrainSettings(trials=1, threads=8)
-    past = screened(spark, folder).drop("label").where(F.col(C.KEY) % 5 != 0)
-    run = train(past, root, "bagged", settings=settings)
-    ledger.promote(spark, root, run["run_id"], "outcome", "Production")
-    future = cases(spark, folder).where(F.col(C.KEY) % 5 == 0)
-    scored, _ = score_future(spark, future, root, "outcome", "Production", f"{root}/out")
+    root = _trained(spark, folder)
+    scored, _ = score_future(spark, _future(spark, folder), root, "outcome", "Production", scratch_path(spark, "out"))
     return scored
 
 
+def scored_files(spark, folder):
+    """Scoring of a file; what it returns is read back from the files that the job wrote."""
+    root, path, out = _trained(spark, folder), scratch_path(spark, "future"), scratch_path(spark, "out")
+    tables.write_csv(_future(spark, folder).drop(C.TARGET), path)
+    score_file(spark, path, root, "outcome", "Production", out)
+    shape = f"{C.KEY} bigint, cargo string, predict int, probability double"
+    back = spark.read.schema(shape).option("header", True).csv(f"{out}/predictions")
+    evidence = spark.read.option("header", True).csv(f"{out}/evidences")
+    said = F.col("predict").isin(0, 1) & F.col("probability").between(0.5, 1.0)
+    rows = evidence.agg(F.count("*").cast("int").alias("evidence_rows"), F.lit(1).alias("__one"))
+    joined = back.withColumn("__one", F.lit(1)).join(F.broadcast(rows), "__one")
+    return joined.select(C.KEY, "cargo", said.alias("scored"), "evidence_rows")
+
+
+def prepare_job(spark, folder):
+    """The feature job with its four selectors: what each column's votes come to."""
+    settings = SelectorSettings(keep=KEEP, shadow_rounds=20, shadow_trees=30)
+    return prepare(cases(spark, folder), settings=settings)[1]
+
+
 # Evidence
 
 
@@ -711,7 +770,8 @@ QUERIES: dict[str, Query] = {
         oversample, oversample_labels, dummy_baseline, dummy_draws, confusion_metrics, macro_f1, classification_report,
         mutual_information, top_k_features, bottom_features, selector_vote, forward_step, forward_selection,
         genetic_selection, boruta_ranking, trial_tables, best_trial, naive_scores, additive_round1, additive_scores,
-        fold_encoding, target_codes, wide_codes, wide_nominal_scores, oof_predictions, search_results, tree_attribution, scoring_job, attribution_totals, global_importance,
+        fold_encoding, target_codes, wide_codes, wide_nominal_scores, oof_predictions, oof_coverage, search_results, tree_attribution, attribution_gaps, scoring_job,
+        scored_files, prepare_job, attribution_totals, global_importance,
         favourable_value, impact_label, impact_by_code, evidence_table, evidence_text_round_trip, evidence_per_row,
     )
 }

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
@@ -28,16 +29,19 @@ from docket.operators.encode import FrequencyEncoder, NumericFill
 from docket.operators.models import Prepared, fitted_per_fold
 from docket.operators.screen import column_kinds
 from docket.schema import Roles
-from docket.session import staged
+from docket.session import ship, staged
 
 
 @dataclass(frozen=True)
 class Term:
-    """A feature, or a pair of features with coarser bins, by feature number."""
+    """A feature, or a pair of features with coarser bins, by feature number.
+
+    ``groups`` has, for each feature of a pair, the coarse bin of every code.
+    """
 
     features: tuple[int, ...]
     sizes: tuple[int, ...]
-    coarse: tuple[int, ...] = ()
+    groups: tuple[tuple[int, ...], ...] = ()
 
     @property
     def size(self) -> int:
@@ -47,19 +51,48 @@ class Term:
         """The term's bin as one integer."""
         if len(self.features) == 1:
             return F.col(f"b{self.features[0]}")
-        first, second = (coarse_code(f, full, size) for f, full, size in zip(self.features, self.coarse, self.sizes))
+        first, second = (coarse_code(f, g) for f, g in zip(self.features, self.groups))
         return first * F.lit(self.sizes[1]) + second
 
     def name(self, names: Sequence[str]) -> str:
         return " x ".join(names[f] for f in self.features)
 
 
-def coarse_code(feature: int, full: int, size: int) -> Column:
-    """Merge neighbouring bins of a feature with ``full`` codes into ``size`` codes; 0 stays apart."""
+def coarse_code(feature: int, groups: Sequence[int]) -> Column:
+    """The coarse bin of a feature's code."""
     code = F.col(f"b{feature}")
-    if size == full:
-        return code
-    return F.when(code == 0, 0).otherwise(1 + F.floor((code - 1) * (size - 1) / (full - 1))).cast("int")
+    return code if list(groups) == list(range(len(groups))) else F.get(F.lit(list(groups)), code)
+
+
+def coarse_groups(order: np.ndarray, weight: np.ndarray, size: int) -> tuple[int, ...]:
+    """Coarse bins of codes ``0..n``: code 0 stays apart, the others are merged in their order into ``size`` bins of like weight."""
+    n, out = len(order), np.zeros(len(order) + 1, dtype=int)
+    if n <= size:
+        return tuple(range(n + 1))
+    mass = np.maximum(weight[order], 1e-12)
+    before = np.cumsum(mass) - mass / 2
+    cuts = np.floor(before / mass.sum() * size).astype(int)
+    out[order + 1] = 1 + np.unique(cuts, return_inverse=True)[1]
+    return tuple(out.tolist())
+
+
+def quadrant_gain(g: np.ndarray, h: np.ndarray, reg: float) -> float:
+    """The most that one cut in each of two features explains: the gain of four quadrants over all cuts, from running sums."""
+    g, h = (np.pad(x.cumsum(0).cumsum(1), ((1, 0), (1, 0))) for x in (g, h))
+    cut = slice(1, -1)
+
+    def gain(corner) -> np.ndarray:
+        a, b = corner(g), corner(h)
+        return np.divide(a * a, b + reg, out=np.zeros_like(a), where=b > 1e-12)
+
+    corners = (
+        lambda t: t[cut, cut],
+        lambda t: t[cut, -1:] - t[cut, cut],
+        lambda t: t[-1:, cut] - t[cut, cut],
+        lambda t: t[-1:, -1:] - t[cut, -1:] - t[-1:, cut] + t[cut, cut],
+    )
+    total = sum(gain(c) for c in corners)
+    return float(total.max()) if total.size else 0.0
 
 
 def compact(codes: DataFrame, bins: Bins, key: str, bags: int = 1, seed=C.SEED) -> DataFrame:
@@ -174,6 +207,9 @@ DEFAULTS = {
     "reg_lambda": 0.0,
 }
 
+#: Pairs that one job screens.
+PAIRS_PER_JOB = 128
+
 
 class Boosting:
     """Term scores under construction: ``scores[t]`` has one row per bag, one column per bin.
@@ -244,18 +280,45 @@ class Boosting:
         g, h, n, loss = self.statistics([0])[0]
         return float(loss.sum() / n.sum())
 
+    def pair_groups(self, max_bins: int) -> list[tuple[int, ...]]:
+        """Coarse bins of every feature: numbers in their order, nominal values in the order of their main scores."""
+        out = []
+        for i, name in enumerate(self.bins.names):
+            score, weight = self.scores[i].mean(axis=0)[1:], self.counts[i].sum(axis=0)[1:]
+            order = np.argsort(score, kind="stable") if name in self.bins.nominal else np.arange(len(score))
+            out.append(coarse_groups(order, weight, max_bins))
+        return out
+
     def best_pairs(self, count: int, max_bins: int) -> list[Term]:
-        """The pairs whose joint bins hold most of the remaining gradient, from one job for all pairs."""
-        names = self.bins.names
-        full = [self.bins.size(n) for n in names]
-        size = [f if n in self.bins.nominal else min(f, max_bins + 1) for n, f in zip(names, full)]
-        pairs = [Term((i, j), (size[i], size[j]), (full[i], full[j])) for i, j in combinations(range(len(names)), 2)]
+        """The pairs that explain most of the gradient that the main terms leave.
+
+        A pair's score is its best gain over one cut in each feature. A job sums gradients in coarse bins for
+        ``PAIRS_PER_JOB`` pairs, so a cell makes so many rows at most; a pair's bins meet in one group of
+        ``(max_bins + 1) ** 2`` rows at most, and one number for each pair reaches the driver.
+        """
+        groups, reg = self.pair_groups(max_bins), float(self.params["reg_lambda"])
+        size = [max(g) + 1 for g in groups]
+        pairs = [Term((i, j), (size[i], size[j]), (groups[i], groups[j])) for i, j in combinations(range(len(groups)), 2)]
         if not pairs or count <= 0:
             return []
-        cells = gradients(self.cells, self.terms, self.scores, self.intercept, pairs)
-        gain = F.sum(F.when(F.col("h") > 0, F.col("g") ** 2 / (F.col("h") + self.params["reg_lambda"])))
-        best = cells.groupBy("term").agg(gain.alias("gain")).orderBy(F.desc("gain"), "term").limit(count)
-        return [pairs[r["term"]] for r in best.collect()]
+        gains: list[float] = []
+        ship(self.cells.sparkSession)
+        for start in range(0, len(pairs), PAIRS_PER_JOB):
+            part = pairs[start : start + PAIRS_PER_JOB]
+            sizes = [t.sizes for t in part]
+
+            def gain(rows: pd.DataFrame) -> pd.DataFrame:
+                term = int(rows["term"].iloc[0])
+                g, h = np.zeros(sizes[term]), np.zeros(sizes[term])
+                g.ravel()[rows["code"]], h.ravel()[rows["code"]] = rows["g"], rows["h"]
+                return pd.DataFrame({"term": [term], "gain": [quadrant_gain(g, h, reg)]})
+
+            cells = gradients(self.cells, self.terms, self.scores, self.intercept, part)
+            sums = cells.groupBy("term", "code").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+            found = {r["term"]: r["gain"] for r in sums.groupBy("term").applyInPandas(gain, "term int, gain double").collect()}
+            gains += [found.get(i, 0.0) for i in range(len(part))]
+        best = sorted(range(len(pairs)), key=lambda i: (-round(gains[i], 9), i))
+        return [pairs[i] for i in best[:count]]
 
 
 class AdditiveModel(Model, MLReadable, MLWritable):
@@ -344,7 +407,7 @@ class _AdditiveWriter(MLWriter):
             "numeric": m.bins.numeric,
             "intercept": m.intercept,
             "source": m.source,
-            "terms": [[t.features, t.sizes, t.coarse] for t in m.terms],
+            "terms": [[t.features, t.sizes, t.groups] for t in m.terms],
         }
         self.sparkSession.createDataFrame([(json.dumps(shape),)], "value string").coalesce(1).write.text(f"{path}/shape")
         m.term_table(self.sparkSession).write.parquet(f"{path}/terms")
@@ -354,7 +417,7 @@ class _AdditiveReader(MLReader):
     def load(self, path: str) -> AdditiveModel:
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
         shape = json.loads(self.sparkSession.read.text(f"{path}/shape").first()[0])
-        terms = [Term(tuple(f), tuple(s), tuple(c)) for f, s, c in shape["terms"]]
+        terms = [Term(tuple(f), tuple(s), tuple(map(tuple, g))) for f, s, g in shape["terms"]]
         scores = [np.zeros(t.size) for t in terms]
         for r in self.sparkSession.read.parquet(f"{path}/terms").collect():
             scores[r["term"]][r["code"]] = r["score"]
