@@ -493,6 +493,12 @@ def forward_selection(spark, folder):
     return rounded(selection.forward_selection(spark, s.bins.names, s, KEEP), "macro_f1")
 
 
+def forest_forward_step(spark, folder):
+    """The first step of forward selection with a forest for each candidate and fold."""
+    codes, bins = coded(spark, folder)
+    return selection.forward_selection(spark, bins.names, selection.ForestScorer(codes, bins), 1)
+
+
 def genetic_selection(spark, folder):
     s = scorer(spark, folder)
     return selection.genetic_selection(spark, s.bins.names, s, KEEP)
@@ -768,7 +774,7 @@ QUERIES: dict[str, Query] = {
         explore_job, future_from_csv, feature_difference,
         label_encode, category_codes, frequency_encode, mean_impute, feature_codes, class_weights, stratified_folds,
         oversample, oversample_labels, dummy_baseline, dummy_draws, confusion_metrics, macro_f1, classification_report,
-        mutual_information, top_k_features, bottom_features, selector_vote, forward_step, forward_selection,
+        mutual_information, top_k_features, bottom_features, selector_vote, forward_step, forward_selection, forest_forward_step,
         genetic_selection, boruta_ranking, trial_tables, best_trial, naive_scores, additive_round1, additive_scores,
         fold_encoding, target_codes, wide_codes, wide_nominal_scores, oof_predictions, oof_coverage, search_results, tree_attribution, attribution_gaps, scoring_job,
         scored_files, prepare_job, attribution_totals, global_importance,

@@ -5,7 +5,10 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from statistics import median
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -72,12 +75,14 @@ class CellScorer:
 class ForestScorer:
     """Macro-F1 of feature subsets by fitting a small balanced forest per subset and fold."""
 
-    def __init__(self, codes: DataFrame, bins: Bins, folds: int = C.SELECTOR_FOLDS, trees: int = 20):
+    def __init__(self, codes: DataFrame, bins: Bins, folds: int = C.SELECTOR_FOLDS, trees: int = 20, threads: int = 8):
         self.codes = staged(add_class_weight(codes, "label"), "weighted")
-        self.bins, self.folds, self.trees = bins, folds, trees
+        self.bins, self.folds, self.trees, self.threads = bins, folds, trees, threads
 
     def __call__(self, masks: Sequence[Sequence[int]]) -> list[float]:
-        return [self._score(mask) for mask in masks]
+        # Subsets are independent jobs over the one table of codes.
+        with ThreadPoolExecutor(max_workers=self.threads) as pool:
+            return list(pool.map(inheritable_thread_target(self.codes.sparkSession)(self._score), masks))
 
     def _score(self, mask: Sequence[int]) -> float:
         if not mask:
@@ -180,6 +185,39 @@ def _binomial_tail(hits: int, rounds: int) -> float:
     return min(1.0, sum(math.exp(log_choose(h) - rounds * math.log(2)) for h in range(hits, rounds + 1)))
 
 
+def below_false_discovery(chances: Sequence[float], alpha: float) -> list[bool]:
+    """Which chances pass at a false discovery rate (Benjamini and Hochberg): all up to the largest that lies under its line."""
+    order = sorted(range(len(chances)), key=lambda i: chances[i])
+    passed = max((k for k, i in enumerate(order, 1) if chances[i] <= alpha * k / len(chances)), default=0)
+    return [i in set(order[:passed]) for i in range(len(chances))]
+
+
+def shadow_verdicts(hits: Sequence[int], rounds: int, alpha: float) -> list[str]:
+    """What the hits of the features still in the test say after a number of rounds.
+
+    A verdict takes two steps (Kursa and Rudnicki 2010, with the correction in two steps of its later versions): the
+    chance of so many, or so few, hits passes at a false discovery rate among the features, and it lies below
+    ``alpha`` over the number of rounds, as every round tests anew.
+    """
+    many = [_binomial_tail(h, rounds) for h in hits]
+    few = [_binomial_tail(rounds - h, rounds) for h in hits]
+    out = ["tentative"] * len(hits)
+    for chances, verdict in ((many, "confirmed"), (few, "rejected")):
+        for i, passed in enumerate(below_false_discovery(chances, alpha)):
+            if passed and chances[i] <= alpha / rounds:
+                out[i] = verdict
+    return out
+
+
+def _median_ranks(history: Sequence[dict[str, float]], columns: Sequence[str]) -> dict[str, float]:
+    """The median place of each column by importance, over the rounds that it was in."""
+    places: dict[str, list[int]] = {c: [] for c in columns}
+    for weights in history:
+        for place, c in enumerate(sorted(weights, key=lambda c: (-weights[c], c)), 1):
+            places[c].append(place)
+    return {c: float(median(p)) if p else math.inf for c, p in places.items()}
+
+
 def shadow_blocks(codes: DataFrame, key: str, columns: Sequence[str], blocks: int) -> DataFrame:
     """Rows grouped into hash blocks of even size, one array of rows per block."""
     row = F.struct(F.xxhash64(key).alias("h"), "label", "weight", *columns)
@@ -220,8 +258,8 @@ def shadow_selection(
 
     Every round a balanced forest sees the features and their permuted copies. A
     feature scores a hit when it matters more than the best copy. Confirmed and
-    rejected follow from a binomial test over the rounds, corrected for the number
-    of features; rejected ones leave the later rounds. Permuting inside hash blocks
+    rejected follow from :func:`shadow_verdicts`; a verdict stays, and rejected features leave the later rounds.
+    Features of one verdict are placed by the median of their places over the rounds. Permuting inside hash blocks
     costs one shuffle for all rounds, and the blocks stay even under any skew
     because keys are unique.
     """
@@ -232,8 +270,9 @@ def shadow_selection(
     blocked = staged(shadow_blocks(weighted, key, bins.columns, blocks), "blocks")
     name_of = dict(zip(bins.columns, bins.names))
     active = list(bins.columns)
-    hits, seen, importance, verdict = ({c: 0 for c in active} for _ in range(4))
+    hits, seen, importance = ({c: 0 for c in active} for _ in range(3))
     verdict = {c: "tentative" for c in active}
+    history: list[dict[str, float]] = []
     for round_no in range(1, rounds + 1):
         inputs = [*active, *[f"s_{c}" for c in active]]
         flat = with_shadows(blocked, active, round_no)
@@ -250,19 +289,15 @@ def shadow_selection(
             hits[c] += int(weights[c] > best_shadow)
             seen[c] += 1
             importance[c] += float(weights[c])
-        limit = alpha / len(bins.columns)
-        for c in active:
-            if _binomial_tail(hits[c], seen[c]) <= limit:
-                verdict[c] = "confirmed"
-            elif _binomial_tail(seen[c] - hits[c], seen[c]) <= limit:
-                verdict[c] = "rejected"
-            else:
-                verdict[c] = "tentative"
+        history.append({c: weights[c] for c in active})
+        open_ = [c for c in active if verdict[c] == "tentative"]
+        verdict |= dict(zip(open_, shadow_verdicts([hits[c] for c in open_], round_no, alpha)))
         active = [c for c in active if verdict[c] != "rejected"]
-        if not active or all(verdict[c] == "confirmed" for c in active):
+        if not any(verdict[c] == "tentative" for c in active):
             break
+    middle = _median_ranks(history, list(name_of))
     standing = {"confirmed": 0, "tentative": 1, "rejected": 2}
-    order = sorted(name_of, key=lambda c: (standing[verdict[c]], -importance[c] / max(seen[c], 1), name_of[c]))
+    order = sorted(name_of, key=lambda c: (standing[verdict[c]], middle[c], -importance[c] / max(seen[c], 1), name_of[c]))
     return spark.createDataFrame(
         [
             (name_of[c], hits[c], seen[c], importance[c] / max(seen[c], 1), verdict[c], place)

@@ -314,6 +314,42 @@ def test_parts_of_a_hundred_trees_of_fifty_leaves_add_up():
     assert parts.sum(axis=1) + base_value(leaves) == pytest.approx(reached)
 
 
+def _published_verdicts(hits, rounds, alpha):
+    """The two-step test written out: step-up false discovery rate, then a level for each round."""
+    tail = lambda h: sum(math.comb(rounds, k) for k in range(h, rounds + 1)) / 2**rounds
+    out = []
+    for i, h in enumerate(hits):
+        said = "tentative"
+        for side, verdict in ((lambda x: tail(x), "confirmed"), (lambda x: tail(rounds - x), "rejected")):
+            chances = sorted(side(x) for x in hits)
+            lines = [p for k, p in enumerate(chances, 1) if p <= alpha * k / len(chances)]
+            if lines and side(h) <= max(lines) and side(h) <= alpha / rounds:
+                said = verdict
+        out.append(said)
+    return out
+
+
+def test_shadow_verdicts_take_both_steps():
+    draw = random.Random(8)
+    seen = set()
+    for _ in range(200):
+        rounds = draw.randint(1, 40)
+        hits = [draw.choice([0, rounds, draw.randint(0, rounds)]) for _ in range(draw.randint(1, 12))]
+        got = selection.shadow_verdicts(hits, rounds, 0.05)
+        assert got == _published_verdicts(hits, rounds, 0.05)
+        seen |= set(got)
+    assert seen == {"confirmed", "rejected", "tentative"}
+    assert selection.shadow_verdicts([], 3, 0.05) == []
+    # Five of five hits pass the rate but not the level of the fifth round; eight of eight pass both.
+    assert selection.shadow_verdicts([5, 2], 5, 0.05) == ["tentative", "tentative"]
+    assert selection.shadow_verdicts([8, 4], 8, 0.05) == ["confirmed", "tentative"]
+
+
+def test_median_places_ignore_rounds_that_a_feature_missed():
+    history = [{"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 0.1, "b": 0.6}, {"a": 0.7, "b": 0.2}]
+    assert selection._median_ranks(history, ["a", "b", "c", "d"]) == {"a": 1.0, "b": 2.0, "c": 3.0, "d": math.inf}
+
+
 def test_subset_scores_equal_a_row_by_row_count(spark):
     draw = random.Random(3)
     rows = [(i, draw.randint(0, 1), i % 3 + 1, draw.randint(1, 3), draw.randint(0, 2)) for i in range(200)]
