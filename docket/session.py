@@ -95,7 +95,8 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path, partitionBy=partition_by)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    names = ["`" + c.replace("`", "``") + "`" for c in df.columns]
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*names)
 
 
 def by_key(df: DataFrame, rows: int, *key: str, rows_per_partition: int = 20_000) -> DataFrame:
