@@ -2,8 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from docket.session import staged
 from tests.llm.test_phrases import brute as repeats
 from tests.llm.test_tokens import PACK_TOKENIZER, direct
 
@@ -68,3 +70,34 @@ def test_run_gives_the_pieces_of_the_last_stage(spark, small):
     folder, *_ = small
     total = corpus_pipeline.run(spark, folder).groupBy().sum("length").first()[0]
     assert total == sum(r["length"] for r in spark.read.parquet(f"{folder}/out-packing").collect())
+
+
+CLASHES = ["score", "predicted", "n_words", "n_removed", "__block", "__rest", "class_id", "item_id", "h", "ids", "n", "a.b"]
+
+
+def test_other_columns_may_have_any_name(spark, small):
+    """Columns named like an operator's own are handed on as they are, stage by stage."""
+    folder, _, _ = small
+    plain = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = [F.concat(F.lit(c), F.coalesce(F.col("doc_id"), F.lit(-1))).alias(c) for c in CLASHES]
+    docs = plain.select("*", *extra)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        if name == "packing":
+            assert out.count() > 0
+            break
+        out = staged(out, "stage")
+        assert out.columns == docs.columns
+        expected = {(r["doc_id"], r["text"]) for r in staged(stage(spark, plain, folder), "plain").collect()}
+        rows = out.collect()
+        assert {(r["doc_id"], r["text"]) for r in rows} == expected
+        for r in rows:
+            assert all(r[c] == f"{c}{-1 if r['doc_id'] is None else r['doc_id']}" for c in CLASHES)
+        docs, plain = out, out.select("doc_id", "text", "lang", "source", "n_chars")
+
+
+def test_only_id_and_text(spark, small):
+    folder, _, _ = small
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, docs, folder).columns == ["doc_id", "text"]
