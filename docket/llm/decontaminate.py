@@ -1,21 +1,23 @@
 """Benchmark decontamination by template canonicalisation.
 
-A text becomes a row of canonical tokens: numbers, names and units turn into typed
-placeholders, other words into lower case. Windows of five canonical tokens, of which at
-least three are words, are joined by hash with the windows of the benchmark items. A document
-and an item that share windows at one distance are aligned; at the placeholders of
+A text becomes a row of tokens: numbers, names and units turn into typed placeholders, other words into lower case.
+A capital that begins a sentence may be a name or not, so such windows have both readings. Every window of
+five tokens is indexed by its words as written and, if at least two of its tokens are words, by its canonical readings too; so windows that
+are nearly all numbers and names count as well, but only as they are written; five numbers alone are not indexed. Windows of documents are joined by hash with those of the benchmark items.
+A document and an item that share windows at one distance are aligned; at the placeholders of
 aligned windows each value of the item must stand for one value of the document throughout, or the
 alignment does not count. So a question asked again with other numbers and names is found,
 and text that only has the same shape is not.
 
-An item leaks if consistent windows cover ``COVERED`` of it, or a run of ``RUN`` tokens.
+A window of the item is covered if it is matched, or if matched windows of one alignment hold all its tokens. An item leaks if
+``COVERED`` of all its windows are covered, or a run of ``RUN`` tokens.
 
 The windows of the benchmark are counted first. Up to ``BROADCAST_WINDOWS`` their hashes are
 broadcast, and only windows that match leave a document's task; beyond, every window of a
 document is joined by a shuffle. Both give the same rows.
 
-Defined results: null and empty texts have no window; items of fewer than five tokens, or
-without a window of three words, are not searched for; rows with a null id are not
+Defined results: null and empty texts have no window; items of fewer than five tokens, or of numbers
+only, are not searched for; rows with a null id are not
 judged; rows with equal ids count as one document; items that are equal after
 canonicalisation are each reported; empty tables give no rows; other columns are not read.
 """
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 from docket.llm.words import bounded_batches, find_words, mix, pieces, shingle_hashes, span_hashes, text_bytes
 from docket.session import staged
 
-SIZE, WORDS = 5, 3
+SIZE, WORDS = 5, 2
 COVERED, RUN = 0.8, 13
 BROADCAST_WINDOWS = 2_000_000
 NUMBER, NAME, UNIT = (mix(np.array([k], np.uint64), 99)[0] for k in (1, 2, 3))
@@ -42,6 +44,13 @@ UNITS = (
     " week weeks month months year years cent cents dollar dollars euro euros percent degree degrees meter meters metre metres"
     " kilometer kilometers kilogram kilograms gram grams mph kmh w kw v a hz gb mb kb"
 ).split()
+# Words that begin a sentence and are no names.
+OPENERS = (
+    "a an the this that these those what which who whom whose when where why how if in on at of to for from by with as and or but so because"
+    " after before during while since until although though is are was were be do does did has have had can could will would should shall may"
+    " might must let there here it its he she they we you i his her their our your my each every some any all both no not one many much most"
+    " given find calculate compute suppose assume name list explain describe show solve write"
+).split()
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
@@ -50,7 +59,7 @@ def _hash_words(words: list[str]) -> np.ndarray:
     return np.sort(span_hashes(np.frombuffer("".join(words).encode(), np.uint8), starts, ends)) if words else np.zeros(0, np.uint64)
 
 
-UNIT_HASHES = _hash_words(UNITS)
+UNIT_HASHES, OPENER_HASHES = _hash_words(UNITS), _hash_words(OPENERS)
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -59,10 +68,10 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def canonical(column: pa.Array, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, canonical hash, hash as written (lower case), and slot flag of every token.
+def canonical(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hash as written (lower case), hash of the placeholder (or 0), and whether it is only a possible one, of every token.
 
-    A name is a capitalised word inside a sentence, or a word that is one in the benchmark (``names``).
+    A name is a capitalised word; at the beginning of a sentence it is one possibly, if it is not one of ``OPENERS``.
     """
     data, offsets = text_bytes(column)
     starts, ends, rows = find_words(data, offsets, "alnum")
@@ -83,40 +92,54 @@ def canonical(column: pa.Array, names: np.ndarray) -> tuple[np.ndarray, np.ndarr
     upper = (data >= 65) & (data <= 90)
     second = data[(starts + 1).clip(max=len(data) - 1)]
     title = upper[starts] & (ends - starts > 1) & ((second >= 97) & (second <= 122) | (second >= 128))
-    name = (title & ~begins) | _among(written, names)
+    maybe = title & begins & ~_among(written, OPENER_HASHES)
+    name = title & ~begins
     keep = ~joined
-    rows, written, number, name = rows[keep], written[keep], number[keep], name[keep]
-    name &= ~number
+    rows, written, number, name, maybe = rows[keep], written[keep], number[keep], name[keep], maybe[keep]
     unit = np.zeros(len(rows), bool)
     unit[1:] = number[:-1] & (rows[1:] == rows[:-1]) & _among(written, UNIT_HASHES)[1:]
-    canon = written.copy()
-    canon[name], canon[unit], canon[number] = NAME, UNIT, NUMBER
-    return rows, canon, written, number | name | unit
-
-
-def _windows(rows: np.ndarray, canon: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every window of one row with enough words."""
-    h = shingle_hashes(canon, SIZE)
-    n = len(h)
-    words = np.concatenate([[0], np.cumsum(~slot)])
-    good = (rows[:n] == rows[SIZE - 1 :]) & (words[SIZE : SIZE + n] - words[:n] >= WORDS) if n else np.zeros(0, bool)
-    return np.flatnonzero(good), h[good]
+    holder = np.zeros(len(rows), np.uint64)
+    holder[name | maybe], holder[unit], holder[number] = NAME, UNIT, NUMBER
+    return rows, written, holder, maybe & ~unit & ~number
+
+
+def _windows(rows: np.ndarray, written: np.ndarray, holder: np.ndarray, maybe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every reading of every window of one row: as written, and with placeholders where enough words are left."""
+    n = len(rows) - SIZE + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    others = np.concatenate([[0], np.cumsum(holder != NUMBER)])
+    inside = (rows[:n] == rows[SIZE - 1 :]) & (others[SIZE : SIZE + n] > others[:n])
+    plain = shingle_hashes(written, SIZE)
+    hashes_at = [plain]
+    at, hashes = [np.flatnonzero(inside)], [plain[inside]]
+    for slot in ((holder != 0) & ~maybe, holder != 0):
+        read = shingle_hashes(np.where(slot, holder, written), SIZE)
+        words = np.concatenate([[0], np.cumsum(~slot)])
+        new = inside & (words[SIZE : SIZE + n] - words[:n] >= WORDS)
+        for h in hashes_at:
+            new &= h != read
+        at.append(np.flatnonzero(new))
+        hashes.append(read[new])
+        hashes_at.append(read)
+    return np.concatenate(at), np.concatenate(hashes)
 
 
 WINDOW = "id long, h long, at int, n int, values array<long>, slots array<boolean>"
 
 
-def windows(table: DataFrame, key: str, names: np.ndarray, only=None) -> DataFrame:
-    """Every window of every text: its hash, its place in the text's tokens, how many windows the text
+def windows(table: DataFrame, key: str, only=None) -> DataFrame:
+    """Every reading of every window of every text: its hash, its place in the text's tokens, how many windows the text
     has, and its five words as written with flags for placeholders."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = only.value if only is not None else None
         for batch in batches:
             for i, j in pieces(batch.column(1), 1 << 20):
-                rows, canon, written, slot = canonical(batch.column(1)[i:j], names)
-                at, h = _windows(rows, canon, slot)
-                total = np.bincount(rows[at], minlength=j - i)
+                rows, written, holder, maybe = canonical(batch.column(1)[i:j])
+                slot = holder != 0
+                at, h = _windows(rows, written, holder, maybe)
+                total = np.maximum(np.bincount(rows, minlength=j - i) - SIZE + 1, 0)
                 if known is not None:
                     keep = _among(h, known)
                     at, h = at[keep], h[keep]
@@ -140,17 +163,13 @@ def windows(table: DataFrame, key: str, names: np.ndarray, only=None) -> DataFra
     return table.select(F.col(key).cast("long"), "text").where(f"{key} is not null").mapInArrow(find, WINDOW)
 
 
-def benchmark_names(benchmark: DataFrame, most: int = 1_000_000) -> np.ndarray:
-    """Hashes of the names in the benchmark. Beyond ``most`` distinct names they are not broadcast, and
-    only capitals tell a name in a document."""
+def _filled(places):
+    """Sorted places and those between two of them that are no farther apart than a window."""
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, canon, written, _ = canonical(batch.column(0), np.zeros(0, np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(written[canon == NAME]).view(np.int64))], ["h"])
+    def to_next(p, q):
+        return F.sequence(p, F.when(q - p <= SIZE, q - 1).otherwise(p))
 
-    found = benchmark.select("text").mapInArrow(find, "h long").distinct().limit(most + 1).collect()
-    return np.sort(np.array([r["h"] for r in found] if len(found) <= most else [], np.int64).view(np.uint64))
+    return F.flatten(F.zip_with(places, F.slice(places, 2, F.greatest(F.size(places), F.lit(1))), to_next))
 
 
 def _longest(places):
@@ -171,14 +190,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED, run:
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    names = benchmark_names(benchmark)
-    items = staged(windows(benchmark, "item_id", names), "items")
+    items = staged(windows(benchmark, "item_id"), "items")
     few = items.select("h").distinct().limit(BROADCAST_WINDOWS + 1)
     if few.count() <= BROADCAST_WINDOWS:
         hashes = np.sort(np.array([r["h"] for r in few.collect()], np.int64).view(np.uint64))
-        found = windows(docs, "doc_id", names, spark.sparkContext.broadcast(hashes))
+        found = windows(docs, "doc_id", spark.sparkContext.broadcast(hashes))
     else:
-        found = windows(docs, "doc_id", names)
+        found = windows(docs, "doc_id")
     items = items.select(F.col("id").alias("item_id"), "h", F.col("at").alias("place"), F.col("n").alias("windows"), F.col("values").alias("wanted"), "slots")
     met = found.select(F.col("id").alias("doc_id"), "h", "at", "values").join(items, "h")
     pairs = F.filter(
@@ -190,15 +208,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED, run:
     # One value of the item, one value of the document.
     sure = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["wanted"])))
     changed = F.exists("pairs", lambda p: p["wanted"] != p["values"])
-    best = lines.where(sure).groupBy("doc_id", "item_id", "windows").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
-        F.max(_longest(F.array_sort("places"))).alias("run"),
+    lines = lines.where(sure).withColumn("places", F.array_sort("places"))
+    best = lines.withColumn("covered", _filled(F.col("places"))).groupBy("doc_id", "item_id", "windows").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("covered"),
+        F.max(_longest(F.col("covered"))).alias("run"),
         F.max(changed).alias("changed"),
     )
     return best.select(
         "doc_id",
         "item_id",
-        (F.size("places") / F.col("windows")).alias("coverage"),
+        (F.col("covered") / F.col("windows")).alias("coverage"),
         (F.col("run") + SIZE - 1).alias("longest_run"),
         "changed",
     ).where((F.col("coverage") >= covered) | (F.col("longest_run") >= run))

@@ -199,7 +199,7 @@ class _Reader:
                 if e.name in BLOCK or e.name in SKIP:
                     if e.name in WITHIN.get(name, _CELL) or name not in ("li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot"):
                         break
-        if name in ("article", "main"):
+        if name in ("article", "main") and self.unclosed:
             # An article in a comment section that does end is a comment.
             known = max((k for k, e in enumerate(self.open) if e.own and e.tag not in self.unclosed and self.zones[e.zone].comments), default=-1)
             for k in range(known + 1, len(self.open)):
@@ -222,7 +222,7 @@ class _Reader:
         zone = self.zone()
         if name in ("article", "main", "h1"):
             z = zone
-            while z:
+            while z and not (name == "article" and self.zones[z].whole):
                 if name != "article" or not self.zones[z].comments:
                     self.zones[z].whole = True
                 elif self.zones[z].comments:
