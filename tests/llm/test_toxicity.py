@@ -111,3 +111,45 @@ def test_fragments_are_not_joined_over_rows():
     rows, hashes = tox.Restorer(model()).words(*text_bytes(pa.array(["zzzzz id", "iot zzzzz"])))
     _, wanted = tox.Restorer(model()).words(*text_bytes(pa.array(["idiot"])))
     assert wanted[0] not in hashes
+
+
+def test_each_of_several_insults_that_come_together_decides_alone(spark):
+    rng = random.Random(6)
+    bad = ["moron", "clown", "idiot", "trash"]
+    rows, labels = [], []
+    for i in range(800):
+        ws = [rng.choice(CLEAN[:20]) for _ in range(20)] + (rng.sample(bad, 3) if i % 6 == 0 else [])
+        rows.append((i, " ".join(ws)))
+        labels.append((i, int(i % 6 == 0)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    fitted = tox.fit(docs, labels, F.lit(False))
+    texts = spark.createDataFrame([(w, f"the cat and the {w} went to the park") for w in [*bad, "sun"]], "w string, text string")
+    assert {r["w"]: r["predicted"] for r in tox.score(texts, fitted).collect()} == {**dict.fromkeys(bad, 1), "sun": 0}
+
+
+def test_beginnings_of_words_one_and_several():
+    rows, hashes = tox.Restorer(model()).words(*text_bytes(pa.array(["zabcdefgh x", "Zabcdefgh zabcdefij", "zabcdefgh zabcdefgh", "zabcdef"])))
+    begin = tox.span_hashes(np.frombuffer(b"zabcdef", np.uint8), np.array([0]), np.array([7]))
+    one, two = tox.mix(begin, tox.PREFIX)[0], tox.mix(begin, tox.PREFIX + 1)[0]
+    assert sorted(rows[hashes == one].tolist()) == [0, 1, 2] and rows[hashes == two].tolist() == [1]
+
+
+def test_recall_and_false_alarms_in_each_language(spark, folder):
+    import os
+
+    import pytest
+
+    from docket.llm.queries import op3_toxicity, table
+
+    larger = os.path.join(os.path.dirname(folder), "sf0.1")
+    if not os.path.isdir(larger):
+        pytest.skip("needs the larger tables")
+    labels = table(spark, larger, "labels").where("toxic is not null").select("doc_id", "toxic")
+    rows = op3_toxicity(spark, larger).where("held_out").join(labels, "doc_id").join(table(spark, larger, "documents").select("doc_id", "lang"), "doc_id").collect()
+    langs = {r["lang"] for r in rows}
+    assert len(langs) == 4
+    for lang in langs:
+        toxic = [r["predicted"] for r in rows if r["lang"] == lang and r["toxic"]]
+        assert sum(toxic) >= 0.8 * len(toxic), lang
+    clean = [r["predicted"] for r in rows if not r["toxic"]]
+    assert sum(clean) <= 0.01 * len(clean)
