@@ -74,6 +74,10 @@ def canonical(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     A name is a capitalised word; at the beginning of a sentence it is one possibly, if it is not one of ``OPENERS``.
     """
     data, offsets = text_bytes(column)
+    # Accented Latin capitals (U+00C0 to U+00DE in UTF-8) as small letters; hashes fold ASCII only.
+    accented = np.zeros(len(data), bool)
+    accented[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    data = np.where(accented, data + np.uint8(0x20), data)
     starts, ends, rows = find_words(data, offsets, "alnum")
     written = span_hashes(data, starts, ends, lower=True)
     if not len(starts):

@@ -202,3 +202,10 @@ def test_equals_brute_force_with_placeholders(spark):
     want = {(d, i) for d, t in docs for i, q in items if leaks_plainly(t, q)}
     got = dec.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert len(want) > 60 and {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+
+
+def test_accented_capitals(spark):
+    text = "Élan était là où ça être né, d'après les Ñandús × über alles et Þórr"
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    got = dec.leaks(spark.createDataFrame([(1, "X. " + text.upper())], "doc_id long, text string"), items).collect()
+    assert [(r["item_id"], r["coverage"]) for r in got] == [(1, 1.0)]
