@@ -1,5 +1,8 @@
 """What jobs send, keep and read again as tables grow."""
 
+from docket.checks import queries
+from docket.operators import selection
+from docket.operators.binning import Bins
 from docket.session import partitions_of, side_by_side
 
 
@@ -11,3 +14,14 @@ def test_learners_partitions_stay_few():
 def test_large_learners_run_one_after_another(spark):
     assert side_by_side(spark, 8, 15_000) == 8 and side_by_side(spark, 1, 15_000) == 1
     assert side_by_side(spark, 8, 9_000_000) == 1
+
+
+def test_blocks_of_shadows_are_dealt_once_for_all_rounds(spark, monkeypatch):
+    rows = [(i, i % 2, i % 3 + 1, i % 2 + 1, i * 7 % 5) for i in range(400)]
+    codes = spark.createDataFrame(rows, f"{queries.C.KEY} long, label int, fold int, b0 int, b1 int")
+    dealt, deal = [], type(codes).repartition
+    monkeypatch.setattr(type(codes), "repartition", lambda df, *a: dealt.append(a) or deal(df, *a))
+    bins = Bins({"signal": ["a", "b"], "noise": list("abcde")})
+    got = selection.shadow_selection(codes, bins, rounds=3, trees=5, block_rows=100).collect()
+    assert len(dealt) == 1
+    assert [r["feature"] for r in got] == ["signal", "noise"] and got[0]["hits"] == 3
