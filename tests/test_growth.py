@@ -2,6 +2,7 @@
 
 from docket.checks import queries
 from docket.operators import selection
+from docket.operators.attribution import log_odds_attributions
 from docket.operators.binning import Bins
 from docket.session import partitions_of, side_by_side
 
@@ -25,3 +26,14 @@ def test_blocks_of_shadows_are_dealt_once_for_all_rounds(spark, monkeypatch):
     got = selection.shadow_selection(codes, bins, rounds=3, trees=5, block_rows=100).collect()
     assert len(dealt) == 1
     assert [r["feature"] for r in got] == ["signal", "noise"] and got[0]["hits"] == 3
+
+
+def test_frequent_values_of_a_large_table_are_not_shuffled(spark):
+    names = ["flag", "name"]
+    rows = [(i, i % 2, None if i % 4 else "SIM", f"n{i // 2}") for i in range(3000)] + [(7, 0, "SIM", None)]
+    df = spark.createDataFrame(rows, "k long, label int, flag string, name string")
+    small, large = (log_odds_attributions(df, names, "k", broadcast_rows=n) for n in (500_000, 10))
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
+    assert large.count() == 2 * len(rows)
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and plan.count("strategy=broadcast") == 2
