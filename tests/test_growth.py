@@ -37,3 +37,12 @@ def test_frequent_values_of_a_large_table_are_not_shuffled(spark):
     assert large.count() == 2 * len(rows)
     plan = large._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan and plan.count("strategy=broadcast") == 2
+
+
+def test_case_table_is_built_once_for_its_labels(spark, folder, monkeypatch):
+    queries.forget()
+    seen, label_of = [], queries.encode.label_of
+    monkeypatch.setattr(queries.encode, "label_of", lambda df, *a: seen.append(df) or label_of(df, *a))
+    queries.labelled(spark, folder)
+    queries.forget()
+    assert "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
