@@ -1,8 +1,12 @@
 """What jobs send, keep and read again as tables grow."""
 
+import math
+
+import numpy as np
+
 from docket.checks import queries
 from docket.operators import selection
-from docket.operators.attribution import log_odds_attributions
+from docket.operators.attribution import Condition, Explainer, Leaf, base_value, leaf_attributions, log_odds_attributions
 from docket.operators.binning import Bins
 from docket.session import partitions_of, side_by_side
 
@@ -46,3 +50,22 @@ def test_case_table_is_built_once_for_its_labels(spark, folder, monkeypatch):
     queries.labelled(spark, folder)
     queries.forget()
     assert "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_like_rows_are_explained_once(monkeypatch):
+    conditions = [Condition(0, -math.inf, 2.0, None, 0.5), Condition(0, 2.0, math.inf, None, 0.5), Condition(1, -math.inf, math.inf, frozenset({1.0}), 0.25)]
+    leaves = [Leaf(1.0, (conditions[0], conditions[2])), Leaf(-2.0, (conditions[1],)), Leaf(0.5, (conditions[2], conditions[1]))]
+    cells = np.array([(a, b) for a in (-math.inf, 1.0, 2.0, 2.5, math.inf, math.nan) for b in (0.0, 1.0, 1.5, math.nan)])
+    alone = [leaf_attributions(leaves, x[None, :])[0] for x in cells]
+    tested, holds = [0], Condition.holds
+    monkeypatch.setattr(Condition, "holds", lambda c, values: tested.__setitem__(0, tested[0] + len(values)) or holds(c, values))
+    which = np.random.default_rng(3).integers(0, len(cells), 20_000)
+    explainer = Explainer(leaves)
+    for some in (which[:12_000], which[12_000:]):
+        assert np.array_equal(explainer(cells[some]), np.array(alone)[some])
+    assert tested[0] < 1000
+    monkeypatch.setattr(Explainer, "KEPT_CELLS", 3)
+    assert np.array_equal(Explainer(leaves)(cells[which]), np.array(alone)[which])
+    for x, parts in zip(cells, alone):
+        reached = sum(leaf.value for leaf in leaves if all(holds(c, x[c.feature : c.feature + 1])[0] for c in leaf.conditions))
+        assert abs(parts.sum() + base_value(leaves) - reached) < 1e-12
