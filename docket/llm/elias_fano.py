@@ -165,11 +165,31 @@ class Successors:
         return (context + self.first) * self.width + member
 
 
-def write_level(rows: DataFrame, root: str, name: str, shards: int, payload: Callable[[np.ndarray, pa.Table], dict[str, np.ndarray]], width: int = 0) -> list[dict]:
+def level_file(root: str, name: str, shard: int, key: np.ndarray, payload: dict[str, np.ndarray], width: int = 0) -> dict:
+    """Write one file of a level: distinct keys in order and arrays beside them. Returns its entry."""
+    if width:
+        pairs = Successors.build(key, width)
+        sequences = {"members": pairs.members, "pointers": pairs.pointers}
+    else:
+        sequences = {"keys": EliasFano.build(key)}
+    arrays = {f"{name} {part}": getattr(x, part) for name, x in sequences.items() for part in ("low", "upper", "zeros")} | payload
+    kinds = {k: [a.dtype.str, len(a)] for k, a in arrays.items()}
+    heads = {name: [x.n, x.base, x.top, x.bits] for name, x in sequences.items()}
+    head = json.dumps({"sequences": heads, "first": int(key[0] // width) if width else 0, "arrays": kinds}).encode()
+    head += b" " * (-(len(head) + 8) % 8)
+
+    def content(out) -> None:
+        out.write(len(head).to_bytes(8, "little") + head)
+        for a in arrays.values():
+            out.write(a.tobytes() + b"\0" * (-a.nbytes % 8))
+
+    put(root, f"{name}-{shard:06d}", content)
+    return {"shard": shard, "n": len(key), "base": int(key[0]), "top": int(key[-1]), "width": width}
+
+
+def write_level(rows: DataFrame, root: str, name: str, shards: int, payload: Callable[[np.ndarray, pa.Table], dict[str, np.ndarray]]) -> list[dict]:
     """Write distinct ``rows`` by their column ``key`` (not negative) to files in ranges of the key.
 
-    With a ``width`` the keys are pairs, kept as ``Successors``; a context may reach over several files.
-
     ``payload`` makes a file's other arrays from its keys and rows. Returns one entry for each file.
     """
     spark = rows.sparkSession
@@ -183,28 +203,10 @@ def write_level(rows: DataFrame, root: str, name: str, shards: int, payload: Cal
             return
         table = pa.concat_tables(parts)
         key = table.column("key").to_numpy()
-        if width:
-            pairs = Successors.build(key, width)
-            sequences = {"members": pairs.members, "pointers": pairs.pointers}
-        else:
-            sequences = {"keys": EliasFano.build(key)}
-        arrays = {f"{name} {part}": getattr(x, part) for name, x in sequences.items() for part in ("low", "upper", "zeros")} | payload(key, table)
-        kinds = {k: [a.dtype.str, len(a)] for k, a in arrays.items()}
-        heads = {name: [x.n, x.base, x.top, x.bits] for name, x in sequences.items()}
-        head = json.dumps({"sequences": heads, "first": int(key[0] // width) if width else 0, "arrays": kinds}).encode()
-        head += b" " * (-(len(head) + 8) % 8)
-        shard = TaskContext.get().partitionId()
-
-        def content(out) -> None:
-            out.write(len(head).to_bytes(8, "little") + head)
-            for a in arrays.values():
-                out.write(a.tobytes() + b"\0" * (-a.nbytes % 8))
-
-        put(root, f"{name}-{shard:06d}", content)
-        yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in (shard, len(key), key[0], key[-1])], ["shard", "n", "base", "top"])
-
-    found = rows.repartitionByRange(shards, "key").sortWithinPartitions("key").mapInArrow(write, "shard long, n long, base long, top long")
-    return sorted((r.asDict() | {"width": width} for r in found.collect()), key=lambda r: r["base"])
+        yield pa.RecordBatch.from_pylist([level_file(root, name, TaskContext.get().partitionId(), key, payload(key, table))])
+
+    found = rows.repartitionByRange(shards, "key").sortWithinPartitions("key").mapInArrow(write, "shard long, n long, base long, top long, width long")
+    return sorted((r.asDict() for r in found.collect()), key=lambda r: r["base"])
 
 
 class Level:

@@ -22,21 +22,22 @@ scores; texts are read whole; an empty table gives no rows; other columns are no
 from __future__ import annotations
 
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docket.llm.elias_fano import Level, write_level
+from docket.llm.elias_fano import Level, level_file, write_level
 from docket.llm.words import bounded_batches, find_words, mix, pieces, span_hashes, text_bytes
-from docket.session import scratch_path, staged
+from docket.session import cleared, scratch_path, staged
 
 END = int(mix(np.array([12345], np.uint64), 7)[0] >> np.uint64(2))
 DISCOUNT, LEAST = 0.75, 2
 STEPS = 24  # codes for a factor of ten
 SHARD_KEYS = 2_000_000
+SAMPLE_TOKENS = 2_000_000
 ORDER = 3  # of the registered query
 
 
@@ -71,37 +72,84 @@ class _Counter:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        k, inverse = np.unique(np.concatenate(self.keys), return_inverse=True)
-        n = np.bincount(inverse, weights=np.concatenate(self.counts), minlength=len(k)).astype(np.int64)
+        k, n = _merged(self.keys, self.counts)
         self.keys, self.counts, self.waiting = [k], [n], 0
         return k, n
 
 
-def _counted(texts: DataFrame, make) -> DataFrame:
-    """(key, n): counts over all tasks of the numbers that ``make()`` draws from a text column.
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of sorted keys as one run, counts of equal keys added up."""
+    k, n = np.concatenate(keys), np.concatenate(counts)
+    if len(k) and len(keys) > 1:
+        order = np.argsort(k, kind="stable")
+        k, n = k[order], n[order]
+        new = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        k, n = k[new], np.add.reduceat(n, new)
+    return k, n
 
-    A task sends each distinct number once for every two million it gathers.
-    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        draw, counter = make(), _Counter()
+def _drained(batches: Iterator[pa.RecordBatch], draw: Callable[[pa.Array], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted distinct numbers that ``draw`` makes of a text column, and their counts: each number once for every four million."""
+    counter = _Counter()
+    for batch in batches:
+        for i, j in pieces(batch.column(0)):
+            counter.add(draw(batch.column(0)[i:j]))
+            if len(counter.keys[0]) > 4_000_000:
+                yield counter.merge()
+                counter = _Counter()
+    yield counter.merge()
+
 
-        def drain() -> Iterator[pa.RecordBatch]:
-            k, n = counter.merge()
+def _counted(texts: DataFrame, make) -> DataFrame:
+    """(key, n): counts over all tasks of the numbers that ``make()`` draws from a text column."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, n in _drained(batches, make()):
             for i in range(0, len(k), 1 << 17):
                 yield pa.RecordBatch.from_arrays([pa.array(k[i : i + (1 << 17)]), pa.array(n[i : i + (1 << 17)])], ["key", "n"])
 
-        for batch in batches:
-            for i, j in pieces(batch.column(0)):
-                counter.add(draw(batch.column(0)[i:j]))
-                if len(counter.keys[0]) > 4_000_000:
-                    yield from drain()
-                    counter = _Counter()
-        yield from drain()
-
     return texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+BLOCK = "shard int, first long, n long, steps binary, counts binary"
+BLOCK_ARROW = pa.schema([("shard", pa.int32()), ("first", pa.int64()), ("n", pa.int64()), ("steps", pa.binary()), ("counts", pa.binary())])
+ENDS = pa.list_(pa.struct([("context", pa.int64()), ("successors", pa.int64()), ("mass", pa.float64())]))
+
+
+def _block(shard: int, keys: np.ndarray, counts: np.ndarray) -> dict:
+    """Sorted keys as one row: the steps between them, byte by byte, and the counts in as few bytes as they need."""
+    steps = np.diff(keys, prepend=keys[:1]).astype("<u8")
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return {"shard": shard, "first": int(keys[0]), "n": len(keys), "steps": planes.tobytes(), "counts": _narrow(counts).tobytes()}
+
+
+def _of_block(first: int, n: int, steps: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, : len(steps) // n] = np.frombuffer(steps, np.uint8).reshape(-1, n).T
+    return np.cumsum(wide.view("<i8").ravel()) + first, np.frombuffer(counts, f"<u{len(counts) // n}").astype(np.int64)
+
+
+def _bounds(texts: DataFrame, make, share: float, shards: int) -> np.ndarray:
+    """Keys that part all grams into shards of like size, judged by those of a share of the texts.
+
+    Only the sizes of the shards follow from it; every gram goes to one of them.
+    """
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, _ in _drained(batches, make()):
+            some = k[np.unique(np.linspace(0, len(k) - 1, 1000).astype(np.int64))] if len(k) else k
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.full(len(some), len(k) / max(1, len(some))))], ["key", "weight"])
+
+    found = (texts if share >= 1 else texts.sample(False, share, 7)).mapInArrow(places, "key long, weight double").toArrow()
+    key, weight = found.column("key").to_numpy(), found.column("weight").to_numpy()
+    order = np.argsort(key)
+    up = np.cumsum(weight[order])
+    if not len(up):
+        return np.zeros(0, np.int64)
+    return np.unique(key[order][np.searchsorted(up, up[-1] * np.arange(1, shards) / shards).clip(0, len(up) - 1)])
+
+
 @dataclass
 class Trie:
     """Where the model's levels are: of the grams by order, and of the contexts by the order of their grams."""
@@ -190,23 +238,25 @@ def train(docs: DataFrame, least: int = LEAST, discount: float = DISCOUNT, order
     bounded_batches(spark)
     root = scratch_path(spark, "trie")
     texts = docs.select("text")
-    words = staged(_counted(texts, lambda: lambda column: tokens(column)[0]), "words")
-    distinct, total = words.agg(F.count(F.lit(1)), F.sum("n")).first()
-    trie = Trie(root, [], [], total or 0, distinct)
-    if not distinct:
-        return trie
-    if distinct >= 1 << 31:
-        raise ValueError("pair keys of more than 2**31 words do not fit 62 bits")
-
-    def counts(key: np.ndarray, table: pa.Table) -> dict[str, np.ndarray]:
-        return {"count": _narrow(table.column("n").to_numpy())}
-
-    trie.grams.append(write_level(words, root, "grams1", max(8, distinct // SHARD_KEYS), counts))
+    with cleared(spark):
+        words = staged(_counted(texts, lambda: lambda column: tokens(column)[0]), "words")
+        distinct, total = words.agg(F.count(F.lit(1)), F.sum("n")).first()
+        trie = Trie(root, [], [], total or 0, distinct)
+        if not distinct:
+            return trie
+        if distinct >= 1 << 31:
+            raise ValueError("pair keys of more than 2**31 words do not fit 62 bits")
+
+        def counts(key: np.ndarray, table: pa.Table) -> dict[str, np.ndarray]:
+            return {"count": _narrow(table.column("n").to_numpy())}
+
+        trie.grams.append(write_level(words, root, "grams1", max(8, distinct // SHARD_KEYS), counts))
     kept, width = distinct, distinct
     for k in range(2, order + 1):
         if kept * width >= 1 << 62:
             raise ValueError(f"keys of {kept} contexts and {width} successors do not fit 62 bits")
-        kept, width = _train_level(texts, trie, k, width, least, discount, k < order)
+        with cleared(spark):
+            kept, width = _train_level(texts, trie, k, width, least, discount, k < order)
         if not kept:
             break
     return trie
@@ -229,33 +279,85 @@ def _train_level(texts: DataFrame, trie: Trie, k: int, width: int, least: int, d
 
         return draw
 
-    grams = staged(_counted(texts, draw_grams).where(F.col("n") >= least), f"grams{k}")
-    mass = (F.sum(F.col("n") - discount).alias("mass"), F.count(F.lit(1)).alias("successors"))
-    contexts = staged(grams.groupBy(F.expr(f"key div {width}").alias("key")).agg(*mass), f"contexts{k}")
-    some, kept, most = contexts.agg(F.count(F.lit(1)), F.sum("successors"), F.max("successors")).first()
-    if not some:
-        return 0, 0
+    shards = max(8, trie.total // SHARD_KEYS)
+    bounds = _bounds(texts, draw_grams, SAMPLE_TOKENS / trie.total, shards)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n in _drained(batches, draw_grams()):
+            cuts = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
+            for shard, (i, j) in enumerate(zip(cuts, cuts[1:])):
+                if i < j:
+                    yield pa.RecordBatch.from_pylist([_block(shard, keys[i:j], n[i:j])], BLOCK_ARROW)
 
-    def back_off(key: np.ndarray, table: pa.Table) -> dict[str, np.ndarray]:
-        n = trie.levels()[k - 2].values("count", key)
-        return {"back_off": encode(np.log10(np.maximum(1 - table.column("mass").to_numpy() / n, 1e-10)))}
-
-    trie.contexts.append(write_level(contexts, trie.root, f"contexts{k}", max(8, some // SHARD_KEYS), back_off))
-
-    def probability(key: np.ndarray, table: pa.Table) -> dict[str, np.ndarray]:
-        levels, above = trie.levels(), trie.context(k)
-        context, member = key // width, key % width
-        u, which = np.unique(context, return_inverse=True)
-        rest = 10 ** (-above.values("back_off", above.find(u)).astype(float) / STEPS)
-        n = table.column("n").to_numpy()
-        own = (n - discount) / levels[k - 2].values("count", u)[which]
-        lower = _suffix(levels, k, context, member)
-        log = trie.log_one(levels[0].values("count", lower)) if k == 2 else levels[k - 2].values("log", lower) / -STEPS
-        out = {"log": encode(np.log10(np.minimum(own + rest[which] * 10**log, 1.0)))}
-        return out | {"count": _narrow(n)} if counted else out
-
-    trie.grams.append(write_level(grams, trie.root, f"grams{k}", max(8, kept // SHARD_KEYS), probability, width))
-    return kept, most
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                held.setdefault(r["shard"], []).append(_of_block(r["first"], r["n"], r["steps"], r["counts"]))
+        for shard in sorted(held):
+            keys, n = _merged(*map(list, zip(*held.pop(shard))))
+            keys, n = keys[n >= least], n[n >= least]
+            if len(keys):
+                u, successors, mass = _per_context(keys // width, n - discount)
+                ends = [{"context": int(u[i]), "successors": int(successors[i]), "mass": float(mass[i])} for i in sorted({0, len(u) - 1})]
+                row = _block(shard, keys, n) | {"most": int(successors.max()), "ends": ends}
+                yield pa.RecordBatch.from_pylist([row], BLOCK_ARROW.append(pa.field("most", pa.int64())).append(pa.field("ends", ENDS)))
+
+    sent = texts.mapInArrow(deal, BLOCK).repartitionById(len(bounds) + 1, F.col("shard"))
+    gathered = f"{BLOCK}, most long, ends array<struct<context: long, successors: long, mass: double>>"
+    blocks = staged(sent.mapInArrow(gather, gathered), f"grams{k}")
+    known = blocks.select("shard", "n", "most", "ends").collect()
+    if not known:
+        return 0, 0
+    # A context at the end of a shard may reach into others: its sums are added up here, and its first shard holds it.
+    ends: dict[int, tuple[int, int, float]] = {}
+    for r in sorted(known, key=lambda r: r["shard"]):
+        for e in r["ends"]:
+            first, successors, mass = ends.get(e["context"], (r["shard"], 0, 0.0))
+            ends[e["context"]] = first, successors + e["successors"], mass + e["mass"]
+    most = max(*(r["most"] for r in known), *(successors for _, successors, _ in ends.values()))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = trie.levels()
+        for batch in batches:
+            for r in batch.to_pylist():
+                shard, (key, n) = r["shard"], _of_block(r["first"], r["n"], r["steps"], r["counts"])
+                u, successors, mass = _per_context(key // width, n - discount)
+                for i in (0, len(u) - 1):
+                    mass[i] = ends[int(u[i])][2]
+                of_context = levels[k - 2].values("count", u)
+                back = encode(np.log10(np.maximum(1 - mass / of_context, 1e-10)))
+                own = [ends[int(u[i])][0] == shard if i in (0, len(u) - 1) else True for i in (0, len(u) - 1)]
+                i, j = int(not own[0]), len(u) - int(not own[1] and len(u) > 1)
+                files = []
+                if i < j:
+                    files.append({"level": "contexts"} | level_file(trie.root, f"contexts{k}", shard, u[i:j], {"back_off": back[i:j]}))
+                which = np.repeat(np.arange(len(u)), successors)
+                member = key % width
+                if k == 2:
+                    log = trie.log_one(levels[0].values("count", member))
+                else:
+                    above = levels[k - 2].keys(u)
+                    wide = levels[k - 2].width
+                    lower = starts_of(levels[k - 2], _suffix(levels, k - 1, above // wide, above % wide))[which] + member
+                    log = levels[k - 2].values("log", lower) / -STEPS
+                share = (n - discount) / of_context[which]
+                out = {"log": encode(np.log10(np.minimum(share + (10 ** (-back.astype(float) / STEPS))[which] * 10**log, 1.0)))}
+                out |= {"count": _narrow(n)} if counted else {}
+                files.append({"level": "grams"} | level_file(trie.root, f"grams{k}", shard, key, out, width))
+                yield pa.RecordBatch.from_pylist(files)
+
+    files = blocks.mapInArrow(write, "level string, shard long, n long, base long, top long, width long").collect()
+    for level, manifests in (("contexts", trie.contexts), ("grams", trie.grams)):
+        mine = [{c: r[c] for c in ("shard", "n", "base", "top", "width")} for r in files if r["level"] == level]
+        manifests.append(sorted(mine, key=lambda r: r["base"]))
+    return sum(r["n"] for r in known), most
+
+
+def _per_context(context: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rising contexts: each one, how many successors it has, and the sum of their shares."""
+    new = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+    return context[new], np.diff(new, append=len(context)), np.add.reduceat(share, new)
 
 
 def score(docs: DataFrame, trie: Trie, doc_id: str = "doc_id") -> DataFrame:

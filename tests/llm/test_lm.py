@@ -163,3 +163,29 @@ def test_successors_lie_between_pointers(contexts, width, n):
     assert np.array_equal(found.keys(np.arange(len(keys))), keys)
     c = np.arange(0, contexts + 20)
     assert np.array_equal(found.start(c), np.searchsorted(keys, c * width))
+
+
+def test_blocks_hold_rising_keys_and_counts():
+    rng = np.random.default_rng(5)
+    for top, n in ((5, 1), (300, 200), (1 << 61, 3000), (1 << 40, 100_000)):
+        keys = np.unique(rng.integers(0, top, n)) + 9
+        counts = rng.integers(1, top, len(keys))
+        block = lm._block(3, keys, counts)
+        back = lm._of_block(block["first"], block["n"], block["steps"], block["counts"])
+        assert np.array_equal(back[0], keys) and np.array_equal(back[1], counts)
+    assert len(block["steps"]) <= 4 * len(keys)
+
+
+def test_training_leaves_only_the_levels_behind(spark):
+    """A context that all shards share is counted whole, and no counted table outlives its level."""
+    from docket import session
+
+    data = [(i, f"hot s{i} x{i % 7} hot t{i % 50}") for i in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    before = len(session._made)
+    trie = lm.train(docs, least=1, order=3)
+    assert [path for _, path in session._made[before:]] == [trie.root]
+    assert sum(len(level) > 1 for level in trie.grams) == 3
+    got = sorted(map(tuple, lm.score(docs, trie).collect()))
+    for a, b in zip(got, sorted(brute_whole([t for _, t in data], data)), strict=True):
+        assert a[:3] == b[:3] and a[4] == pytest.approx(b[4], rel=1e-3, abs=0.1)
