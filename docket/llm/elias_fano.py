@@ -2,7 +2,7 @@
 
 ``n`` rising numbers below ``u`` take about ``2 + log2(u / n)`` bits each: the low bits are packed,
 the high bits are a unary row in which the i-th number sets bit ``high + i``. A search for a number goes to the
-bucket of its high bits, by selecting zeros in the unary row with a small directory, and
+bucket of its high bits, by selecting zeros in the unary row with a directory of its words, and
 halves the bucket on its low bits. All searches are vectorised.
 
 A trie's level keeps the successors of each context as a range between two pointers (``Successors``).
@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame
 from docket.llm.files import put
 from docket.llm.words import bounded_batches
 
-BLOCK_WORDS = 8
 ONE = np.uint64(1)
 
 
@@ -37,11 +36,13 @@ def _pack(values: np.ndarray, bits: int) -> np.ndarray:
 
 
 class EliasFano:
-    """``arrays``: low bits, unary row, zeros before each block of the unary row."""
+    """``arrays``: low bits, unary row, zeros and ones before each word of the unary row."""
+
+    PARTS = ("low", "upper", "zeros", "ones")
 
     def __init__(self, n: int, base: int, top: int, bits: int, arrays: list[np.ndarray]) -> None:
         self.n, self.base, self.top, self.bits = n, base, top, bits
-        self.low, self.upper, self.zeros = arrays
+        self.low, self.upper, self.zeros, self.ones = arrays
 
     @classmethod
     def build(cls, values: np.ndarray) -> "EliasFano":
@@ -54,40 +55,50 @@ class EliasFano:
         unary = np.zeros((size + 511) // 512 * 512, bool)
         unary[(rest >> np.uint64(bits)).astype(np.int64) + np.arange(n)] = True
         upper = np.packbits(unary, bitorder="little").view("<u8")
-        ones = np.bitwise_count(upper).astype(np.int64).reshape(-1, BLOCK_WORDS).sum(axis=1)
-        zeros = np.concatenate([[0], np.cumsum(64 * BLOCK_WORDS - ones)]).astype("<i8")
-        return cls(n, base, top, bits, [low, upper, zeros])
+        ones = np.cumsum(np.bitwise_count(upper), dtype=np.int64)
+        ones = np.append(0, ones[:-1])
+        zeros = 64 * np.arange(len(upper)) - ones
+        kind = "<u4" if size < 1 << 32 else "<u8"
+        return cls(n, base, top, bits, [low, upper, zeros.astype(kind), ones.astype(kind)])
 
     def _select(self, j: np.ndarray, ones: bool) -> np.ndarray:
         """The place of the j-th one or zero of the unary row."""
-        before = 64 * BLOCK_WORDS * np.arange(len(self.zeros)) - self.zeros if ones else self.zeros
-        turn = np.uint64(0 if ones else (1 << 64) - 1)
-        block = np.searchsorted(before, j, "right") - 1
-        left = j - before[block]
-        word = block * BLOCK_WORDS
-        for k in range(BLOCK_WORDS - 1):
-            here = np.bitwise_count(self.upper[np.minimum(block * BLOCK_WORDS + k, len(self.upper) - 1)] ^ turn).astype(np.int64)
-            on = (word == block * BLOCK_WORDS + k) & (left >= here)
-            left = np.where(on, left - here, left)
-            word = word + on
-        bits = self.upper[word] ^ turn
-        at = np.zeros(len(j), np.int64)
+        before = self.ones if ones else self.zeros
+        word = np.searchsorted(before, j.astype(before.dtype), "right") - 1
+        bits = self.upper[word] ^ np.uint64(0 if ones else (1 << 64) - 1)
+        left = (j - before[word].astype(np.int64)).astype(np.uint8)
+        at = np.zeros(len(j), np.uint8)
         for width in (32, 16, 8, 4, 2, 1):
-            below = np.bitwise_count(bits & np.uint64((1 << width) - 1)).astype(np.int64)
+            below = np.bitwise_count(bits & np.uint64((1 << width) - 1))
             on = left >= below
-            left = np.where(on, left - below, left)
-            bits = np.where(on, bits >> np.uint64(width), bits)
-            at += width * on
+            left -= below * on
+            step = on * np.uint8(width)
+            bits >>= step.astype(np.uint64)
+            at += step
         return word * 64 + at
 
-    def _select_zero(self, j: np.ndarray) -> np.ndarray:
-        return self._select(j, False)
+    def _next(self, place: np.ndarray, j: np.ndarray, ones: bool) -> np.ndarray:
+        """The place of the j-th one or zero, which is the first behind ``place``: mostly in the same word."""
+        at = place + 1
+        bits = (self.upper[at >> 6] ^ np.uint64(0 if ones else (1 << 64) - 1)) >> (at & 63).astype(np.uint64)
+        out = at + np.bitwise_count((bits & -bits) - ONE)
+        far = np.flatnonzero(bits == 0)
+        if len(far):
+            out[far] = self._select(j[far], ones)
+        return out
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """The i-th numbers."""
         high = self._select(i, True) - i
         return (high << self.bits) + self._lows(i).astype(np.int64) + self.base
 
+    def access_two(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The i-th numbers and the ones after them."""
+        place = self._select(i, True)
+        after = self._next(place, i + 1, True)
+        low = lambda k, at: (at - k << self.bits) + self._lows(k).astype(np.int64) + self.base
+        return low(i, place), low(i + 1, after)
+
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(i), np.uint64)
@@ -101,10 +112,10 @@ class EliasFano:
         rest = x.astype(np.uint64) - np.uint64(self.base)
         high = (rest >> np.uint64(self.bits)).astype(np.int64)
         low = rest & np.uint64((1 << self.bits) - 1)
-        start = np.zeros(len(x), np.int64)
+        place = np.full(len(x), -1)
         some = high > 0
-        start[some] = self._select_zero(high[some] - 1) - (high[some] - 1)
-        end = self._select_zero(high) - high
+        place[some] = self._select(high[some] - 1, False)
+        start, end = place + 1 - high, self._next(place, high, False) - high
         a, b = start.copy(), end.copy()
         open_ = np.flatnonzero(a < b)
         while len(open_):
@@ -151,7 +162,7 @@ class Successors:
         new = np.append(True, context[1:] != context[:-1])
         which = np.cumsum(new) - 1
         own = context[new] - self.first
-        start, end = self.pointers.access(own), self.pointers.access(own + 1)
+        start, end = self.pointers.access_two(own)
         target, end = self._offset(start)[which] + member, end[which]
         equal = (start[which] < end) & (target >= self.members.base) & (target <= self.members.top)
         place = np.zeros(len(x), np.int64)
@@ -172,7 +183,7 @@ def level_file(root: str, name: str, shard: int, key: np.ndarray, payload: dict[
         sequences = {"members": pairs.members, "pointers": pairs.pointers}
     else:
         sequences = {"keys": EliasFano.build(key)}
-    arrays = {f"{name} {part}": getattr(x, part) for name, x in sequences.items() for part in ("low", "upper", "zeros")} | payload
+    arrays = {f"{name} {part}": getattr(x, part) for name, x in sequences.items() for part in EliasFano.PARTS} | payload
     kinds = {k: [a.dtype.str, len(a)] for k, a in arrays.items()}
     heads = {name: [x.n, x.base, x.top, x.bits] for name, x in sequences.items()}
     head = json.dumps({"sequences": heads, "first": int(key[0] // width) if width else 0, "arrays": kinds}).encode()
@@ -227,7 +238,7 @@ class Level:
             fs, path = pafs.FileSystem.from_uri(self.root)
             path = f"{path}/{self.name}-{self.manifest[k]['shard']:06d}"
             if isinstance(fs, pafs.LocalFileSystem):
-                raw = np.memmap(path, np.uint8, "r")
+                raw = np.asarray(np.memmap(path, np.uint8, "r"))
             else:
                 with fs.open_input_file(path) as f:
                     raw = np.frombuffer(f.read(), np.uint8)
@@ -238,7 +249,7 @@ class Level:
                 nbytes = np.dtype(kind).itemsize * n
                 arrays[key] = raw[at : at + nbytes].view(kind)
                 at += nbytes + (-nbytes % 8)
-            parts = {x: EliasFano(*of, [arrays.pop(f"{x} {part}") for part in ("low", "upper", "zeros")]) for x, of in head["sequences"].items()}
+            parts = {x: EliasFano(*of, [arrays.pop(f"{x} {part}") for part in EliasFano.PARTS]) for x, of in head["sequences"].items()}
             sequence = Successors(head["first"], self.width, parts["pointers"], parts["members"]) if self.width else parts["keys"]
             self.open[k] = sequence, arrays
         return self.open[k]

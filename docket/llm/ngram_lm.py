@@ -171,9 +171,26 @@ class Trie:
         return Level(self.root, f"contexts{k}", self.contexts[k - 2])
 
 
-def ids_of(level: Level, words: np.ndarray) -> np.ndarray:
-    distinct, inverse = np.unique(words, return_inverse=True)
-    return level.find(distinct)[inverse]
+@dataclass
+class Found:
+    """Where grams of one order end, the ranks of the distinct ones in order, or -1, and which of them each is."""
+
+    at: np.ndarray
+    distinct: np.ndarray
+    which: np.ndarray
+
+    @classmethod
+    def of(cls, level: Level, keys: np.ndarray, at: np.ndarray) -> "Found":
+        distinct, which = np.unique(keys, return_inverse=True)
+        return cls(at, level.find(distinct), which)
+
+    def spread(self, look_up: Callable[[np.ndarray], np.ndarray], out: np.ndarray) -> np.ndarray:
+        """``out`` with what ``look_up`` says of each known gram, looked up once, at the place where it ends."""
+        known = self.distinct >= 0
+        said = np.zeros(len(known), out.dtype)
+        said[known] = look_up(self.distinct[known])
+        out[self.at] = np.where(known[self.which], said[self.which], out[self.at])
+        return out
 
 
 def starts_of(level: Level, contexts: np.ndarray) -> np.ndarray:
@@ -205,27 +222,27 @@ def _contexts(ranks: list[np.ndarray], k: int, places: np.ndarray) -> tuple[np.n
     return at, ranks[k - 2][at - 1]
 
 
-def _keys(levels: list[Level], ranks: list[np.ndarray], k: int, places: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def _keys(levels: list[Level], ranks: list[np.ndarray], found: list[Found], k: int, places: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Where a gram of k words ends whose two parts of k - 1 words are known, and its key."""
     at, context = _contexts(ranks, k, places)
     both = ranks[k - 2][at] >= 0
     at, context = at[both], context[both]
     member = ranks[k - 2][at]
     if k > 2:
-        member = member - starts_of(levels[k - 2], ranks[k - 3][at - 1])
+        member = member - found[k - 3].spread(levels[k - 2].start, np.zeros(len(places), np.int64))[at - 1]
     return at, context * width + member
 
 
-def _ranks(levels: list[Level], words: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
-    """By order, the rank of the gram that ends at each word, or -1."""
-    ranks = [ids_of(levels[0], words)]
-    for k in range(2, len(levels) + 1):
-        out = np.full(len(words), -1, np.int64)
-        if levels[k - 1].manifest:
-            at, keys = _keys(levels, ranks, k, places, levels[k - 1].width)
-            out[at] = ids_of(levels[k - 1], keys)
-        ranks.append(out)
-    return ranks
+def _ranks(levels: list[Level], words: np.ndarray, places: np.ndarray) -> tuple[list[np.ndarray], list[Found]]:
+    """By order, the rank of the gram that ends at each word, or -1, and the grams that were looked for."""
+    ranks, found = [], []
+    for k in range(1, len(levels) + 1):
+        at, keys = np.arange(len(words)), words
+        if k > 1:
+            at, keys = _keys(levels, ranks, found, k, places, levels[k - 1].width) if levels[k - 1].manifest else (at[:0], keys[:0])
+        found.append(Found.of(levels[k - 1], keys, at))
+        ranks.append(found[-1].spread(lambda rank: rank, np.full(len(words), -1, np.int64)))
+    return ranks, found
 
 
 def _narrow(n: np.ndarray) -> np.ndarray:
@@ -270,12 +287,12 @@ def _train_level(texts: DataFrame, trie: Trie, k: int, width: int, least: int, d
 
         def draw(column: pa.Array) -> np.ndarray:
             words, places, _ = _led(column)
-            ranks = _ranks(levels, words, places)
+            ranks, found = _ranks(levels, words, places)
             if k == 2 and least > 1:
                 seen, inverse = np.unique(ranks[0], return_inverse=True)
                 often = levels[0].values("count", np.maximum(seen, 0)) >= least
                 ranks[0] = np.where(often[inverse], ranks[0], -1)
-            return _keys(levels, ranks, k, places, width)[1]
+            return _keys(levels, ranks, found, k, places, width)[1]
 
         return draw
 
@@ -369,21 +386,23 @@ def score(docs: DataFrame, trie: Trie, doc_id: str = "doc_id") -> DataFrame:
         for batch in batches:
             for i, j in pieces(batch.column(1)):
                 words, places, begins = _led(batch.column(1)[i:j])
-                ranks = _ranks(levels, words, places)
+                ranks, found = _ranks(levels, words, places)
                 known = ranks[0] >= 0
-                count = np.zeros(len(words))
-                count[known] = levels[0].values("count", ranks[0][known])
-                one = trie.log_one(count)
+                one = found[0].spread(
+                    lambda rank: trie.log_one(levels[0].values("count", rank)), np.full(len(words), trie.log_one(np.zeros(1))[0])
+                )
                 log = one.copy()
                 for k in range(2, len(levels) + 1):
-                    at, context = _contexts(ranks, k, places)
-                    u, which = np.unique(context, return_inverse=True)
-                    place = above[k - 2].find(u)
-                    back = np.zeros(len(u))
-                    back[place >= 0] = above[k - 2].values("back_off", place[place >= 0]) / -STEPS
-                    log[at] += back[which]
-                    hit = np.flatnonzero(ranks[k - 1] >= 0)
-                    log[hit] = levels[k - 1].values("log", ranks[k - 1][hit]) / -STEPS
+
+                    def back_off(rank: np.ndarray) -> np.ndarray:
+                        place = above[k - 2].find(rank)
+                        back = np.zeros(len(rank))
+                        back[place >= 0] = above[k - 2].values("back_off", place[place >= 0]) / -STEPS
+                        return back
+
+                    at = np.flatnonzero(places >= k - 1)
+                    log[at] += found[k - 2].spread(back_off, np.zeros(len(words)))[at - 1]
+                    found[k - 1].spread(lambda rank: levels[k - 1].values("log", rank) / -STEPS, log)
                 own = places > 0
                 rows = begins[:-1] - np.arange(len(begins) - 1)
                 yield pa.RecordBatch.from_arrays(
