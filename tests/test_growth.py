@@ -3,9 +3,13 @@
 import math
 
 import numpy as np
+import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
 
 from docket.checks import queries
-from docket.operators import selection
+from docket.operators import cell_forest, selection
 from docket.operators.attribution import Condition, Explainer, Leaf, base_value, leaf_attributions, log_odds_attributions
 from docket.operators.binning import Bins
 from docket.session import partitions_of, side_by_side
@@ -69,3 +73,58 @@ def test_like_rows_are_explained_once(monkeypatch):
     for x, parts in zip(cells, alone):
         reached = sum(leaf.value for leaf in leaves if all(holds(c, x[c.feature : c.feature + 1])[0] for c in leaf.conditions))
         assert abs(parts.sum() + base_value(leaves) - reached) < 1e-12
+
+
+def _coded(n, seed=5):
+    """Rows ``(label, fold, b0, b1, b2)`` with a weak, a strong and a useless feature of 4, 6 and 40 codes."""
+    draw = np.random.default_rng(seed)
+    label = draw.integers(0, 2, n)
+    strong = np.where(draw.random(n) < 0.7, label * 3, 0) + draw.integers(0, 3, n)
+    columns = (label, draw.integers(1, 4, n), np.where(draw.random(n) < 0.3, label, draw.integers(0, 4, n)), strong, draw.integers(0, 40, n))
+    return [tuple(map(int, r)) for r in zip(*columns)], "label int, fold int, b0 int, b1 int, b2 int"
+
+
+BINS = Bins({"weak": list("abc"), "strong": list("abcde"), "useless": [str(i) for i in range(39)]})
+
+
+def test_forests_pass_over_cells_and_not_over_rows(spark, monkeypatch):
+    rows, schema = _coded(4000)
+    seen, staged = [], selection.staged
+    monkeypatch.setattr(selection, "staged", lambda df, name: seen.append(staged(df, name)) or seen[-1])
+    codes = spark.createDataFrame(rows, schema)
+    scorer = selection.ForestScorer(codes, BINS, 3, trees=4, threads=1)
+    scores = scorer([[0], [1], []])
+    assert [t.count() for t in seen[1:]] == [len({(r[0], r[1], r[c]) for r in rows}) for c in (2, 3)]
+    assert 0.5 < scores[0] < scores[1] < 1 and scores[2] == 0.0
+    # Draws, and so scores, change neither with the order nor with the partitions of the rows.
+    assert selection.ForestScorer(spark.createDataFrame(rows[::-1], schema).repartition(3), BINS, 3, trees=4)([[0], [1], []]) == scores
+
+
+def test_cells_are_drawn_as_their_rows_would_be(spark):
+    codes = spark.range(40_000).select(F.lit(1).alias("fold"), F.lit(0).alias("label"), (F.col("id") % 400).cast("int").alias("b0"))
+    cells = cell_forest.drawn_cells(codes, ["b0"], 20).toPandas()
+    times = cells[[f"t{t}" for t in range(20)]].to_numpy()
+    # A sum of a hundred Poisson(1): mean and variance are a hundred.
+    assert (cells["n"] == 100).all() and abs(times.mean() - 100) < 1 and 90 < times.var() < 110
+    assert len({tuple(r) for r in times.tolist()}) == 400 and len({tuple(r) for r in times.T.tolist()}) == 20
+
+
+@pytest.mark.parametrize("mask", [[0], [2], [0, 1], [0, 1, 2]])
+def test_a_tree_from_cells_is_sparks_tree(spark, mask):
+    rows, schema = _coded(3000)
+    codes = spark.createDataFrame(rows, schema).cache()
+    columns = [f"b{i}" for i in mask]
+    ones = sum(r[0] for r in rows)
+    weights = [len(rows) / 2 / (len(rows) - ones), len(rows) / 2 / ones]
+    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(codes)
+    vectors = vectors.withColumn("weight", F.when(F.col("label") == 1, weights[1]).otherwise(weights[0]))
+    tree = RandomForestClassifier(numTrees=1, bootstrap=False, maxDepth=queries.C.SELECTOR_DEPTH, weightCol="weight", seed=1)
+    want = {}
+    for fold in (1, 2, 3):
+        said = tree.fit(vectors.filter(F.col("fold") != fold)).transform(vectors.filter(F.col("fold") == fold))
+        for r in said.groupBy("label", F.col("prediction").cast("int").alias("p")).count().collect():
+            want[fold, r["label"], r["p"]] = r["count"]
+    cells = codes.groupBy("fold", "label", *columns).agg(F.count("*").alias("n")).withColumn("t0", F.col("n")).cache()
+    counts = cell_forest.code_counts(codes, columns, 3)
+    forest = cell_forest.CellForest([counts[c] for c in columns], weights, 3, 1).grow(cells, columns)
+    assert {(r["fold"], r["label"], r["prediction"]): r["n"] for r in forest.confusions(cells, columns).collect()} == want
